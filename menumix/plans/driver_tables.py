@@ -195,3 +195,132 @@ def modifier_costs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return priced.join(names, "pick").select(
         F.col("canonical_name").alias("clean_name"), F.col("p").alias("period_key"), F.col("cost").alias("cost_per_portion")
     )
+
+
+# --- order and configuration documents --------------------------------------------
+def order_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One order document per line as JSON text, with its location.
+
+    Built row by row: two checks, payments, selections and modifiers nested
+    three deep. Lines without tax and discount have no guid; suffixes, voids,
+    deletions, refunds and zero quantities follow from the line's own values.
+    """
+    line = table(spark, sf_dir, "lineitem")
+    head = orders(spark, sf_dir, {"business_date", "dining_option", "menu_name", "alt_payment_name", "location_code"})
+    part = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), "p_name", "p_brand", "p_size")
+    rows = line.join(head.withColumnRenamed("o_orderkey", "l_orderkey"), "l_orderkey").join(part, "l_partkey")
+    sel, col = selection_guid(), F.col
+
+    def mod(tag: str, pick: Column, quantity: Column, present: Column, *nested: Column) -> Column:
+        names = F.array(*[F.lit(name) for name, _ in MODIFIER_NAMES])
+        fields = [
+            F.concat(sel, F.lit(tag)).alias("guid"),
+            F.element_at(names, (pick % len(MODIFIER_NAMES) + 1).cast("int")).alias("displayName"),
+            quantity.alias("quantity"), F.when(col("l_linenumber") > 3, col("l_tax").cast("decimal(18,2)")).alias("price"),
+            (col("l_discount") >= 0.09).alias("voided"),
+        ]
+        if nested:
+            fields.append(F.array_compact(F.array(*nested)).alias("modifiers"))
+        return F.when(present, F.struct(*fields))
+
+    third = mod("-m3", col("l_orderkey"), F.lit(2), col("l_linenumber") >= 5)
+    second = mod("-m2", col("l_partkey"), F.lit(None).cast("int"), col("l_linenumber") >= 3, third)
+    first = mod("-m1", col("l_suppkey"), col("l_linenumber") % 3, F.lit(True), second)
+    other = mod("-m4", col("l_partkey") + col("l_suppkey"), F.lit(1), col("l_returnflag") == "A", F.when(F.lit(False), second))
+
+    selection = F.struct(
+        sel.alias("guid"),
+        F.when(col("p_size") <= 40, F.concat("p_name", F.when(col("p_size") > 25, " - Catering").otherwise(""))).alias("displayName"),
+        F.struct(F.when(col("p_size") > 5, col("l_partkey").cast("string")).alias("guid"), col("p_name").alias("name"),
+                 col("l_suppkey").alias("multiLocationId")).alias("item"),
+        F.when(col("l_linenumber") % 2 == 0, F.struct(F.concat(F.lit("g-"), "p_brand").alias("guid"))).alias("itemGroup"),
+        F.struct(F.concat(F.lit("s-"), "p_brand").alias("guid")).alias("salesCategory"),
+        F.when(col("l_quantity") != 7, col("l_quantity").cast("decimal(18,2)")).alias("quantity"),
+        col("l_extendedprice").cast("decimal(18,2)").alias("price"),
+        F.when(col("l_discount") > 0, col("l_extendedprice").cast("decimal(18,2)")).alias("preDiscountPrice"),
+        ((col("l_linestatus") == "O") & (col("l_tax") >= 0.07)).alias("voided"),
+        (col("l_shipdate") > F.lit("2000-01-01").cast("timestamp")).alias("deferred"),
+        F.array_compact(F.array(first, other)).alias("modifiers"),
+    )
+    payment = F.struct(
+        F.concat(sel, F.lit("-p")).alias("guid"),
+        F.when(col("menu_name") == "P", "OTHER").otherwise("CREDIT").alias("type"),
+        F.when(col("l_linenumber") < 7, col("l_extendedprice").cast("decimal(18,2)")).alias("amount"),
+        col("l_tax").cast("decimal(18,2)").alias("tipAmount"),
+        F.when(col("menu_name") == "P", F.struct(F.concat(F.lit("a-"), "alt_payment_name").alias("guid"))).alias("otherPayment"),
+        F.when(col("l_returnflag") == "A", F.struct(col("l_tax").cast("decimal(18,2)").alias("refundAmount"))).alias("refund"),
+    )
+    checks = F.array(
+        F.struct(F.concat(sel, F.lit("-c1")).alias("guid"), (col("l_returnflag") == "R").alias("voided"),
+                 (col("l_discount") >= 0.1).alias("deleted"), col("l_tax").cast("decimal(18,2)").alias("taxAmount"),
+                 col("l_extendedprice").cast("decimal(18,2)").alias("totalAmount"),
+                 F.array(payment).alias("payments"), F.array(selection).alias("selections")),
+    )
+    empty_check = F.concat(F.lit(',{"guid":"'), sel, F.lit('-c2","payments":null}]'))
+    order = F.to_json(F.struct(
+        F.when((col("l_tax") > 0) | (col("l_discount") > 0), sel).alias("guid"),
+        F.date_format("business_date", "yyyyMMdd").cast("int").alias("businessDate"),
+        F.date_format("l_shipdate", "yyyy-MM-dd'T'HH:mm:ss").alias("modifiedDate"),
+        F.struct(F.concat(F.lit("d-"), "dining_option").alias("guid")).alias("diningOption"),
+        checks.alias("checks"),
+    ))
+    # The second check is text of its own, so that it lacks most keys.
+    text = F.concat(F.substring(order, F.lit(1), F.length(order) - 2), empty_check, F.lit("}"))
+    return rows.select("location_code", text.alias("value"))
+
+
+def config_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Configuration payloads derived from orders, customers and parts: one entry
+    per payload for the name lists, bare or wrapped, and one menu per part brand
+    and location."""
+    head = orders(spark, sf_dir, {"dining_option", "alt_payment_name", "location_code"})
+
+    def lists(rows: DataFrame, kind: str, key: str, prefix: str, name: str, wrap: bool) -> DataFrame:
+        entry = F.array(F.struct(F.concat(F.lit(prefix), name).alias("guid"), F.col(name).alias("name")))
+        text = F.to_json(F.struct(entry.alias(key))) if wrap else F.to_json(entry)
+        return rows.select("location_code", F.lit(kind).alias("config_type"), text.alias("value"))
+
+    dining = lists(head.select("location_code", "dining_option").distinct(), "dining_options", "diningOptions", "d-", "dining_option", False)
+    alt = lists(head.select("location_code", "alt_payment_name").distinct(), "alt_payment_types", "alternatePaymentTypes", "a-", "alt_payment_name", True)
+    places = rule_frame(spark, [(x,) for x in LOCATIONS], "location_code string").withColumn("one", F.lit(1))
+    brands = table(spark, sf_dir, "part").select("p_brand").distinct().withColumn("one", F.lit(1))
+    per_place = places.join(brands, "one").drop("one")
+    sales = lists(per_place, "sales_categories", "salesCategories", "s-", "p_brand", True)
+    groups = table(spark, sf_dir, "part").groupBy("p_brand").agg(F.min("p_type").alias("p_type")).withColumn("one", F.lit(1))
+    group = F.struct(F.concat(F.lit("g-"), "p_brand").alias("guid"), F.col("p_brand").alias("name"))
+    menu = F.struct(F.array(F.struct(F.concat(F.lit("m-"), "p_type").alias("guid"), F.col("p_type").alias("name"),
+                                     F.array(group).alias("menuGroups"))).alias("menus"))
+    menus = places.join(groups, "one").select("location_code", F.lit("menus").alias("config_type"), F.to_json(menu).alias("value"))
+    rows = dining.unionByName(alt).unionByName(sales).unionByName(menus)
+    return rows.select("location_code", "config_type", F.lit(1).alias("pull_run_id"), F.parse_json("value").alias("payload"))
+
+
+def menu_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One nested menu per part: a group, a nameless subgroup and a deeper group
+    inside it, and for larger parts a later group that lists the item again."""
+    part = table(spark, sf_dir, "part")
+    key = F.col("p_partkey").cast("string")
+
+    def item(prefix: str) -> Column:
+        return F.array(F.struct(F.concat(F.lit(prefix), key).alias("guid")))
+
+    deep = F.struct(F.concat(F.lit("k-"), key).alias("guid"), F.lit("Deep").alias("name"), item("z-").alias("menuItems"))
+    sub = F.struct(F.concat(F.lit("h-"), key).alias("guid"), item("j-").alias("menuItems"), F.array(deep).alias("menuGroups"))
+    group = F.struct(F.concat(F.lit("g-"), key).alias("guid"), F.col("p_brand").alias("name"), item("i-").alias("menuItems"),
+                     F.array(sub).alias("subgroups"))
+    late = F.struct(F.concat(F.lit("l-"), key).alias("guid"), F.lit("Late").alias("name"), item("i-").alias("menuItems"))
+    both = F.concat(F.lit("["), F.to_json(group), F.when(F.col("p_size") > 25, F.concat(F.lit(","), F.to_json(late))).otherwise(""), F.lit("]"))
+    text = F.concat(F.lit('{"menus":[{"guid":"m","name":"'), "p_type", F.lit('","menuGroups":'), both, F.lit("}]}"))
+    return part.select(
+        F.col("p_type").alias("location_code"), F.lit("menus").alias("config_type"), F.lit(1).alias("pull_run_id"),
+        F.parse_json(text).alias("payload"),
+    )
+
+
+# --- sheets and extracts -----------------------------------------------------------
+def part_sheet(spark: SparkSession, sf_dir: str, cells: dict[int, Column], suffix: str = "") -> DataFrame:
+    """A 27-column sheet with one row per part, in part order, filed by period."""
+    period = F.lpad((F.col("p_size") % 13 + 1).cast("string"), 2, "0")
+    name = F.concat(F.lit("/sheets/P"), period, (F.lit(1995) + F.col("p_partkey") % 7).cast("string"), F.lit(suffix), F.lit(".csv"))
+    columns = [cells.get(i, F.lit(None).cast("string")).cast("string").alias(f"_c{i}") for i in range(27)]
+    return table(spark, sf_dir, "part").select(*columns, F.col("p_partkey").alias("_at"), name.alias("_file"))
