@@ -65,7 +65,7 @@ def modifier_unit_costs(costs: DataFrame) -> DataFrame:
 
 
 def derive_modifier_cost(names: DataFrame, costs: DataFrame) -> DataFrame:
-    """G1: unit cost of each (canonical_name, period_key).
+    """G1: adds the unit cost of each row's canonical_name and period_key.
 
     Extra, half, side, organic and combo names take (part of) the cost of the
     name they are made from, skips and packaging cost nothing, other names
@@ -141,13 +141,11 @@ def plates_rule(df: DataFrame, sub_category: str = "sub_category", plate: str =
 def modifier_cost_by_type(quantities: DataFrame, costs: DataFrame) -> DataFrame:
     """Modifier cost per item, channel, period and type, with the quantity
     that found no cost. ``quantities`` is the output of ``modifier_quantities``."""
-    names = quantities.select("canonical_name", "period_key").distinct()
-    unit = derive_modifier_cost(names, costs).select("canonical_name", "period_key", "unit_cost")
     half = half_and_half_cost(quantities, costs).select(
         "item_name", "channel_code", "period_key", "mod_type", "half_amount", "half_quantity"
     )
     both = is_half_and_half(F.col("canonical_name"))
-    out = quantities.join(unit, ["canonical_name", "period_key"], "left").join(
+    out = derive_modifier_cost(quantities, costs).join(
         half, ["item_name", "channel_code", "period_key", "mod_type"], "left"
     )
     q = F.col("quantity").cast("decimal(20,4)")

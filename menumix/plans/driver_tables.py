@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 from menumix.functions.scalars import MONEY
 from menumix.operators.filters import attribute_channel
-from menumix.session import rule_frame, tune
+from menumix.session import rule_frame, scratch_path, tune
+from menumix.sources.documents import order_feed
 
 # Channel patterns for the test tables; the market segment plays the paying
 # vendor, the order priority the dining option and the brand the sales category.
@@ -209,6 +210,10 @@ def order_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     head = orders(spark, sf_dir, {"business_date", "dining_option", "menu_name", "alt_payment_name", "location_code"})
     part = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), "p_name", "p_brand", "p_size")
     rows = line.join(head.withColumnRenamed("o_orderkey", "l_orderkey"), "l_orderkey").join(part, "l_partkey")
+    # Writing documents costs far more than moving the bare lines, so these are
+    # spread evenly first, however few files or large orders there are.
+    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = rows.repartition(width, "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
     sel, col = selection_guid(), F.col
 
     def mod(tag: str, pick: Column, quantity: Column, present: Column, *nested: Column) -> Column:
@@ -250,49 +255,66 @@ def order_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(col("menu_name") == "P", F.struct(F.concat(F.lit("a-"), "alt_payment_name").alias("guid"))).alias("otherPayment"),
         F.when(col("l_returnflag") == "A", F.struct(col("l_tax").cast("decimal(18,2)").alias("refundAmount"))).alias("refund"),
     )
-    checks = F.array(
-        F.struct(F.concat(sel, F.lit("-c1")).alias("guid"), (col("l_returnflag") == "R").alias("voided"),
-                 (col("l_discount") >= 0.1).alias("deleted"), col("l_tax").cast("decimal(18,2)").alias("taxAmount"),
-                 col("l_extendedprice").cast("decimal(18,2)").alias("totalAmount"),
-                 F.array(payment).alias("payments"), F.array(selection).alias("selections")),
+    check = F.struct(
+        F.concat(sel, F.lit("-c1")).alias("guid"), (col("l_returnflag") == "R").alias("voided"),
+        (col("l_discount") >= 0.1).alias("deleted"), col("l_tax").cast("decimal(18,2)").alias("taxAmount"),
+        col("l_extendedprice").cast("decimal(18,2)").alias("totalAmount"),
+        F.array(payment).alias("payments"), F.array(selection).alias("selections"),
     )
-    empty_check = F.concat(F.lit(',{"guid":"'), sel, F.lit('-c2","payments":null}]'))
-    order = F.to_json(F.struct(
+    head_fields = F.struct(
+        F.struct(F.concat(F.lit("d-"), "dining_option").alias("guid")).alias("diningOption"),
         F.when((col("l_tax") > 0) | (col("l_discount") > 0), sel).alias("guid"),
         F.date_format("business_date", "yyyyMMdd").cast("int").alias("businessDate"),
         F.date_format("l_shipdate", "yyyy-MM-dd'T'HH:mm:ss").alias("modifiedDate"),
-        F.struct(F.concat(F.lit("d-"), "dining_option").alias("guid")).alias("diningOption"),
-        checks.alias("checks"),
-    ))
-    # The second check is text of its own, so that it lacks most keys.
-    text = F.concat(F.substring(order, F.lit(1), F.length(order) - 2), empty_check, F.lit("}"))
+    )
+    # The second check is written apart, so that it lacks most keys.
+    text = F.concat(
+        F.rtrim(F.to_json(head_fields), F.lit("}")), F.lit(',"checks":['), F.to_json(check),
+        F.lit(',{"guid":"'), sel, F.lit('-c2","payments":null}]}'),
+    )
     return rows.select("location_code", text.alias("value"))
 
 
+_LANDED: dict[tuple[str, str], str] = {}
+
+
+def landed_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw feed table of the order documents, parsed once per session and
+    written with VARIANT payloads to the shared folder, as landing does."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _LANDED:
+        _LANDED[key] = scratch_path(spark, "landed-orders")
+        order_feed(order_documents(spark, sf_dir)).write.parquet(_LANDED[key])
+    return tune(spark).read.parquet(_LANDED[key])
+
+
 def config_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Configuration payloads derived from orders, customers and parts: one entry
-    per payload for the name lists, bare or wrapped, and one menu per part brand
-    and location."""
+    """Configuration payloads per location: name lists, bare or wrapped, and one
+    menu per location. Each holds the distinct names only, as real payloads do."""
     head = orders(spark, sf_dir, {"dining_option", "alt_payment_name", "location_code"})
+    brands = table(spark, sf_dir, "part").groupBy("p_brand").agg(F.min("p_type").alias("p_type"))
+    places = F.explode(F.array(*[F.lit(x) for x in LOCATIONS])).alias("location_code")
+
+    def payload(rows: DataFrame, kind: str, entry: Column, text: str) -> DataFrame:
+        listed = rows.groupBy("location_code").agg(F.to_json(F.sort_array(F.collect_list(entry))).alias("entries"))
+        return listed.select(
+            "location_code", F.lit(kind).alias("config_type"), F.lit(1).alias("pull_run_id"),
+            F.parse_json(F.replace(F.lit(text), F.lit("?"), F.col("entries"))).alias("payload"),
+        )
+
+    def names(prefix: str, name: str) -> Column:
+        return F.struct(F.concat(F.lit(prefix), name).alias("guid"), F.col(name).alias("name"))
 
-    def lists(rows: DataFrame, kind: str, key: str, prefix: str, name: str, wrap: bool) -> DataFrame:
-        entry = F.array(F.struct(F.concat(F.lit(prefix), name).alias("guid"), F.col(name).alias("name")))
-        text = F.to_json(F.struct(entry.alias(key))) if wrap else F.to_json(entry)
-        return rows.select("location_code", F.lit(kind).alias("config_type"), text.alias("value"))
-
-    dining = lists(head.select("location_code", "dining_option").distinct(), "dining_options", "diningOptions", "d-", "dining_option", False)
-    alt = lists(head.select("location_code", "alt_payment_name").distinct(), "alt_payment_types", "alternatePaymentTypes", "a-", "alt_payment_name", True)
-    places = rule_frame(spark, [(x,) for x in LOCATIONS], "location_code string").withColumn("one", F.lit(1))
-    brands = table(spark, sf_dir, "part").select("p_brand").distinct().withColumn("one", F.lit(1))
-    per_place = places.join(brands, "one").drop("one")
-    sales = lists(per_place, "sales_categories", "salesCategories", "s-", "p_brand", True)
-    groups = table(spark, sf_dir, "part").groupBy("p_brand").agg(F.min("p_type").alias("p_type")).withColumn("one", F.lit(1))
     group = F.struct(F.concat(F.lit("g-"), "p_brand").alias("guid"), F.col("p_brand").alias("name"))
-    menu = F.struct(F.array(F.struct(F.concat(F.lit("m-"), "p_type").alias("guid"), F.col("p_type").alias("name"),
-                                     F.array(group).alias("menuGroups"))).alias("menus"))
-    menus = places.join(groups, "one").select("location_code", F.lit("menus").alias("config_type"), F.to_json(menu).alias("value"))
-    rows = dining.unionByName(alt).unionByName(sales).unionByName(menus)
-    return rows.select("location_code", "config_type", F.lit(1).alias("pull_run_id"), F.parse_json("value").alias("payload"))
+    menu = F.struct(F.concat(F.lit("m-"), "p_brand").alias("guid"), F.col("p_type").alias("name"), F.array(group).alias("menuGroups"))
+    per_place = brands.select("p_brand", "p_type", places)
+    return (
+        payload(head.select("location_code", "dining_option").distinct(), "dining_options", names("d-", "dining_option"), "?")
+        .unionByName(payload(head.select("location_code", "alt_payment_name").distinct(), "alt_payment_types",
+                             names("a-", "alt_payment_name"), '{"alternatePaymentTypes":?}'))
+        .unionByName(payload(per_place, "sales_categories", names("s-", "p_brand"), '{"salesCategories":?}'))
+        .unionByName(payload(per_place, "menus", menu, '{"menus":?}'))
+    )
 
 
 def menu_documents(spark: SparkSession, sf_dir: str) -> DataFrame:

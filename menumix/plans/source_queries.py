@@ -6,12 +6,11 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
-from menumix import fixed_values as fv
-from menumix.functions.scalars import blank_to_null, retention_band
+from menumix.functions.calendar import assign_period
 from menumix.operators import filters, joins, nested, reports, shares
 from menumix.plans import driver_tables as t
-from menumix.plans.catalogue import CALENDAR, LINES, ORDERS, REPORT, d, modifier_cte, q, query
-from menumix.session import materialise, rule_frame, scratch_path
+from menumix.plans.catalogue import CALENDAR, LINES, ORDERS, REPORT, d, query
+from menumix.session import materialise, scratch_path
 from menumix.sources import documents, files
 
 # Documents of the SQL side: the same derivations, without the nesting.
@@ -26,7 +25,7 @@ live AS (SELECT *, l_returnflag = 'R' OR l_discount >= 0.1 AS check_void,
 
 
 def _orders(spark, sf):
-    return documents.order_feed(t.order_documents(spark, sf))
+    return t.landed_orders(spark, sf)
 
 
 # --- A1 to A3, A12 ---------------------------------------------------------------
@@ -85,11 +84,8 @@ def _retention_rows(spark, sf):
     """Retention figures per period and item from the lines, as extract columns."""
     lines = t.order_lines(spark, sf, "business_date", "canonical_name", "order_guid", "line_total", "quantity", "menu_name", "is_voided")
     days = t.calendar(spark)
-    from menumix.functions.calendar import assign_period
-
     dated = assign_period(lines, days).filter(F.col("period_key").isNotNull())
     n = F.count("*")
-    rate = lambda cond: (F.count_if(cond) * 10000 / n).cast("bigint")
     sums = dated.groupBy("period_key", "canonical_name").agg(
         F.sum("line_total").cast("decimal(12,2)").alias("revenue"), F.sum("quantity").cast("decimal(10,0)").alias("volume"),
         F.countDistinct("order_guid").alias("guests"),
@@ -110,7 +106,10 @@ def _write_retention(spark, sf, suffix):
     sums, days = _retention_rows(spark, sf)
     spans = days.select("period_key", "period_start")
     year, period = F.expr("period_key div 100"), F.col("period_key") % 100
-    ratio_text = lambda c: (F.col(c).cast("decimal(10,4)") / 10000).cast("decimal(8,4)")
+
+    def ratio_text(name):
+        return (F.col(name).cast("decimal(10,4)") / 10000).cast("decimal(8,4)")
+
     # Items whose name starts with 'hot' carry a stale previous range.
     stale = F.col("canonical_name").startswith("hot ")
     end = F.when(stale, F.date_sub("period_start", 30)).otherwise(F.date_sub("period_start", 1))
@@ -141,7 +140,7 @@ def _retention(spark, sf, suffix="IS"):
     return files.read_retention(spark, f"{_write_retention(spark, sf, suffix)}/*/*.csv", pattern)
 
 
-RATES = f"""{d("CAST(ret AS DECIMAL(8,4)) / 10000", "return_rate")}, {d("CAST(reo AS DECIMAL(8,4)) / 10000", "reorder_rate")}"""
+RATES = "CAST(ret AS DOUBLE) / 10000 AS return_rate, CAST(reo AS DOUBLE) / 10000 AS reorder_rate"
 
 
 @query("a5_read_retention", f"""
@@ -149,7 +148,7 @@ WITH {RETENTION}
 SELECT fiscal_year, period, item_name, md5(item_name) AS item_id, {d("revenue", "revenue")}, {d("volume", "volume")},
        {d("guests", "guests")}, {RATES},
        CAST(period_start - CASE WHEN item_name LIKE 'hot %' THEN 30 ELSE 1 END AS DATE) AS prev_period_end, CAST(NULL AS DOUBLE) AS revenue_prev,
-       CAST(NULL AS DOUBLE) AS aov, CAST(NULL AS DOUBLE) AS volume_pct, {d("CAST(reo AS DECIMAL(8,4)) / 10000", "return_rate_prev")}
+       CAST(NULL AS DOUBLE) AS aov, CAST(NULL AS DOUBLE) AS volume_pct, CAST(reo AS DOUBLE) / 10000 AS return_rate_prev
 FROM r""")
 def read_retention(spark, sf):
     return _retention(spark, sf).select(
@@ -219,7 +218,6 @@ def build_item_lookup(spark, sf):
     sheet = _lookup_sheet(spark, sf)
     old = F.col("_c1").startswith("old ")
     sheet = sheet.withColumn("_c0", F.when(~old, F.col("_c0"))).withColumns({"_c6": F.col("_c4"), "_c7": F.col("_c9")})
-    part = _lookup_sheet(spark, sf).select(F.col("_c9").alias("v"), F.col("_c10"), "_at")
     types = t.table(spark, sf, "part").filter("p_type <> 'PROMO'").select(F.col("p_type").alias("_c6"), F.col("p_brand").alias("_c7"), F.col("p_partkey").alias("_at"))
     return files.build_item_lookup(files._pairs(sheet, 0, 1), files._pairs(sheet, 3, 4), files._pairs(types, 6, 7))
 
@@ -356,8 +354,7 @@ def explode_checks(spark, sf):
 
 
 def _lookups(spark, sf):
-    return {**nested.build_lookups(t.config_documents(spark, sf)), "names": files.default_rules(spark)["names"],
-            "blocklist": files.default_rules(spark)["blocklist"]}
+    return {**nested.build_lookups(t.config_documents(spark, sf)), **files.default_rules(spark)}
 
 
 PAYMENT_COLUMNS = f"""g || '-p' AS payment_guid, g || '-c1' AS check_guid, g AS order_guid, location_code, business_date,
@@ -373,7 +370,6 @@ def explode_payments(spark, sf):
     return nested.explode_payments(_orders(spark, sf), alt)
 
 
-CLEAN = "p_name"
 GROUPS = "grp AS (SELECT p_brand AS gb, MIN(p_type) AS gt FROM part GROUP BY 1)"
 LINE_SQL = f"""
 SELECT g AS selection_guid, g AS order_guid, g || '-c1' AS check_guid, location_code, business_date,
