@@ -64,6 +64,21 @@ def modifier_unit_costs(costs: DataFrame) -> DataFrame:
     )
 
 
+def _with_costs(names: DataFrame, costs: DataFrame) -> DataFrame:
+    """Adds the name's own cost, that of the name it is made from, and its part."""
+    base, part = _name_rules(F.col("canonical_name"))
+    own = costs.select(F.col("cost_name").alias("canonical_name"), "period_key", F.col("unit_cost").alias("_own"))
+    made = costs.select(F.col("cost_name").alias("_base"), "period_key", F.col("unit_cost").alias("_made"))
+    out = names.withColumn("_base", base).withColumn("_part", part)
+    return out.join(own, ["canonical_name", "period_key"], "left").join(made, ["_base", "period_key"], "left")
+
+
+def _unit_cost() -> Column:
+    derived = (F.col("_made") * F.col("_part")).cast(COST)
+    zero = is_zero_cost(F.col("canonical_name"))
+    return F.when(zero, F.lit(0).cast(COST)).otherwise(F.coalesce(derived, F.col("_own")))
+
+
 def derive_modifier_cost(names: DataFrame, costs: DataFrame) -> DataFrame:
     """G1: adds the unit cost of each row's canonical_name and period_key.
 
@@ -71,20 +86,12 @@ def derive_modifier_cost(names: DataFrame, costs: DataFrame) -> DataFrame:
     name they are made from, skips and packaging cost nothing, other names
     their own cost. ``costs`` is the output of ``modifier_unit_costs``.
     """
-    name = F.col("canonical_name")
-    base, part = _name_rules(name)
-    out = names.withColumn("_base", base).withColumn("_part", part)
-    own = costs.select(F.col("cost_name").alias("canonical_name"), "period_key", F.col("unit_cost").alias("_own"))
-    made = costs.select(F.col("cost_name").alias("_base"), "period_key", F.col("unit_cost").alias("_made"))
-    out = out.join(own, ["canonical_name", "period_key"], "left").join(made, ["_base", "period_key"], "left")
-    derived = (F.col("_made") * F.col("_part")).cast(COST)
-    cost = F.when(is_zero_cost(name), F.lit(0).cast(COST)).otherwise(F.coalesce(derived, F.col("_own")))
     rule = (
-        F.when(is_zero_cost(name), "zero").when(derived.isNotNull(), "derived")
+        F.when(is_zero_cost(F.col("canonical_name")), "zero").when(F.col("_made").isNotNull(), "derived")
         .when(F.col("_own").isNotNull(), "listed").otherwise("missing")
     )
     return (
-        out.withColumn("unit_cost", cost).withColumn("cost_rule", rule)
+        _with_costs(names, costs).withColumn("unit_cost", _unit_cost()).withColumn("cost_rule", rule)
         .drop("_base", "_part", "_own", "_made")
     )
 
@@ -95,33 +102,36 @@ def modifier_quantities(mods: DataFrame, lines: DataFrame, period: DataFrame | N
     ``period`` maps business_date to period_key; without it the period is null.
     """
     joined = modifiers_of_items(mods.filter(~F.col("is_voided")), filter_revenue(lines, "report"))
-    daily = joined.groupBy("item_name", "channel_code", "mod_type", "canonical_name", "item_date").agg(
-        F.sum("quantity").alias("quantity")
-    )
     if period is None:
-        daily = daily.withColumn("period_key", F.lit(None).cast("int"))
+        joined = joined.withColumn("period_key", F.lit(None).cast("int"))
     else:
         days = period.select(F.col("business_date").alias("item_date"), "period_key")
-        daily = daily.join(days, "item_date", "left")
+        joined = joined.join(days, "item_date", "left")
     return (
-        daily.withColumn("mod_type", normalise_modifier_type(F.col("mod_type")))
+        joined.withColumn("mod_type", normalise_modifier_type(F.col("mod_type")))
         .groupBy("item_name", "channel_code", "period_key", "mod_type", "canonical_name")
         .agg(F.sum("quantity").alias("quantity"))
     )
 
 
+def _is_half(name: Column) -> Column:
+    return name.startswith("1/2 ") & ~is_half_and_half(name)
+
+
+QUANTITY = "decimal(20,4)"
+GROUP = ["item_name", "channel_code", "period_key", "mod_type"]
+
+
 def half_and_half_cost(quantities: DataFrame, costs: DataFrame) -> DataFrame:
     """Cost of a "1/2 and 1/2" choice per item, channel, period and type.
 
     The mean cost of the full versions of the halves that were chosen, weighted
     by quantity; null when there were none.
     """
-    halves = quantities.filter(F.col("canonical_name").startswith("1/2 ") & ~is_half_and_half(F.col("canonical_name")))
-    halves = halves.withColumn("cost_name", F.regexp_replace(_from(F.col("canonical_name"), 5), "^and ", ""))
-    priced = halves.join(costs, ["cost_name", "period_key"], "left")
-    amount = F.col("quantity").cast("decimal(20,4)") * F.col("unit_cost")
-    return priced.groupBy("item_name", "channel_code", "period_key", "mod_type").agg(
-        F.sum(amount).cast(COST_SUM).alias("half_amount"), F.sum("quantity").alias("half_quantity")
+    halves = _with_costs(quantities.filter(_is_half(F.col("canonical_name"))), costs)
+    return halves.groupBy(*GROUP).agg(
+        F.sum(F.col("quantity").cast(QUANTITY) * F.col("_made")).cast(COST_SUM).alias("half_amount"),
+        F.sum("quantity").alias("half_quantity"),
     ).withColumn("half_cost", ratio(F.col("half_amount"), F.col("half_quantity")))
 
 
@@ -140,26 +150,32 @@ def plates_rule(df: DataFrame, sub_category: str = "sub_category", plate: str =
 
 def modifier_cost_by_type(quantities: DataFrame, costs: DataFrame) -> DataFrame:
     """Modifier cost per item, channel, period and type, with the quantity
-    that found no cost. ``quantities`` is the output of ``modifier_quantities``."""
-    half = half_and_half_cost(quantities, costs).select(
-        "item_name", "channel_code", "period_key", "mod_type", "half_amount", "half_quantity"
-    )
-    both = is_half_and_half(F.col("canonical_name"))
-    out = derive_modifier_cost(quantities, costs).join(
-        half, ["item_name", "channel_code", "period_key", "mod_type"], "left"
+    that found no cost. ``quantities`` is the output of ``modifier_quantities``.
+
+    One aggregation holds both the plain sums and the weighted halves (as in
+    ``half_and_half_cost``) that price the "1/2 and 1/2" choices.
+    """
+    name, q = F.col("canonical_name"), F.col("quantity").cast(QUANTITY)
+    both, half = is_half_and_half(name), _is_half(name)
+    unit = _unit_cost()
+    sums = _with_costs(quantities, costs).groupBy(*GROUP).agg(
+        F.sum(F.when(~both, (q * unit).cast(COST_SUM))).alias("_plain"),
+        F.sum(F.when(~both & unit.isNull(), q)).alias("_unpriced"),
+        F.sum(F.when(both, q)).alias("_both"),
+        F.sum(F.when(half, q * F.col("_made"))).cast(COST_SUM).alias("_half_amount"),
+        F.sum(F.when(half, q)).alias("_half_quantity"),
+        F.sum("quantity").alias("modifier_quantity"),
     )
-    q = F.col("quantity").cast("decimal(20,4)")
-    weighted = q.cast("double") * ratio(F.col("half_amount"), F.col("half_quantity"))
-    # Each row's cost is rounded to cost precision once, so sums stay exact.
-    cost = F.when(both, weighted.cast(COST_SUM)).otherwise((q * F.col("unit_cost")).cast(COST_SUM))
-    return (
-        out.withColumn("_cost", cost)
-        .groupBy("item_name", "channel_code", "period_key", "mod_type")
-        .agg(
-            F.sum("_cost").cast(COST_SUM).alias("type_cost"),
-            F.sum("quantity").alias("modifier_quantity"),
-            F.coalesce(F.sum(F.when(F.col("_cost").isNull(), F.col("quantity"))), F.lit(0)).alias("unpriced_quantity"),
-        )
+    halves = F.col("_both").cast("double") * ratio(F.col("_half_amount"), F.col("_half_quantity"))
+    mixed = halves.cast(COST_SUM)
+    zero = F.lit(0).cast(COST_SUM)
+    return sums.select(
+        *GROUP,
+        F.when(F.col("_plain").isNull() & mixed.isNull(), F.lit(None))
+        .otherwise(F.coalesce("_plain", zero) + F.coalesce(mixed, zero)).cast(COST_SUM).alias("type_cost"),
+        "modifier_quantity",
+        (F.coalesce("_unpriced", zero) + F.when(mixed.isNull(), F.coalesce("_both", zero)).otherwise(zero))
+        .alias("unpriced_quantity"),
     )
 
 

@@ -34,10 +34,16 @@ def attribute_channel(
     line_patterns: list | None = None,
     override: str | None = None,
     alt_payment: str = "alt_payment_name",
+    paid_channel: str | None = None,
     out: str = "channel_code",
 ) -> DataFrame:
-    """Manual override, then payment rules, then line rules, then in-house."""
-    steps = [payment_channel(F.col(alt_payment), payment_patterns), line_channel(line_patterns)]
+    """Manual override, then payment rules, then line rules, then in-house.
+
+    ``paid_channel`` names a column that already holds the payment rules' result,
+    worked out once per order instead of once per line.
+    """
+    paid = F.col(paid_channel) if paid_channel else payment_channel(F.col(alt_payment), payment_patterns)
+    steps = [paid, line_channel(line_patterns)]
     if override:
         steps.insert(0, F.col(override))
     return df.withColumn(out, F.coalesce(*steps))

@@ -132,15 +132,8 @@ def kpi_summary(items: DataFrame) -> DataFrame:
 
 
 def trend(lines: DataFrame, granularity: str, calendar: DataFrame | None = None, by: list[str] = ()) -> DataFrame:
-    """F8: sales and quantity per time bucket, optionally per channel.
-
-    Days are summed first, so the calendar joins to a short frame.
-    """
-    daily = _sales(lines, ["business_date", *by])
-    return (
-        bucket_time(daily, granularity, calendar).groupBy("bucket", *by)
-        .agg(F.sum("net_sales").alias("net_sales"), F.sum("quantity").alias("quantity"))
-    )
+    """F8: sales and quantity per time bucket, optionally per channel."""
+    return _sales(bucket_time(lines, granularity, calendar), ["bucket", *by])
 
 
 # --- F9 to F12 -----------------------------------------------------------------
@@ -435,8 +428,5 @@ def freshness(df: DataFrame) -> DataFrame:
 
 
 def period_sales(lines: DataFrame, calendar: DataFrame, keys: list[str]) -> DataFrame:
-    """Sales per fiscal period; days are summed before the calendar joins."""
-    daily = _sales(lines, ["business_date", *keys])
-    return assign_period(daily, calendar).groupBy("period_label", "period_key", *keys).agg(
-        F.sum("net_sales").alias("net_sales"), F.sum("quantity").alias("quantity")
-    )
+    """Sales per fiscal period and any other columns."""
+    return _sales(assign_period(lines, calendar), ["period_label", "period_key", *keys])

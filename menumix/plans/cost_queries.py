@@ -149,11 +149,9 @@ def costed_items(spark, sf):
     """Items per channel and period number with base cost and category."""
     lines = filters.filter_revenue(t.order_lines(
         spark, sf, "canonical_name", "channel_code", "business_date", "quantity", "line_total", "is_voided", "is_deferred"))
-    daily = lines.groupBy("business_date", "canonical_name", "channel_code").agg(
-        F.sum("quantity").alias("quantity"), F.sum("line_total").alias("net_sales"))
     days = calendar_days(t.calendar(spark)).select("business_date", (F.col("period_key") % 100).alias("period_key"))
-    items = daily.join(days, "business_date").groupBy("canonical_name", "channel_code", "period_key").agg(
-        F.sum("quantity").alias("quantity"), F.sum("net_sales").alias("net_sales"))
+    items = lines.join(days, "business_date").groupBy("canonical_name", "channel_code", "period_key").agg(
+        F.sum("quantity").alias("quantity"), F.sum("line_total").alias("net_sales"))
     category = F.when(F.col("canonical_name").endswith("rod"), "Sides").otherwise("Entrees")
     return items.join(t.base_costs(spark, sf), "canonical_name", "left").withColumn("category", category)
 

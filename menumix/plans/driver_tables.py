@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from menumix.functions.scalars import MONEY
-from menumix.operators.filters import attribute_channel
+from menumix.operators.filters import attribute_channel, payment_channel
 from menumix.session import rule_frame, scratch_path, tune
 from menumix.sources.documents import order_feed
 
@@ -26,7 +26,7 @@ LINE_PATTERNS = [
 LOCATIONS = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
 
 ORDER_COLUMNS = {"business_date", "dining_option", "menu_name", "order_total"}
-CUSTOMER_COLUMNS = {"location_code", "alt_payment_name"}
+CUSTOMER_COLUMNS = {"location_code", "alt_payment_name", "paid_channel"}
 PART_COLUMNS = {"canonical_name", "menu_group", "sales_category", "item_guid", "raw_name"}
 
 
@@ -53,7 +53,8 @@ def orders(spark: SparkSession, sf_dir: str, columns: set[str]) -> DataFrame:
     )
     if columns & CUSTOMER_COLUMNS:
         people = table(spark, sf_dir, "customer").select(
-            F.col("c_custkey").alias("o_custkey"), "c_nationkey", F.col("c_mktsegment").alias("alt_payment_name")
+            F.col("c_custkey").alias("o_custkey"), "c_nationkey", F.col("c_mktsegment").alias("alt_payment_name"),
+            payment_channel(F.col("c_mktsegment"), PAYMENT_PATTERNS).alias("paid_channel"),
         )
         out = out.join(people, "o_custkey")
     if "location_code" in columns:
@@ -80,13 +81,12 @@ def order_lines(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     wanted = set(columns)
     needed = set(wanted)
     if "channel_code" in wanted:
-        needed |= {"dining_option", "alt_payment_name", "sales_category"}
+        needed |= {"dining_option", "paid_channel", "sales_category"}
     out = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", selection_guid().alias("selection_guid"),
         F.col("l_orderkey").cast("string").alias("order_guid"),
         F.concat(F.col("l_orderkey").cast("string"), F.lit("-"), (F.col("l_linenumber") % 2).cast("string")).alias("check_guid"),
-        F.col("l_quantity").cast("decimal(18,2)").cast(MONEY).alias("quantity"),
-        F.col("l_extendedprice").cast("decimal(18,2)").cast(MONEY).alias("line_total"),
+        F.col("l_quantity").cast(MONEY).alias("quantity"), F.col("l_extendedprice").cast(MONEY).alias("line_total"),
         (F.col("l_returnflag") == "R").alias("is_voided"),
         ((F.col("l_linestatus") == "O") & (F.col("l_returnflag") == "N")).alias("is_deferred"),
     )
@@ -96,7 +96,7 @@ def order_lines(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     if needed & PART_COLUMNS:
         out = out.join(parts(spark, sf_dir), "l_partkey")
     if "channel_code" in wanted:
-        out = attribute_channel(out, PAYMENT_PATTERNS, LINE_PATTERNS)
+        out = attribute_channel(out, line_patterns=LINE_PATTERNS, paid_channel="paid_channel")
     return out.select(*columns)
 
 
@@ -135,21 +135,22 @@ def modifiers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def entry(tag: str, pick: Column, depth: int, quantity: Column, present: Column) -> Column:
         return F.when(present, F.struct(
-            F.concat(sel, F.lit(tag)).alias("modifier_guid"), (pick % n).cast("int").alias("pick"),
+            F.lit(tag).alias("tag"), (pick % n).cast("int").alias("pick"),
             F.lit(depth).alias("depth"), quantity.cast(MONEY).alias("quantity"),
         ))
 
     line, qty = F.col("l_linenumber"), F.greatest(F.col("l_linenumber") % 3, F.lit(1))
-    made = F.array_compact(F.array(
+    made = F.array(
         entry("-m1", F.col("l_suppkey"), 1, qty, F.lit(True)),
         entry("-m2", F.col("l_partkey"), 2, F.lit(1), line >= 3),
         entry("-m3", F.col("l_orderkey"), 3, F.lit(2), line >= 5),
         entry("-m4", F.col("l_partkey") + F.col("l_suppkey"), 1, F.lit(1), F.col("l_returnflag") == "A"),
-    ))
+    )
     rows = table(spark, sf_dir, "lineitem").select(
         sel.alias("parent_selection"), F.col("l_orderkey").cast("string").alias("order_guid"),
         (F.col("l_returnflag") == "R").alias("is_voided"), F.explode(made).alias("m"),
-    ).select("parent_selection", "order_guid", "is_voided", "m.*")
+    ).filter("m is not null").select("parent_selection", "order_guid", "is_voided", "m.*")
+    rows = rows.withColumn("modifier_guid", F.concat("parent_selection", "tag")).drop("tag")
     return rows.join(modifier_names(spark), "pick").withColumn("is_blocklisted", F.col("canonical_name") == "Napkins").drop("pick")
 
 

@@ -11,11 +11,14 @@ from pyspark.sql import functions as F
 # Runtime SQL settings only; a cluster's own values for anything else stay.
 # forceOptimizeSkewedJoin lets AQE split a hot join key even when that costs
 # one more shuffle, which is the right trade when one key holds a third of rows.
+# fileCompressionFactor makes the broadcast size check count Parquet files at
+# about their size in memory, not on disk.
 RUNTIME_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.sources.fileCompressionFactor": "4.0",
     "spark.sql.session.timeZone": "UTC",
 }
 
