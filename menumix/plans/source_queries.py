@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from menumix.functions.calendar import assign_period
 from menumix.operators import filters, joins, nested, reports, shares
+from menumix.operators.upsert import upsert
 from menumix.plans import driver_tables as t
 from menumix.plans.catalogue import CALENDAR, LINES, ORDERS, REPORT, d, query
 from menumix.session import materialise, scratch_path
@@ -263,6 +264,19 @@ def write_table(spark, sf):
     return spark.read.parquet(path)
 
 
+@query("a13_merge_into", f"""
+WITH {LINES} SELECT selection_guid, {d("CASE WHEN menu_name = 'P' THEN line_total + 1 ELSE line_total END", "line_total")}, is_voided, location_code FROM l""")
+def merge_into(spark, sf):
+    """Orders of status P are edited after the table was written."""
+    path = scratch_path(spark, "merged-lines")
+    lines = t.order_lines(spark, sf, "selection_guid", "line_total", "is_voided", "location_code", "menu_name")
+    files.write_table(lines.drop("menu_name"), path, "location_code")
+    edited = lines.filter("menu_name = 'P'").drop("menu_name").withColumn("line_total", (F.col("line_total") + 1).cast("decimal(18,4)"))
+    files.merge_into(
+        spark, path, edited, ["selection_guid"], lambda old, new: upsert(old, new, ["selection_guid"], update=["line_total"]), "location_code")
+    return spark.read.parquet(path)
+
+
 @query("a14_export_items_csv", f"""
 WITH {LINES} SELECT canonical_name, channel_code, CAST(SUM(quantity) AS DOUBLE) AS quantity, CAST(SUM(line_total) AS DOUBLE) AS net_sales
 FROM l WHERE {REPORT} GROUP BY 1, 2""")

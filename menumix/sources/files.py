@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from menumix import fixed_values as fv
 from menumix.functions.scalars import blank_to_null
 from menumix.operators.upsert import dedupe_first, insert_ignore, latest_by, upsert
-from menumix.session import rule_frame
+from menumix.session import materialise, rule_frame
 
 CSV = {"header": "true", "multiLine": "false", "escape": '"', "encoding": "UTF-8"}
 
@@ -259,3 +261,33 @@ def seed_dimension(target: DataFrame | None, rows: DataFrame, key: str, update:
 
 def channel_dimension(spark: SparkSession) -> DataFrame:
     return rule_frame(spark, fv.CHANNELS, "channel_code string, display_name string")
+
+
+def merge_into(
+    spark: SparkSession,
+    path: str,
+    batch: DataFrame,
+    keys: list[str],
+    merge: Callable[[DataFrame, DataFrame], DataFrame],
+    partition: str = "business_date",
+    known: Column | None = None,
+) -> None:
+    """Merge a batch into a written table, rewriting only the partitions it touches.
+
+    Touched are the partitions of the batch and those where its keys already
+    sit, since a row may move. Finding the latter reads the key columns of the
+    table only; ``known`` narrows that search where older rows cannot change.
+    The merged partitions are written aside first, so that none is read while
+    it is being replaced, and a run that failed can be repeated. Partition
+    values (days, locations) are few and are listed on the driver, which prunes
+    the scan of the old rows to them.
+    """
+    old = spark.read.parquet(path)
+    searched = old if known is None else old.filter(known)
+    held = searched.join(batch.select(*keys), list(keys), "left_semi").select(partition)
+    touched = [row[0] for row in held.unionByName(batch.select(partition)).distinct().collect()]
+    inside = F.col(partition).isin([value for value in touched if value is not None])
+    if None in touched:
+        inside = inside | F.col(partition).isNull()
+    merged = materialise(merge(old.filter(inside), batch), "merged")
+    write_table(merged, path, partition)

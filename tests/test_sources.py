@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from menumix import fixed_values as fv
 from menumix.functions.calendar import default_calendar
 from menumix.operators import joins, reports, shares
+from menumix.operators.upsert import upsert
 from menumix.sources import files
 
 IGNORED = [f"Item column {i} absolute difference" for i in range(20)]
@@ -119,6 +120,20 @@ def test_write_replaces_only_present_partitions(frame, spark, tmp_path, rows):
     assert rows(spark.read.parquet(path), "business_date", "v") == [(date(2026, 1, 1), 1), (date(2026, 1, 2), 9)]
 
 
+def test_merge_rewrites_touched_partitions_only(frame, spark, tmp_path, rows):
+    path, schema = str(tmp_path / "t"), "k int, v string, business_date date"
+    days = [date(2026, 1, d) for d in (1, 2, 3)]
+    files.write_table(frame([(1, "a", days[0]), (2, "b", days[0]), (3, "c", days[1])], schema), path)
+    kept = sorted(p.name for p in (tmp_path / "t" / "business_date=2026-01-02").iterdir())
+    # key 1 now claims another day: its row stays in the partition that holds it
+    batch = frame([(1, "x", days[2]), (4, "d", days[2])], schema)
+    for _ in range(2):
+        files.merge_into(spark, path, batch, ["k"], lambda old, new: upsert(old, new, ["k"], update=["v"]))
+        assert rows(spark.read.parquet(path), "k", "v", "business_date") == [
+            (1, "x", days[0]), (2, "b", days[0]), (3, "c", days[1]), (4, "d", days[2])]
+    assert kept == sorted(p.name for p in (tmp_path / "t" / "business_date=2026-01-02").iterdir())
+
+
 def test_export_and_dimensions(frame, spark, tmp_path, rows):
     files.export_items_csv(frame([("Rice, \"plain\"", 2)], "item string, n int"), str(tmp_path / "out"))
     assert rows(spark.read.option("header", True).option("escape", "\\").csv(str(tmp_path / "out"))) == [('Rice, "plain"', "2")]
