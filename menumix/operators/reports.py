@@ -119,7 +119,7 @@ def kpi_summary(items: DataFrame) -> DataFrame:
     per_item = items.groupBy("canonical_name").agg(
         F.sum("quantity").alias("q"), F.sum("net_sales").alias("s"), F.sum("total_margin").alias("m")
     )
-    top = F.max_by(F.struct("canonical_name", "s"), F.struct("s", "canonical_name"))
+    top = F.max_by(F.struct("canonical_name", "s", "q"), F.struct("s", "canonical_name"))
     one = per_item.agg(
         F.sum("q").alias("items_sold"), F.sum("s").alias("net_revenue"),
         ratio(F.sum("m"), F.sum("s")).alias("avg_margin_pct"),
@@ -128,9 +128,20 @@ def kpi_summary(items: DataFrame) -> DataFrame:
     return one.select(
         "items_sold", "net_revenue", "avg_margin_pct", "unique_items",
         F.col("t.canonical_name").alias("top_item"), F.col("t.s").alias("top_item_sales"),
+        ratio(F.col("t.q"), F.col("items_sold")).alias("top_item_mix_pct"),
     )
 
 
+def item_mix(lines: DataFrame, keys: list[str] = ("canonical_name", "menu_group")) -> DataFrame:
+    """the item-mix table: quantity, revenue, price, part of the mix, orders."""
+    sums = lines.groupBy(*keys).agg(
+        F.sum("quantity").alias("quantity"), F.sum("line_total").alias("net_sales"),
+        F.countDistinct("order_guid").alias("orders"),
+    )
+    priced = sums.withColumn("avg_price", ratio(F.col("net_sales"), F.col("quantity")))
+    return share_of(priced, "quantity", out="menu_mix_pct")
+
+
 def trend(lines: DataFrame, granularity: str, calendar: DataFrame | None = None, by: list[str] = ()) -> DataFrame:
     """F8: sales and quantity per time bucket, optionally per channel."""
     return _sales(bucket_time(lines, granularity, calendar), ["bucket", *by])

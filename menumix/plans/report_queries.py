@@ -124,11 +124,12 @@ def blended_metrics(spark, sf):
 
 
 @query("f7_kpi_summary", f"""
-WITH {ITEMS}, p AS (SELECT canonical_name, SUM(net_sales) AS s FROM im GROUP BY 1),
+WITH {ITEMS}, p AS (SELECT canonical_name, SUM(net_sales) AS s, SUM(quantity) AS u FROM im GROUP BY 1),
 top AS (SELECT * FROM p ORDER BY s DESC, canonical_name DESC LIMIT 1)
 SELECT {d("SUM(quantity)", "items_sold")}, {d("SUM(net_sales)", "net_revenue")},
        {q("SUM(total_margin)", "SUM(net_sales)", "avg_margin_pct")}, COUNT(DISTINCT canonical_name) AS unique_items,
-       (SELECT canonical_name FROM top) AS top_item, {d("(SELECT s FROM top)", "top_item_sales")}
+       (SELECT canonical_name FROM top) AS top_item, {d("(SELECT s FROM top)", "top_item_sales")},
+       {q("(SELECT u FROM top)", "SUM(quantity)", "top_item_mix_pct")}
 FROM im""")
 def kpi_summary(spark, sf):
     return reports.kpi_summary(item_metrics(spark, sf))
@@ -139,6 +140,15 @@ def _report_lines(spark, sf, *columns):
     return filters.filter_revenue(t.order_lines(spark, sf, *wanted))
 
 
+@query("f5_item_mix", f"""
+WITH {LINES}, s AS (SELECT canonical_name, menu_group, SUM(quantity) AS u, SUM(line_total) AS s, COUNT(DISTINCT order_guid) AS orders
+                    FROM l WHERE {REPORT} GROUP BY 1, 2)
+SELECT canonical_name, menu_group, {d("u", "quantity")}, {d("s", "net_sales")}, orders, {q("s", "u", "avg_price")},
+       CAST(u AS DOUBLE) / CAST(SUM(u) OVER () AS DOUBLE) AS menu_mix_pct FROM s""")
+def item_mix(spark, sf):
+    return reports.item_mix(_report_lines(spark, sf, "canonical_name", "menu_group", "order_guid"))
+
+
 SUMS = f"{d('SUM(line_total)', 'net_sales')}, {d('SUM(quantity)', 'quantity')}"
 
 
