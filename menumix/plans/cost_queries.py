@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from menumix.functions.calendar import calendar_days
 from menumix.functions.scalars import meal_bucket, normalise_modifier_type
-from menumix.operators import costing, engineering, filters, reports
+from menumix.operators import costing, engineering, filters
 from menumix.plans import driver_tables as t
 from menumix.plans.catalogue import CALENDAR, LINES, REPORT, d, modifier_cte, q, query
 from menumix.plans.report_queries import ITEMS, item_metrics

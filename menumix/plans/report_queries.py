@@ -6,9 +6,7 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
-from menumix.functions.calendar import assign_period
-from menumix.functions.scalars import MONEY
-from menumix.operators import engineering, filters, joins, reports, shares
+from menumix.operators import filters, reports, shares
 from menumix.plans import driver_tables as t
 from menumix.plans.catalogue import CALENDAR, LINES, ORDERS, REPORT, d, modifier_cte, q, query
 from menumix.session import rule_frame

@@ -10,7 +10,7 @@ from menumix.functions import calendar as cal
 from menumix.functions import scalars as sc
 from menumix.operators import clean, filters, joins, reports, upsert
 from menumix.plans import driver_tables as t
-from menumix.plans.catalogue import CALENDAR, CHANNEL, LINES, ORDERS, REPORT, d, modifier_cte, query
+from menumix.plans.catalogue import CALENDAR, LINES, ORDERS, REPORT, d, modifier_cte, query
 from menumix.session import rule_frame
 from menumix.sources.files import default_rules
 

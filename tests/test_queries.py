@@ -55,6 +55,15 @@ def test_query_matches_sql(spark, duck, query_name):
     assert got == want
 
 
+@pytest.mark.parametrize("name", ["f5_item_metrics", "f9_category_mix", "f15_byo_breakdown", "d3_top_payment", "d9_cost_lookup", "e5_dedupe_first",
+                                  "e6_upsert_dim_item", "g3_modifier_cost_by_type", "g8_menu_engineering", "c15_assign_period"])
+def test_plans_hold_no_cross_join_and_no_row_window(spark, name):
+    """Raw rows of a key never meet in one task: no product, no window, no range join."""
+    plan = QUERIES[name](spark, DATA)._jdf.queryExecution().executedPlan().toString()
+    for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "Window"):
+        assert operator not in plan
+
+
 def test_every_query_has_a_twin():
     assert set(SQL) == set(QUERIES)
 

@@ -48,6 +48,7 @@ def test_first_run_and_skipped_location(spark, config, rules, rows):
     tables = run(raw, config, rules, overrides=overrides)
     assert rows(tables["fact_order_lines"], *COLUMNS[:4]) == [
         ("o1-s", "Naan", "CATERING", "Dine In"), ("o2-s", "Naan", "APP", "Open App"), ("o3-s", "Naan", "TPD", "Open App")]
+    assert tables["fact_order_lines"].join(tables["dim_item"], "item_key", "left_anti").isEmpty()
     assert tables["fact_modifiers"].count() == 3  # blocklisted ones stay in staging
     assert rows(tables["fact_modifiers"].select("mod_type").distinct()) == [("base",)]
     checks = {r.check: r.value for r in reports.validate(tables["staging.order_lines"], tables["fact_order_lines"], tables["fact_modifiers"]).collect()}
