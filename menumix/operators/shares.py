@@ -40,7 +40,7 @@ def global_rank(df: DataFrame, value: str, out: str = "rank", by: list[str] = ()
     # Eight buckets per doubling for positive values; zero, negative and null follow.
     magnitude = (
         F.when(number > 0, F.floor(F.log2(number) * 8).cast("int"))
-        .when(number == 0, F.lit(-100000)).when(number < 0, F.lit(-100001) - F.floor(F.log2(-number) * 8).cast("int"))
+        .when(number == 0, F.lit(-100000)).when(number < 0, F.lit(-200000) - F.floor(F.log2(-number) * 8).cast("int"))
         .otherwise(F.lit(-1000000))
     )
     counts = counts.withColumn("_bucket", magnitude)

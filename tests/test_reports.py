@@ -111,6 +111,12 @@ def test_global_rank_equals_sorting(spark, values):
     assert got == want
 
 
+def test_rank_of_small_negative_values(frame):
+    df = frame([(0.0,), (-0.5,), (-0.01,), (0.01,), (-3.0,), (None,)], "v double")
+    got = {r.v: r["rank"] for r in shares.global_rank(df, "v").collect()}
+    assert got == {0.01: 1, 0.0: 2, -0.01: 3, -0.5: 4, -3.0: 5, None: 6}
+
+
 def test_rank_within_groups(frame):
     df = frame([("a", 5), ("a", 5), ("a", 1), ("b", 2)], "g string, v int")
     assert sorted((r.g, r.v, r["rank"]) for r in shares.global_rank(df, "v", by=["g"]).collect()) == [
