@@ -41,14 +41,18 @@ def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", k
     total = df.count()
     fraction = min(1.0, sample_rows * parts / max(total, 1))
     hot = [r[0] for r in rows.sample(fraction, seed=9).groupBy("_hash").count().where("count >= 12").select("_hash").collect()]
-    is_hot = F.col("_hash").isin(hot) if hot else F.lit(False)
-    spread = F.when(is_hot, F.pmod(F.xxhash64("_id"), F.lit(parts))).otherwise(F.lit(0))
-    ranged = rows.withColumn("_split", spread).repartitionByRange(parts, "_head", "_hash", "_split")
+    keys = ["_head", "_hash"]
+    if hot:  # a constant third key would not match the partitioning that the window asks for
+        is_hot = F.col("_hash").isin(hot)
+        rows = rows.withColumn("_split", F.when(is_hot, F.pmod(F.xxhash64("_id"), F.lit(parts))).otherwise(F.lit(0)))
+        keys.append("_split")
+    ranged = rows.repartitionByRange(parts, *keys)
     best, order = (F.max, F.col("_id").desc_nulls_last()) if keep == "largest" else (F.min, F.col("_id").asc_nulls_last())
-    run = Window.partitionBy("_head", "_hash", "_split", "_text")
+    run = Window.partitionBy(*keys, "_text").orderBy(order)
+    whole = run.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     found = ranged.select(
-        "_row", "_id", "_hash", F.sha2("_text", 256).alias("_sha"), best("_id").over(run).alias("_keep"),
-        F.count(F.lit(1)).over(run).alias("_size"), F.row_number().over(run.orderBy(order)).alias("_nth"))
+        "_row", "_id", "_hash", F.sha2("_text", 256).alias("_sha"), best("_id").over(whole).alias("_keep"),
+        F.count(F.lit(1)).over(whole).alias("_size"), F.row_number().over(run).alias("_nth"))
     keep_id, size = F.col("_keep"), F.col("_size")
     if hot:
         merged = rows.where(is_hot).groupBy(F.sha2("_text", 256).alias("_sha")).agg(best("_id").alias("_all_keep"), F.count(F.lit(1)).alias("_all_size"))
