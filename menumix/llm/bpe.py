@@ -101,27 +101,27 @@ def decode(df: DataFrame, ranks: bytes, id_col: str = "id", ids_col: str = "ids"
     return df.select(F.col(id_col).cast("long").alias("id"), F.col(ids_col).alias("ids")).mapInArrow(run, "id long, ids array<int>, decoded binary")
 
 
-def digests(df: DataFrame) -> DataFrame:
-    """(id, n_tokens, ids_sha256, decoded_sha256) of (id, ids, decoded)."""
+def digests(df: DataFrame, with_ids: bool = False) -> DataFrame:
+    """(id, n_tokens, ids_sha256, decoded_sha256) of (id, ids, decoded), and the ids if wanted."""
     def run(batches):
         for batch in batches:
             lists, decoded = batch.column(1), batch.column(2)
             offsets, flat = lists.offsets.to_numpy(), lists.values.to_numpy(zero_copy_only=False)
             ids = [hashlib.sha256(",".join(map(str, flat[offsets[k]:offsets[k + 1]].tolist())).encode()).hexdigest() for k in range(len(lists))]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(np.diff(offsets).astype(np.int64)), pa.array(ids), pa.array([hashlib.sha256(d.as_buffer()).hexdigest() for d in decoded])],
-                names=["id", "n_tokens", "ids_sha256", "decoded_sha256"])
+            columns = {"id": batch.column(0), "n_tokens": pa.array(np.diff(offsets).astype(np.int64)), "ids_sha256": pa.array(ids, pa.string()),
+                       "decoded_sha256": pa.array([hashlib.sha256(d.as_buffer()).hexdigest() for d in decoded], pa.string())}
+            yield pa.RecordBatch.from_pydict(columns | ({"ids": lists} if with_ids else {}))
 
-    return df.mapInArrow(run, "id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return df.mapInArrow(run, "id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids)
 
 
-def encode_and_decode(spark: SparkSession, docs: DataFrame, path: str | None = None, pattern: str | None = None) -> DataFrame:
+def encode_and_decode(spark: SparkSession, docs: DataFrame, path: str | None = None, pattern: str | None = None, with_ids: bool = False) -> DataFrame:
     """Digest rows of every document, by the multilingual rank file unless ``path`` names another."""
     import public_tokenizers
 
     ranks = read_file(spark, path or public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
     found = decode(encode(docs, ranks, pattern or public_tokenizers.PATTERN), ranks)
-    return digests(found).withColumnRenamed("id", "doc_id")
+    return digests(found, with_ids).withColumnRenamed("id", "doc_id")
 
 
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -15,45 +15,74 @@ def _inner(rows: np.ndarray, query: np.ndarray) -> np.ndarray:
     return np.cumsum(rows * query, axis=1)[:, -1]
 
 
-def _search(vectors: np.ndarray, ids: np.ndarray, queries: np.ndarray, query_ids: np.ndarray, norm: float, k: int,
-            projections: int, threshold: float, spare: int, width: float, ratio: float, seed: int) -> list[pd.DataFrame]:
-    """Best ``k`` of one block for each query.
+def _best(vectors: np.ndarray, ids: np.ndarray, near: np.ndarray, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and exact scores of the best ``k`` of the rows ``near``, ties to the smaller id."""
+    if len(near) > k:
+        rough = vectors[near] @ query
+        bar = np.partition(rough, len(near) - k)[len(near) - k]
+        near = near[rough >= bar - 1e-9 * (1 + abs(bar))]  # keeps all that rounding might reorder
+    scores = _inner(vectors[near], query)
+    order = np.lexsort((ids[near], -scores))[:k]
+    return ids[near][order], scores[order]
+
+
+class Block:
+    """Sorted projections of one block of vectors.
 
     One more component makes all norms equal, so that the largest inner product
-    is the smallest distance. Each projection's values are a sorted array; a
-    window around the query's value widens by ``ratio`` until more than
-    ``k + spare`` vectors lie in ``threshold`` of all windows (or the windows
-    hold the whole block). All vectors over the threshold are verified, ties included.
+    is the smallest distance.
     """
-    n, dims = vectors.shape
-    lines = np.random.default_rng(seed).standard_normal((dims + 1, projections))
-    lifted = np.sqrt(np.maximum(norm * norm - (vectors * vectors).sum(axis=1), 0.0))
-    at = vectors @ lines[:-1] + lifted[:, None] * lines[-1]
-    order = np.argsort(at, axis=0, kind="stable")
-    arrays = np.ascontiguousarray(np.take_along_axis(at, order, axis=0).T)
-    order = np.ascontiguousarray(order.T)
-    centres = queries @ lines[:-1]
-    need, out = int(np.ceil(threshold * projections)), []
-    for q in range(len(queries)):
-        half = width * norm
-        while True:
-            lo = [np.searchsorted(arrays[j], centres[q, j] - half, side="left") for j in range(projections)]
-            hi = [np.searchsorted(arrays[j], centres[q, j] + half, side="right") for j in range(projections)]
-            inside = np.concatenate([order[j, lo[j]:hi[j]] for j in range(projections)])
-            hits = np.bincount(inside, minlength=n)
-            near = np.flatnonzero(hits >= need)
-            near = near[ids[near] != query_ids[q]]
-            if len(near) >= k + spare or len(inside) >= n * projections:
-                break
-            half *= ratio
-        scores = _inner(vectors[near], queries[q])
-        best = np.lexsort((ids[near], -scores))[:k]
-        out.append(pd.DataFrame({"query_id": query_ids[q], "vec_id": ids[near][best], "score": scores[best]}))
-    return out
+
+    def __init__(self, vectors: np.ndarray, ids: np.ndarray, norm: float, projections: int, seed: int):
+        self.vectors, self.ids, self.projections = vectors, ids, projections
+        self.lines = np.random.default_rng(seed).standard_normal((vectors.shape[1] + 1, projections))
+        lifted = np.sqrt(np.maximum(norm * norm - (vectors * vectors).sum(axis=1), 0.0))
+        at = (vectors @ self.lines[:-1] + lifted[:, None] * self.lines[-1]).T
+        self.order = np.argsort(at, axis=1, kind="stable")
+        self.sorted = np.take_along_axis(at, self.order, axis=1)
+
+    def windows(self, centres: np.ndarray, half: float) -> tuple[np.ndarray, np.ndarray]:
+        """First and last place of every centre's window in each sorted array."""
+        lo = np.stack([np.searchsorted(a, c - half, side="left") for a, c in zip(self.sorted, centres.T)], axis=1)
+        hi = np.stack([np.searchsorted(a, c + half, side="right") for a, c in zip(self.sorted, centres.T)], axis=1)
+        return lo, hi
+
+    def over(self, lo: np.ndarray, hi: np.ndarray, need: int) -> tuple[np.ndarray, bool]:
+        """Rows that lie in at least ``need`` windows, counted by the windows that they miss; whether nothing is missed."""
+        outside = np.concatenate([part for o, a, b in zip(self.order, lo, hi) for part in (o[:a], o[b:])])
+        return np.flatnonzero(np.bincount(outside, minlength=len(self.ids)) <= self.projections - need), not len(outside)
+
+    def search(self, queries: np.ndarray, query_ids: np.ndarray, k: int, threshold: float, spare: float, width: float, ratio: float) -> list[pd.DataFrame]:
+        """Best ``k`` of the block for each query.
+
+        Windows around the query's values widen by ``ratio`` until more than
+        ``k`` rows and the share ``spare`` of the block pass the collision threshold, or the windows
+        hold the whole block; the first queries set the width at which the others begin.
+        """
+        need, enough = int(np.ceil(threshold * self.projections)), k + int(spare * len(self.ids))
+        centres = queries @ self.lines[:-1]
+        out, begin = [], 0
+        for upto in (min(8, len(queries)), len(queries)):
+            first = self.windows(centres[begin:upto], width) if upto > begin else None
+            reached = width
+            for q in range(begin, upto):
+                half, lo, hi = width, first[0][q - begin], first[1][q - begin]
+                while True:
+                    near, whole = self.over(lo, hi, need)
+                    near = near[self.ids[near] != query_ids[q]]
+                    if len(near) >= enough or whole:
+                        break
+                    half *= ratio
+                    lo, hi = (w[0] for w in self.windows(centres[q:q + 1], half))
+                reached = max(reached, half)
+                ids, scores = _best(self.vectors, self.ids, near, queries[q], k)
+                out.append(pd.DataFrame({"query_id": np.full(len(ids), query_ids[q]), "vec_id": ids, "score": scores}))
+            begin, width = upto, reached
+        return out
 
 
 def nearest(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", every: int = 20, k: int = 20, block: int = 8192,
-            queries_per_task: int = 2048, projections: int = 48, threshold: float = 0.7, spare: int = 180, width: float = 0.4, ratio: float = 1.25, seed: int = 10) -> DataFrame:
+            queries_per_task: int = 2048, projections: int = 64, threshold: float = 0.8, spare: float = 0.12, width: float = 1.0, ratio: float = 1.05, seed: int = 10) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` largest inner products found for each query.
 
     Queries are the rows whose id is divisible by ``every``; candidates are all
@@ -87,8 +116,9 @@ def nearest(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding"
     def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if not len(left) or not len(right):
             return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype({"query_id": "int64", "vec_id": "int64"})
-        return pd.concat(_search(np.stack(left["v"].to_numpy()), left["id"].to_numpy(), np.stack(right["v"].to_numpy()), right["id"].to_numpy(),
-                                 norm, k, projections, threshold, spare, width, ratio, seed))
+        left, right = left.sort_values("id"), right.sort_values("id")
+        held = Block(np.stack(left["v"].to_numpy()), left["id"].to_numpy(), norm, projections, seed)
+        return pd.concat(held.search(np.stack(right["v"].to_numpy()), right["id"].to_numpy(), k, threshold, spare, width * norm, ratio))
 
     found = held.groupBy("block", "query_group").cogroup(asks.groupBy("block", "query_group")).applyInPandas(run, FOUND)
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")

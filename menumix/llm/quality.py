@@ -219,6 +219,24 @@ def score(docs: DataFrame, net: Network | None, id_col: str = "doc_id", text_col
     return rows.mapInArrow(run, "id long, score double")
 
 
+def keep(docs: DataFrame, net: Network | None, text_col: str = "text", least: float = 0.7) -> DataFrame:
+    """The rows, with all their columns, whose texts score at least ``least``; all rows without a network."""
+    if net is None:
+        return docs
+    sent = docs.sparkSession.sparkContext.broadcast((net.vectors, net.mean, net.scale, net.layers, net.temperature))
+    place = docs.columns.index(text_col)
+
+    def run(batches):
+        net = Network(*sent.value)
+        for batch in batches:
+            texts = batch.column(place)
+            for a, b in slices(texts):
+                part = batch.slice(a, b - a)
+                yield part.filter(pa.array(net.scores(pooled(part.column(place), net.vectors)) >= least))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def held_out(column: str) -> Column:
     return crc32_mod(column, 4) == 2
 

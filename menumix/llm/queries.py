@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from menumix.llm import bpe, exact_dedup, language_model, mixing, near_dedup, nearest, quality, substring_dedup, warc
+from menumix.llm import bpe, exact_dedup, language_model, line_dedup, mixing, near_dedup, nearest, quality, substring_dedup, warc
 
 QUERIES = {
     "op1_near_dedup": near_dedup.op1_near_dedup,
     "op2_mix_sources": mixing.op2_mix_sources,
     "op3_arc_to_warc": warc.op3_arc_to_warc,
     "op4_quality": quality.op4_quality,
+    "op5_line_dedup": line_dedup.op5_line_dedup,
     "op6_language_model": language_model.op6_language_model,
     "op7_substring_dedup": substring_dedup.op7_substring_dedup,
     "op8_bpe": bpe.op8_bpe,
