@@ -2,7 +2,7 @@
 
 Fixed values: every name, pattern, date and rate below must equal the published
 rules for results to agree, so they are written out plainly. Callers may pass
-their own tables (for example from ``sources.rules.read_rules``) instead.
+their own tables (for example from ``sources.files.read_rules``) instead.
 """
 
 from __future__ import annotations
@@ -41,7 +41,8 @@ MODIFIER_TAGS = [
     ("That Fire Hot Sauce", "chutney"),
 ]
 MIX_EXCLUSIONS = [
-    "3PD MARKUP", "Fooda Guarantee", "Gift Card", "eGift Card", "Catering Utensils",
+    "3PD MARKUP", "Fooda Guarantee", "Gift Card", "eGift Card",
+    "Foodelicious 2026 Event (5/18/2026) Speaker fee for chef", "Catering Utensils",
     "Delivery Fee", "Premium Options Upcharge", "Order notes: YES utensils", "Order notes: NO utensils",
 ]
 
@@ -58,10 +59,6 @@ MODIFIER_TYPE_NAMES = [
     ("make it a meal", "Make it a Meal"),
     ("sides", "Make it a Meal"), ("drinks", "Make it a Meal"), ("sweets", "Make it a Meal"),
 ]
-MODIFIER_TYPES = [
-    "Base", "Main", "Extra Main", "Veggie", "Extra Veggie",
-    "Sauce", "Chutney and Dressings", "Topping", "Make it a Meal",
-]
 MEAL_PARTS = ["Sides", "Drinks", "Sweets"]
 MEAL_TYPE = "Make it a Meal"
 
@@ -189,11 +186,15 @@ EXTERNAL_ITEM_NAMES = [
 # --- fixed values: cost and engineering --------------------------------------
 PLATE_SUBCATEGORY = "Plates"
 PLATE_DROPPED_TYPES = ["Main", "Extra Main"]
+PLATE_ITEMS = [
+    "Butter Chicken", "Saag Paneer", "Saag Chole", "Coconut Veggie Curry",
+    "Chicken Tikka Masala", "Aloo Gobhi", "Paneer Butter Masala",
+    "Chicken Curry", "Lamb Kofta Korma", "Paneer Tikka Masala",
+]
 NO_COST_EXPECTED = ["Side of Main", "Side of Veggie", "Side of Grain"]
 ZERO_COST_PATTERN = r"(?i)^skip|^no |utensil|plastic bag|bag|disposable"
 THIRD_PARTY_COST_RATE = "1.18"
 MIX_THRESHOLD_FACTOR = "0.7"
-QUADRANTS = ["Dog", "Plow Horse", "Puzzle", "Star"]
 RETENTION_GREEN = "0.28"
 RETENTION_AMBER = "0.15"
 
@@ -211,7 +212,6 @@ FISCAL_PERIODS = [
 
 # --- fixed values: pull window and retention extract columns -----------------
 BACKPAD_DAYS = 2
-CATERING_VOID_DAYS = 30
 MAX_WINDOW_DAYS = 45
 RETENTION_COLUMNS = [
     ("Item", "item_name", "string"),

@@ -19,8 +19,13 @@ def ratio(numerator: Column, denominator: Column) -> Column:
     return F.try_divide(numerator.cast("double"), denominator.cast("double"))
 
 
+def strip_space(col: Column) -> Column:
+    """Without leading and trailing white space of any kind, no-break spaces included."""
+    return F.regexp_replace(col, r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$", "")
+
+
 def blank_to_null(col: Column) -> Column:
-    return F.nullif(F.trim(col), F.lit(""))
+    return F.nullif(strip_space(col), F.lit(""))
 
 
 def is_blank(col: Column) -> Column:
@@ -52,7 +57,7 @@ def repair_encoding(col: Column) -> Column:
 
 
 def collapse_whitespace(col: Column) -> Column:
-    return F.trim(F.regexp_replace(col, r"(?U)[\s\x1c-\x1f]+", " "))
+    return strip_space(F.regexp_replace(col, r"(?U)[\s\x1c-\x1f]+", " "))
 
 
 def strip_suffixes(col: Column, suffixes: list[str] | None = None) -> Column:
@@ -95,7 +100,7 @@ def lookup_literal(col: Column, pairs: list[tuple[str, str]]) -> Column:
 
 def normalise_modifier_type(col: Column) -> Column:
     """Tags, singular and plural labels to one type name; unknown names stay."""
-    return F.coalesce(lookup_literal(F.lower(F.trim(col)), fv.MODIFIER_TYPE_NAMES), col)
+    return F.coalesce(lookup_literal(F.lower(strip_space(col)), fv.MODIFIER_TYPE_NAMES), col)
 
 
 def meal_bucket(col: Column) -> Column:

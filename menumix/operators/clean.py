@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from menumix.functions.scalars import collapse_whitespace, repair_encoding, strip_suffixes
+from menumix.functions.scalars import collapse_whitespace, repair_encoding, strip_space, strip_suffixes
 
 
 def _mapped(df: DataFrame, mappings: DataFrame, key_col: str, out: str) -> DataFrame:
@@ -35,17 +35,17 @@ def clean_names(df: DataFrame, raw: str, mappings: DataFrame, out: str = "clean_
 def flag_blocklisted(df: DataFrame, name: str, rules: DataFrame, out: str = "is_blocklisted") -> DataFrame:
     """Membership of the trimmed, lower-cased name in ``rules.key``."""
     keys = rules.select(F.col("key").alias("_block")).distinct()
-    flagged = df.join(keys, F.lower(F.trim(F.col(name))) == F.col("_block"), "left")
+    flagged = df.join(keys, F.lower(strip_space(F.col(name))) == F.col("_block"), "left")
     return flagged.withColumn(out, F.col("_block").isNotNull()).drop("_block")
 
 
 def tag_modifier_type(df: DataFrame, name: str, tags: DataFrame, out: str = "mod_type") -> DataFrame:
     """C4: type of a canonical modifier, null when untagged."""
     table = tags.select(F.col("key").alias("_tag"), F.col("value").alias(out))
-    return df.join(table, F.lower(F.trim(F.col(name))) == F.col("_tag"), "left").drop("_tag")
+    return df.join(table, F.lower(strip_space(F.col(name))) == F.col("_tag"), "left").drop("_tag")
 
 
 def exclude_from_mix(df: DataFrame, name: str, rules: DataFrame) -> DataFrame:
     """Listed names leave mix counts; they stay in the revenue facts."""
     keys = rules.select(F.col("key").alias("_out"))
-    return df.join(keys, F.lower(F.trim(F.col(name))) == F.col("_out"), "left_anti")
+    return df.join(keys, F.lower(strip_space(F.col(name))) == F.col("_out"), "left_anti")

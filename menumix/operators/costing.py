@@ -142,9 +142,15 @@ def channel_modifier_scope(df: DataFrame, online: list[str] | None = None, count
     return df.filter(F.col("channel_code").isin(online) | F.col("mod_type").isin(counter))
 
 
-def plates_rule(df: DataFrame, sub_category: str = "sub_category", plate: str = fv.PLATE_SUBCATEGORY) -> DataFrame:
-    """Plates come with their main, so mains and extra mains cost nothing more."""
-    plates = F.coalesce(F.col(sub_category) == plate, F.lit(False))
+def plates_rule(
+    df: DataFrame, sub_category: str = "sub_category", plate: str = fv.PLATE_SUBCATEGORY, items: list[str] | None = None
+) -> DataFrame:
+    """Plates come with their main, so mains and extra mains cost nothing more.
+
+    A plate has the sub-category or is one of the named ``items``.
+    """
+    named = F.col("item_name").isin(fv.PLATE_ITEMS if items is None else items) if "item_name" in df.columns else F.lit(False)
+    plates = F.coalesce(F.col(sub_category) == plate, F.lit(False)) | F.coalesce(named, F.lit(False))
     return df.filter(~(plates & F.coalesce(F.col("mod_type").isin(fv.PLATE_DROPPED_TYPES), F.lit(False))))
 
 
@@ -195,13 +201,19 @@ def avg_cost_with_modifiers(
     cost ``base_cost`` and ``category``; ``type_costs`` comes from
     ``modifier_cost_by_type`` after G4 and G5. Third-party modifiers carry the
     surcharge; categories that are not built to order have no modifier cost.
+    ``unpriced_quantity`` is the modifier quantity that found no cost and
+    counts as 0. Rows without a period meet type costs without one.
     """
     plain = NO_UPLIFT_CATEGORIES if no_uplift is None else no_uplift
     totals = (
         type_costs.groupBy(F.col("item_name").alias("canonical_name"), "channel_code", "period_key")
-        .agg(F.sum("type_cost").cast(COST_SUM).alias("modifier_cost"))
+        .agg(F.sum("type_cost").cast(COST_SUM).alias("modifier_cost"), F.sum("unpriced_quantity").alias("_unpriced"))
+        .withColumnRenamed("period_key", "_period")
     )
-    out = items.join(totals, ["canonical_name", "channel_code", "period_key"], "left")
+    out = items.alias("i").join(
+        totals.alias("t"), (F.col("i.canonical_name") == F.col("t.canonical_name")) & (F.col("i.channel_code") == F.col("t.channel_code"))
+        & F.col("i.period_key").eqNullSafe(F.col("t._period")), "left"
+    ).select("i.*", "t.modifier_cost", "t._unpriced")
     built = ~F.coalesce(F.col("category").isin(plain), F.lit(False))
     factor = F.when(F.col("channel_code") == third_party, F.lit(rate)).otherwise(F.lit("1")).cast("decimal(3,2)")
     modifiers = F.when(built, F.coalesce("modifier_cost", F.lit(0).cast(COST_SUM)) * factor).otherwise(F.lit(0))
@@ -211,5 +223,6 @@ def avg_cost_with_modifiers(
         .withColumn("total_base_cost", base.cast("decimal(28,4)"))
         .withColumn("total_cost", (F.col("total_base_cost") + F.col("total_modifier_cost")).cast("decimal(28,4)"))
         .withColumn("avg_cost", ratio(F.col("total_cost"), F.col("quantity")))
-        .drop("modifier_cost")
+        .withColumn("unpriced_quantity", F.when(built, F.coalesce("_unpriced", F.lit(0))).otherwise(F.lit(0)).cast(COST_SUM))
+        .drop("modifier_cost", "_unpriced")
     )

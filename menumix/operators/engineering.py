@@ -6,23 +6,30 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from menumix import fixed_values as fv
-from menumix.functions.scalars import ratio
+from menumix.functions.scalars import blank_to_null, ratio
 from menumix.operators.shares import share_of
 
 
-def in_scope(channels: list[str] | None = None) -> Column:
-    """Items that take part: sold, priced, categorised, in the three main channels."""
-    return F.coalesce(
-        (F.col("quantity") > 0) & (F.col("avg_cost") > 0) & F.col("category").isNotNull()
-        & F.col("channel_code").isin(channels or fv.ENGINEERING_CHANNELS),
-        F.lit(False),
+def in_scope(items: DataFrame, channels: list[str] | None = None) -> Column:
+    """Items that take part: sold, priced, categorised, in the three main channels.
+
+    Where ``items`` says so (``is_open_item``, ``is_excluded``), open and excluded
+    items do not; an unknown flag counts as no.
+    """
+    taken = (
+        (F.col("quantity") > 0) & (F.col("avg_cost") > 0) & blank_to_null(F.col("category")).isNotNull()
+        & F.col("channel_code").isin(channels or fv.ENGINEERING_CHANNELS)
     )
+    for flag in ("is_open_item", "is_excluded"):
+        if flag in items.columns:
+            taken = taken & ~F.coalesce(F.col(flag), F.lit(False))
+    return F.coalesce(taken, F.lit(False))
 
 
 def thresholds(items: DataFrame, by: list[str] = (), channels: list[str] | None = None) -> DataFrame:
     """Item count, margin threshold (total margin over total sales) and mix
     threshold (0.7 / n), over everything or within ``by``."""
-    sums = items.filter(in_scope(channels)).groupBy(*by).agg(
+    sums = items.filter(in_scope(items, channels)).groupBy(*by).agg(
         F.count("*").alias("n_items"),
         ratio(F.sum("total_margin"), F.sum("net_sales")).alias("margin_threshold"),
     )
@@ -52,7 +59,7 @@ def menu_engineering(
         reached = F.col(value) > F.col(limit) if strict else F.col(value) >= F.col(limit)
         return F.when(reached, "High").otherwise("Low")
 
-    scoped = in_scope(channels)
+    scoped = in_scope(items, channels)
     out = out.withColumn("margin_class", F.when(scoped, high("margin_pct", "margin_threshold")))
     out = out.withColumn("mix_class", F.when(scoped, high("menu_mix_pct", "mix_threshold")))
     margin, mix = F.col("margin_class"), F.col("mix_class")

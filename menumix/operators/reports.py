@@ -102,31 +102,45 @@ def item_metrics(items: DataFrame, scope_by: list[str] = ()) -> DataFrame:
 
 
 def blended_metrics(items: DataFrame, keys: list[str] = ("canonical_name",)) -> DataFrame:
-    """weighted price, cost and margin over channels."""
+    """weighted price, cost and margin over channels.
+
+    Cost and margin speak of the rows with a known cost only; the sales of the
+    others stand beside them as ``unpriced_sales``.
+    """
+    priced = F.col("total_cost").isNotNull()
     sums = items.groupBy(*keys).agg(
         F.sum("quantity").alias("quantity"), F.sum("net_sales").alias("net_sales"),
         F.sum("total_cost").alias("total_cost"),
+        F.sum(F.when(priced, F.col("quantity"))).alias("_quantity"), F.sum(F.when(priced, F.col("net_sales"))).alias("_sales"),
+        F.coalesce(F.sum(F.when(~priced, F.col("net_sales"))), F.lit(0)).alias("unpriced_sales"),
     )
     return (
         sums.withColumn("blended_avg_price", ratio(F.col("net_sales"), F.col("quantity")))
-        .withColumn("blended_avg_cost", ratio(F.col("total_cost"), F.col("quantity")))
-        .withColumn("blended_margin", F.lit(1.0) - ratio(F.col("total_cost"), F.col("net_sales")))
+        .withColumn("blended_avg_cost", ratio(F.col("total_cost"), F.col("_quantity")))
+        .withColumn("blended_margin", F.lit(1.0) - ratio(F.col("total_cost"), F.col("_sales")))
+        .drop("_quantity", "_sales")
     )
 
 
 def kpi_summary(items: DataFrame) -> DataFrame:
-    """one row of headline figures from an item frame with total_margin."""
+    """one row of headline figures from an item frame with total_margin.
+
+    The margin is that of the rows with a known margin over their own sales;
+    sales without one are ``unpriced_sales``.
+    """
+    priced = F.col("total_margin").isNotNull()
     per_item = items.groupBy("canonical_name").agg(
-        F.sum("quantity").alias("q"), F.sum("net_sales").alias("s"), F.sum("total_margin").alias("m")
+        F.sum("quantity").alias("q"), F.sum("net_sales").alias("s"), F.sum("total_margin").alias("m"),
+        F.sum(F.when(priced, F.col("net_sales"))).alias("p"), F.sum(F.when(~priced, F.col("net_sales"))).alias("u"),
     )
     top = F.max_by(F.struct("canonical_name", "s", "q"), F.struct("s", "canonical_name"))
     one = per_item.agg(
         F.sum("q").alias("items_sold"), F.sum("s").alias("net_revenue"),
-        ratio(F.sum("m"), F.sum("s")).alias("avg_margin_pct"),
+        ratio(F.sum("m"), F.sum("p")).alias("avg_margin_pct"), F.coalesce(F.sum("u"), F.lit(0)).alias("unpriced_sales"),
         F.count("*").alias("unique_items"), top.alias("t"),
     )
     return one.select(
-        "items_sold", "net_revenue", "avg_margin_pct", "unique_items",
+        "items_sold", "net_revenue", "avg_margin_pct", "unpriced_sales", "unique_items",
         F.col("t.canonical_name").alias("top_item"), F.col("t.s").alias("top_item_sales"),
         ratio(F.col("t.q"), F.col("items_sold")).alias("top_item_mix_pct"),
     )
@@ -161,14 +175,17 @@ def location_matrix(
     """one row per item, one column per location, null where unsold.
 
     ``metric`` is revenue, quantity or mix (quantity share within the location).
-    ``avg`` is the mean over locations that sold the item.
+    ``avg`` is the mean over listed locations that sold the item; what unlisted
+    locations sold is summed up in ``other``.
     """
     cells = _sales(lines, ["canonical_name", "location_code"])
     if metric == "mix":
         cells = share_of(cells, "quantity", ["location_code"], "cell")
     else:
         cells = cells.withColumn("cell", F.col("net_sales" if metric == "revenue" else "quantity"))
-    wide = cells.groupBy("canonical_name").pivot("location_code", locations).agg(F.sum("cell"))
+    place = F.when(F.col("location_code").isin(locations), F.col("location_code")).otherwise("other")
+    wide = cells.groupBy("canonical_name", place.alias("_place")).agg(F.sum("cell").alias("cell"))
+    wide = wide.groupBy("canonical_name").pivot("_place", [*locations, "other"]).agg(F.sum("cell"))
     pairs = F.array_compact(F.array(*[
         F.when(F.col(f"`{name}`").isNotNull(),
                F.struct(F.col(f"`{name}`").alias("v"), F.lit(-i).alias("p"), F.lit(name).alias("n")))
@@ -186,10 +203,14 @@ def location_matrix(
 
 
 def channel_split(lines: DataFrame, channels: list[str] | None = None) -> DataFrame:
-    """item sales per channel side by side, with their total."""
+    """item sales per channel side by side, those of unlisted channels, and
+    the total of all."""
     names = channels or [code for code, _ in fv.CHANNELS]
     sums = lines.groupBy("canonical_name", "channel_code").agg(F.sum("line_total").alias("s"))
-    wide = sums.groupBy("canonical_name").pivot("channel_code", names).agg(F.sum("s"))
+    channel = F.when(F.col("channel_code").isin(names), F.col("channel_code")).otherwise("unlisted")
+    sums = sums.groupBy("canonical_name", channel.alias("_channel")).agg(F.sum("s").alias("s"))
+    names = [*names, "unlisted"]
+    wide = sums.groupBy("canonical_name").pivot("_channel", names).agg(F.sum("s"))
     cells = [F.coalesce(F.col(f"`{n}`"), F.lit(0)) for n in names]
     return wide.select(
         "canonical_name", *[c.alias(n.lower()) for c, n in zip(cells, names)], sum(cells[1:], cells[0]).alias("total")
@@ -247,13 +268,15 @@ def byo_breakdown(
     mods: DataFrame, lines: DataFrame, items: list[str] | None = None, channels: list[str] | None = None
 ) -> DataFrame:
     """per modifier type, how often each modifier was chosen, its part of
-    the type and the part of the parent items' orders that carry it."""
+    the type and the part of the parent items' orders that carry it. Modifiers
+    without a type form the group ``Untyped``."""
     parents = filter_revenue(lines, "report")
     if items:
         parents = parents.filter(F.col("canonical_name").isin(items))
     if channels:
         parents = parents.filter(F.col("channel_code").isin(channels))
     joined = modifiers_of_items(mods.filter(~F.col("is_voided")), parents)
+    joined = joined.withColumn("mod_type", F.coalesce("mod_type", F.lit("Untyped")))
     sums = joined.groupBy("mod_type", "canonical_name").agg(
         F.sum("quantity").alias("quantity"), F.countDistinct("item_order").alias("orders")
     )
@@ -315,7 +338,7 @@ def open_items(
     no_group = is_blank(F.col("menu_group"))
     uncategorised = F.col("_listed").isNull() | F.col("_mapped").isNull()
     issues = F.array_compact(F.array(
-        F.when(F.col("_priced").isNull(), "NO COST"),
+        F.when(F.col("_priced").isNull() & ~F.coalesce(F.col("canonical_name").isin(fv.NO_COST_EXPECTED), F.lit(False)), "NO COST"),
         F.when(uncategorised, "UNCATEGORIZED"),
         F.when(no_group, "MISSING MENU GROUP"),
         F.when(F.col("_wrong"), "WRONG CHANNEL"),
@@ -349,7 +372,7 @@ def open_item_totals(items: DataFrame) -> DataFrame:
     )
 
 
-def needs_review(lines: DataFrame, payment_patterns: list | None = None, line_patterns: list | None = None) -> DataFrame:
+def needs_review(lines: DataFrame, payment_patterns: list | None = None) -> DataFrame:
     """orders whose stored channel differs from what their vendor implies.
 
     ``lines`` carry channel_code and alt_payment_name. The channel is attributed

@@ -27,23 +27,30 @@ def share_of(df: DataFrame, value: str, by: list[str] = (), out: str = "share")
     return joined.withColumn(out, ratio(F.col(value), F.col("_total"))).drop("_total").select(*df.columns, out)
 
 
+RANK_BUCKETS = 64
+
+
 def global_rank(df: DataFrame, value: str, out: str = "rank", by: list[str] = ()) -> DataFrame:
     """H3: rank (1 = largest, ties equal) without sorting everything in one task.
 
-    Equal values are collapsed first. Distinct values are split into buckets by
-    magnitude, which follow their order; a value's rank is the row count of
-    all higher buckets, plus that of higher values in its bucket, plus one.
+    Equal values are collapsed first. Distinct values are split into buckets at
+    quantiles of the distinct values (of all, and so of every ``by`` group of any
+    size), hence values that lie close together split too; a value's rank is the
+    row count of all higher buckets, plus that of higher values in its bucket, plus
+    one, which is exact wherever the splitters lie. NaN ranks first, as Spark
+    sorts it, then infinity; null ranks last.
     """
     by = list(by)
     counts = df.groupBy(*by, value).agg(F.count("*").alias("_n"))
     number = F.col(value).cast("double")
-    # Eight buckets per doubling for positive values; zero, negative and null follow.
-    magnitude = (
-        F.when(number > 0, F.floor(F.log2(number) * 8).cast("int"))
-        .when(number == 0, F.lit(-100000)).when(number < 0, F.lit(-200000) - F.floor(F.log2(-number) * 8).cast("int"))
-        .otherwise(F.lit(-1000000))
-    )
-    counts = counts.withColumn("_bucket", magnitude)
+    finite = F.when(~F.isnan(number) & (F.abs(number) != float("inf")), number)
+    splitters = counts.agg(F.percentile_approx(finite, F.lit([i / RANK_BUCKETS for i in range(1, RANK_BUCKETS)]), F.lit(50 * RANK_BUCKETS)).alias("s"))
+    cuts = sorted(set(splitters.first()[0] or []))  # at most RANK_BUCKETS numbers
+    bucket = F.lit(0)
+    if cuts:  # width_bucket over given bounds: how many of them the value reaches
+        bucket = F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: c <= number))
+    bucket = F.when(number.isNull(), F.lit(-1)).when(F.isnan(number), F.lit(len(cuts) + 1)).otherwise(bucket)
+    counts = counts.withColumn("_bucket", bucket)
     buckets = counts.groupBy(*by, "_bucket").agg(F.sum("_n").alias("_rows"))
     higher = Window.partitionBy(*by).orderBy(F.desc("_bucket")).rowsBetween(Window.unboundedPreceding, -1)
     offsets = buckets.withColumn("_offset", F.coalesce(F.sum("_rows").over(higher), F.lit(0))).drop("_rows")

@@ -150,7 +150,7 @@ def costed_items(spark, sf):
     lines = filters.filter_revenue(t.order_lines(
         spark, sf, "canonical_name", "channel_code", "business_date", "quantity", "line_total", "is_voided", "is_deferred"))
     days = calendar_days(t.calendar(spark)).select("business_date", (F.col("period_key") % 100).alias("period_key"))
-    items = lines.join(days, "business_date").groupBy("canonical_name", "channel_code", "period_key").agg(
+    items = lines.join(days, "business_date", "left").groupBy("canonical_name", "channel_code", "period_key").agg(
         F.sum("quantity").alias("quantity"), F.sum("line_total").alias("net_sales"))
     category = F.when(F.col("canonical_name").endswith("rod"), "Sides").otherwise("Entrees")
     return items.join(t.base_costs(spark, sf), "canonical_name", "left").withColumn("category", category)
@@ -162,20 +162,21 @@ tc AS (SELECT""").replace("FROM typed GROUP BY 1, 2, 3, 4)", "FROM kept GROUP BY
 COSTED = f"""{SCOPED_MODS},
 base AS (SELECT p_name AS canonical_name, MIN(CAST(p_retailprice AS DECIMAL(12,4))) AS base_cost FROM part GROUP BY 1),
 it AS (SELECT canonical_name, channel_code, CAST(period_no AS INTEGER) AS period_key, SUM(quantity) AS quantity, SUM(line_total) AS net_sales
-       FROM l JOIN cal ON business_date BETWEEN period_start AND period_end WHERE {REPORT} GROUP BY 1, 2, 3),
-mt AS (SELECT item_name AS canonical_name, channel_code, period_key, SUM(type_cost) AS mc FROM tc GROUP BY 1, 2, 3),
+       FROM l LEFT JOIN cal ON business_date BETWEEN period_start AND period_end WHERE {REPORT} GROUP BY 1, 2, 3),
+mt AS (SELECT item_name, channel_code AS ch, period_key AS pk, SUM(type_cost) AS mc, SUM(unpriced_quantity) AS uq FROM tc GROUP BY 1, 2, 3),
 ci AS (SELECT it.*, base_cost, CASE WHEN canonical_name LIKE '%rod' THEN 'Sides' ELSE 'Entrees' END AS category,
               CAST(CASE WHEN canonical_name LIKE '%rod' THEN 0
                    ELSE CAST(COALESCE(mc, 0) AS DECIMAL(24,4)) * CAST(CASE channel_code WHEN 'TPD' THEN 1.18 ELSE 1 END AS DECIMAL(3,2)) END AS DECIMAL(28,4)) AS total_modifier_cost,
-              CAST(base_cost * CAST(quantity AS DECIMAL(20,4)) AS DECIMAL(28,4)) AS total_base_cost
-       FROM it JOIN base USING (canonical_name) LEFT JOIN mt USING (canonical_name, channel_code, period_key)),
+              CAST(base_cost * CAST(quantity AS DECIMAL(20,4)) AS DECIMAL(28,4)) AS total_base_cost,
+              CASE WHEN canonical_name LIKE '%rod' THEN 0 ELSE COALESCE(uq, 0) END AS unpriced_quantity
+       FROM it JOIN base USING (canonical_name) LEFT JOIN mt ON mt.item_name = canonical_name AND ch = channel_code AND pk IS NOT DISTINCT FROM period_key),
 ct AS (SELECT *, total_base_cost + total_modifier_cost AS total_cost FROM ci)"""
 
 
 @query("g7_avg_cost_with_modifiers", f"""
 WITH {COSTED} SELECT canonical_name, channel_code, period_key, category, {d("quantity", "quantity")}, {d("net_sales", "net_sales")},
   {d("base_cost", "base_cost")}, {d("total_modifier_cost", "total_modifier_cost")}, {d("total_base_cost", "total_base_cost")},
-  {d("total_cost", "total_cost")}, {q("total_cost", "quantity", "avg_cost")} FROM ct""")
+  {d("total_cost", "total_cost")}, {q("total_cost", "quantity", "avg_cost")}, {d("unpriced_quantity", "unpriced_quantity")} FROM ct""")
 def avg_cost_with_modifiers(spark, sf):
     return costing.avg_cost_with_modifiers(costed_items(spark, sf), _type_costs(spark, sf))
 

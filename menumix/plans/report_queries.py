@@ -114,8 +114,9 @@ def item_metrics(spark, sf):
 WITH {ITEMS}
 SELECT canonical_name, {d("SUM(quantity)", "quantity")}, {d("SUM(net_sales)", "net_sales")},
        {d("SUM(total_cost)", "total_cost")}, {q("SUM(net_sales)", "SUM(quantity)", "blended_avg_price")},
-       {q("SUM(total_cost)", "SUM(quantity)", "blended_avg_cost")},
-       1 - CAST(SUM(total_cost) AS DOUBLE) / CAST(SUM(net_sales) AS DOUBLE) AS blended_margin
+       {q("SUM(total_cost)", "SUM(quantity) FILTER (WHERE total_cost IS NOT NULL)", "blended_avg_cost")},
+       1 - CAST(SUM(total_cost) AS DOUBLE) / CAST(SUM(net_sales) FILTER (WHERE total_cost IS NOT NULL) AS DOUBLE) AS blended_margin,
+       {d("COALESCE(SUM(net_sales) FILTER (WHERE total_cost IS NULL), 0)", "unpriced_sales")}
 FROM im GROUP BY canonical_name""")
 def blended_metrics(spark, sf):
     return reports.blended_metrics(item_metrics(spark, sf))
@@ -125,7 +126,8 @@ def blended_metrics(spark, sf):
 WITH {ITEMS}, p AS (SELECT canonical_name, SUM(net_sales) AS s, SUM(quantity) AS u FROM im GROUP BY 1),
 top AS (SELECT * FROM p ORDER BY s DESC, canonical_name DESC LIMIT 1)
 SELECT {d("SUM(quantity)", "items_sold")}, {d("SUM(net_sales)", "net_revenue")},
-       {q("SUM(total_margin)", "SUM(net_sales)", "avg_margin_pct")}, COUNT(DISTINCT canonical_name) AS unique_items,
+       {q("SUM(total_margin)", "SUM(net_sales) FILTER (WHERE total_margin IS NOT NULL)", "avg_margin_pct")},
+       {d("COALESCE(SUM(net_sales) FILTER (WHERE total_margin IS NULL), 0)", "unpriced_sales")}, COUNT(DISTINCT canonical_name) AS unique_items,
        (SELECT canonical_name FROM top) AS top_item, {d("(SELECT s FROM top)", "top_item_sales")},
        {q("(SELECT u FROM top)", "SUM(quantity)", "top_item_mix_pct")}
 FROM im""")
@@ -181,13 +183,15 @@ def category_mix(spark, sf):
 
 CELLS = ", ".join(f"""CAST(SUM(line_total) FILTER (WHERE location_code = '{x}') AS DOUBLE) AS "{x}" """ for x in t.LOCATIONS)
 
+OTHER_PLACES = f"""CAST(SUM(line_total) FILTER (WHERE location_code NOT IN ({", ".join(repr(x) for x in t.LOCATIONS)})) AS DOUBLE) AS other"""
+
 
 @query("f10_location_matrix", f"""
 WITH {LINES}, c AS (SELECT canonical_name, location_code, SUM(line_total) AS s FROM l WHERE {REPORT} GROUP BY 1, 2),
 best AS (SELECT canonical_name, location_code AS best_location,
                 row_number() OVER (PARTITION BY canonical_name ORDER BY s DESC, location_code) AS n,
                 SUM(s) OVER (PARTITION BY canonical_name) AS total, COUNT(*) OVER (PARTITION BY canonical_name) AS k FROM c)
-SELECT l.canonical_name, {CELLS}, {q("MAX(total)", "MAX(k)", "avg")}, MAX(best_location) AS best_location
+SELECT l.canonical_name, {CELLS}, {OTHER_PLACES}, {q("MAX(total)", "MAX(k)", "avg")}, MAX(best_location) AS best_location
 FROM l JOIN best ON best.canonical_name = l.canonical_name AND best.n = 1
 WHERE {REPORT} GROUP BY l.canonical_name ORDER BY avg DESC, l.canonical_name LIMIT 20""")
 def location_matrix(spark, sf):
@@ -202,7 +206,7 @@ w AS (SELECT canonical_name, {", ".join(f'''MAX(v) FILTER (WHERE location_code =
              COUNT(*) AS k FROM s GROUP BY 1),
 b AS (SELECT canonical_name, location_code AS best_location FROM
       (SELECT *, row_number() OVER (PARTITION BY canonical_name ORDER BY v DESC, location_code) AS n FROM s) WHERE n = 1)
-SELECT w.canonical_name, {", ".join(f'"{x}"' for x in t.LOCATIONS)},
+SELECT w.canonical_name, {", ".join(f'"{x}"' for x in t.LOCATIONS)}, CAST(NULL AS DOUBLE) AS other,
        ({" + ".join(f'COALESCE("{x}", 0)' for x in t.LOCATIONS)}) / k AS avg, best_location
 FROM w JOIN b USING (canonical_name)""")
 def location_matrix_mix(spark, sf):
@@ -217,7 +221,7 @@ CHANNEL_CELLS = ", ".join(
 
 
 @query("f11_channel_split", f"""
-WITH {LINES} SELECT canonical_name, {CHANNEL_CELLS}, {d("SUM(line_total)", "total")}
+WITH {LINES} SELECT canonical_name, {CHANNEL_CELLS}, CAST(0 AS DOUBLE) AS unlisted, {d("SUM(line_total)", "total")}
 FROM l WHERE {REPORT} GROUP BY canonical_name""")
 def channel_split(spark, sf):
     return reports.channel_split(_report_lines(spark, sf, "canonical_name", "channel_code"))
@@ -287,17 +291,16 @@ def payment_mix_by_location(spark, sf):
 @query("f15_byo_breakdown", f"""
 WITH {LINES}, {modifier_cte()},
 p AS (SELECT * FROM l WHERE {REPORT} AND channel_code IN ('IN_HOUSE', 'APP', 'TPD')),
-s AS (SELECT m.mod_type, m.canonical_name, SUM(m.quantity) AS u, COUNT(DISTINCT p.order_guid) AS orders
+s AS (SELECT COALESCE(m.mod_type, 'Untyped') AS mod_type, m.canonical_name, SUM(m.quantity) AS u, COUNT(DISTINCT p.order_guid) AS orders
       FROM m JOIN p ON m.parent_selection = p.selection_guid WHERE NOT m.is_voided GROUP BY 1, 2)
 SELECT s.mod_type, s.canonical_name, {d("u", "quantity")}, orders,
        {q("orders", "(SELECT COUNT(DISTINCT order_guid) FROM p)", "order_share")},
        CAST(u AS DOUBLE) / CAST(SUM(u) OVER (PARTITION BY s.mod_type) AS DOUBLE) AS type_share
-FROM s WHERE s.mod_type IS NOT NULL""")
+FROM s""")
 def byo_breakdown(spark, sf):
     lines = t.order_lines(spark, sf, "selection_guid", "order_guid", "canonical_name", "channel_code",
                           "location_code", "business_date", "is_voided", "is_deferred")
-    mods = t.modifiers(spark, sf).filter(F.col("mod_type").isNotNull())
-    return reports.byo_breakdown(mods, lines, channels=["IN_HOUSE", "APP", "TPD"])
+    return reports.byo_breakdown(t.modifiers(spark, sf), lines, channels=["IN_HOUSE", "APP", "TPD"])
 
 
 # --- F16 to F18 ----------------------------------------------------------------

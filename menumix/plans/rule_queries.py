@@ -353,7 +353,7 @@ cost AS (SELECT p_name AS canonical_name, CAST((1995 + p_partkey % 7) * 100 + p_
                 CASE WHEN p_size > 25 THEN (['AFRICA', 'AMERICA', 'ASIA', 'EUROPE', 'MIDDLE EAST'])[p_partkey % 5 + 1] END AS location_code,
                 MIN(CAST(p_retailprice AS DECIMAL(12,4))) AS avg_cost FROM part GROUP BY 1, 2, 3),
 i AS (SELECT canonical_name, location_code, period_key, SUM(quantity) AS quantity FROM l
-      JOIN cal ON business_date BETWEEN period_start AND period_end WHERE {REPORT} GROUP BY 1, 2, 3),
+      LEFT JOIN cal ON business_date BETWEEN period_start AND period_end WHERE {REPORT} GROUP BY 1, 2, 3),
 newest AS (SELECT canonical_name, avg_cost FROM (SELECT *, row_number() OVER (PARTITION BY canonical_name
            ORDER BY period_key DESC, location_code IS NOT NULL, avg_cost) AS n FROM cost) WHERE n = 1),
 j AS (SELECT i.*, c1.avg_cost AS a, c2.avg_cost AS b, newest.avg_cost AS c FROM i
@@ -366,7 +366,7 @@ SELECT canonical_name, location_code, period_key, {d("quantity", "quantity")}, {
 def cost_lookup(spark, sf):
     lines = filters.filter_revenue(
         t.order_lines(spark, sf, "canonical_name", "location_code", "business_date", "quantity", "line_total", "is_voided", "is_deferred"))
-    items = reports.period_sales(lines, t.calendar(spark), ["canonical_name", "location_code"]).filter(F.col("period_key").isNotNull())
+    items = reports.period_sales(lines, t.calendar(spark), ["canonical_name", "location_code"])
     return joins.cost_lookup(items.drop("period_label", "net_sales"), t.item_costs(spark, sf), exempt=["red widget"])
 
 

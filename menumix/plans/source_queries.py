@@ -277,6 +277,19 @@ def merge_into(spark, sf):
     return spark.read.parquet(path)
 
 
+@query("a13_merge_moves_partition", f"""
+WITH {LINES} SELECT selection_guid, {d("line_total", "line_total")}, is_voided, CASE location_code WHEN 'AFRICA' THEN 'ASIA' ELSE location_code END AS location_code FROM l""")
+def merge_moves_partition(spark, sf):
+    """All lines of one location move to another: its partition must go."""
+    path = scratch_path(spark, "moved-lines")
+    lines = t.order_lines(spark, sf, "selection_guid", "line_total", "is_voided", "location_code")
+    files.write_table(lines, path, "location_code")
+    moved = lines.filter("location_code = 'AFRICA'").withColumn("location_code", F.lit("ASIA"))
+    files.merge_into(
+        spark, path, moved, ["selection_guid"], lambda old, new: upsert(old, new, ["selection_guid"], update=["location_code"]), "location_code")
+    return spark.read.parquet(path)
+
+
 @query("a14_export_items_csv", f"""
 WITH {LINES} SELECT canonical_name, channel_code, CAST(SUM(quantity) AS DOUBLE) AS quantity, CAST(SUM(line_total) AS DOUBLE) AS net_sales
 FROM l WHERE {REPORT} GROUP BY 1, 2""")

@@ -61,7 +61,6 @@ def _row_order() -> Column:
 
 
 # --- A5, A6, A7 ------------------------------------------------------------------
-RETENTION_WIDTH = 64
 INSTORE_FILE = r"P(\d{2})(\d{4})IS"
 DELIVERY_FILE = r"P(\d{2})(\d{4})Del"
 
@@ -95,14 +94,19 @@ def read_retention(spark: SparkSession, path: str, pattern: str) -> DataFrame:
 
     24 of the 44 columns are kept under short names; files whose name holds no
     period are skipped; of repeated items the last row stands. A leading byte
-    order mark is dropped.
+    order mark is dropped. The columns are as many as the widest header has; a
+    file without the item column and a record that spans lines fail the job.
     """
     lines = spark.read.text(path).select(
         F.regexp_replace("value", "^\ufeff", "").alias("line"),
         F.input_file_name().alias("file"), F.monotonically_increasing_id().alias("id"),
     ).filter(F.trim("line") != "")
-    cells = F.array(*[F.col(f"row._c{i}") for i in range(RETENTION_WIDTH)])
-    parsed = lines.withColumn("row", F.from_csv("line", _text_columns(RETENTION_WIDTH), {"escape": '"'})).select(
+    first = lines.groupBy("file").agg(F.min_by("line", "id").alias("line"))
+    width = first.agg(F.max(F.size(F.split("line", ",")))).first()[0] or 1  # quoted commas only add columns
+    cells = F.array(*[F.col(f"row._c{i}") for i in range(width)])
+    whole = F.length(F.regexp_replace("line", '[^"]', "")) % 2 == 0
+    line = F.when(whole, F.col("line")).otherwise(F.raise_error(F.lit("a retention record spans lines")))
+    parsed = lines.withColumn("row", F.from_csv(line, _text_columns(width), {"escape": '"'})).select(
         "file", "id", cells.alias("cells")
     )
     # Each file's own header row names its columns.
@@ -110,10 +114,14 @@ def read_retention(spark: SparkSession, path: str, pattern: str) -> DataFrame:
     rows = parsed.join(headers, "file").filter(F.col("id") > F.col("first_id"))
     period, year = period_from_filename(F.col("file"), pattern)
     rows = rows.withColumns({"fiscal_year": year, "period": period, "_at": F.struct("file", "id")})
+    def cell(old: str, new: str) -> Column:
+        place = F.array_position("header", old).cast("int")
+        if new == "item_name":
+            place = F.when(place > 0, place).otherwise(F.raise_error(F.concat(F.lit(f"no column {old} in "), F.col("file"))).cast("int"))
+        return F.get("cells", place - 1).alias(new)
+
     rows = rows.filter(F.col("period").isNotNull()).select(
-        "fiscal_year", "period", "_at",
-        *[F.get("cells", F.array_position("header", old).cast("int") - 1).alias(new)
-          for old, new, _ in fv.RETENTION_COLUMNS],
+        "fiscal_year", "period", "_at", *[cell(old, new) for old, new, _ in fv.RETENTION_COLUMNS],
     )
     kinds = {new: kind for _, new, kind in fv.RETENTION_COLUMNS}
     typed = coerce_columns(rows, kinds, "item_name")
@@ -130,11 +138,21 @@ def upsert_retention(target: DataFrame, source: DataFrame) -> DataFrame:
 
 # --- A8, A9 ----------------------------------------------------------------------
 SHEET_WIDTH = 27
+SHEET_COLUMNS = {"modifier_types": 11, "item_lookup": 8, "modifier_cost": 27, "item_cost": 7}
 
 
-def read_sheet(spark: SparkSession, path: str, skip_rows: int = 0) -> DataFrame:
+def read_sheet(spark: SparkSession, path: str, skip_rows: int = 0, needs: int | None = None) -> DataFrame:
     """A sheet exported as CSV without header: texts ``_c0, _c1, ...`` and the
-    row's place ``_at``. The first ``skip_rows`` rows of the file are dropped."""
+    row's place ``_at``. The first ``skip_rows`` rows of the file are dropped.
+
+    ``needs`` is the number of columns that the loader reads (``SHEET_COLUMNS``);
+    a file whose widest row is narrower fails.
+    """
+    if needs:
+        widths = spark.read.text(path).groupBy(F.input_file_name().alias("file")).agg(F.max(F.size(F.split("value", ","))).alias("width"))
+        narrow = widths.filter(F.col("width") < needs).orderBy("file").take(1)
+        if narrow:
+            raise ValueError(f"{narrow[0][0]} has {narrow[0][1]} columns, {needs} are read")
     rows = spark.read.options(**{**CSV, "header": "false"}).schema(_text_columns(SHEET_WIDTH)).csv(path)
     rows = rows.withColumns({"_at": F.monotonically_increasing_id(), "_file": F.input_file_name()})
     if skip_rows:
@@ -280,7 +298,8 @@ def merge_into(
     The merged partitions are written aside first, so that none is read while
     it is being replaced, and a run that failed can be repeated. Partition
     values (days, locations) are few and are listed on the driver, which prunes
-    the scan of the old rows to them.
+    the scan of the old rows to them. A partition that the merge leaves without
+    rows is removed.
     """
     old = spark.read.parquet(path)
     searched = old if known is None else old.filter(known)
@@ -291,3 +310,15 @@ def merge_into(
         inside = inside | F.col(partition).isNull()
     merged = materialise(merge(old.filter(inside), batch), "merged")
     write_table(merged, path, partition)
+    left = {row[0] for row in merged.select(partition).distinct().collect()}
+    _remove_partitions(spark, path, partition, [value for value in touched if value not in left])
+
+
+def _remove_partitions(spark: SparkSession, path: str, partition: str, values: list) -> None:
+    """Delete the folders of partitions that hold no row any more."""
+    jvm = spark._jvm
+    names = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    for value in values:
+        folder = names.getPartitionPathString(partition, None if value is None else str(value))
+        place = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{folder}")
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)

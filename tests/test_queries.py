@@ -7,10 +7,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as driver
+from menumix.plans import registry
 
 DATA = os.environ.get("MENUMIX_TEST_DATA", "/root/testdata/sf0.001")
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
-QUERIES, SQL = driver.queries(), driver.oracle_sql()
+QUERIES, SQL = registry.QUERIES, registry.SQL
 QUICK = ["f1_revenue_by_channel", "f5_item_metrics", "f10_location_matrix", "f16_renames_audit", "h1_share_within_location",
          "h3_order_rank", "h4_vs_prior", "h8_subtotals", "c2_clean_names", "c12_resolve_category", "d3_top_payment", "d9_cost_lookup",
          "e6_upsert_dim_item", "g7_avg_cost_with_modifiers", "g8_menu_engineering", "b4_walk_modifiers"]
@@ -66,6 +67,7 @@ def test_plans_hold_no_cross_join_and_no_row_window(spark, name):
 
 def test_every_query_has_a_twin():
     assert set(SQL) == set(QUERIES)
+    assert set(QUERIES) <= set(driver.queries()) and set(driver.oracle_sql()) <= set(driver.queries())
 
 
 def test_entry(spark):
