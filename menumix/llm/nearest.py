@@ -34,7 +34,7 @@ class Block:
     """
 
     def __init__(self, vectors: np.ndarray, ids: np.ndarray, norm: float, projections: int, seed: int):
-        self.vectors, self.ids, self.projections = vectors, ids, projections
+        self.vectors, self.ids, self.norm, self.projections = vectors, ids, norm, projections
         self.lines = np.random.default_rng(seed).standard_normal((vectors.shape[1] + 1, projections))
         lifted = np.sqrt(np.maximum(norm * norm - (vectors * vectors).sum(axis=1), 0.0))
         at = (vectors @ self.lines[:-1] + lifted[:, None] * self.lines[-1]).T
@@ -60,7 +60,8 @@ class Block:
         hold the whole block; the first queries set the width at which the others begin.
         """
         need, enough = int(np.ceil(threshold * self.projections)), k + int(spare * len(self.ids))
-        centres = queries @ self.lines[:-1]
+        # A query's length does not change its order of inner products; at the common norm distances differ most.
+        centres = (queries * (self.norm / np.linalg.norm(queries, axis=1, keepdims=True))) @ self.lines[:-1]
         out, begin = [], 0
         for upto in (min(8, len(queries)), len(queries)):
             first = self.windows(centres[begin:upto], width) if upto > begin else None
