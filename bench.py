@@ -38,11 +38,18 @@ HEADLINE = [
     "g8_menu_engineering",
     "b3_explode_selections",
     "b4_walk_modifiers",
+    "a1_read_orders",
+    "a13_merge_into",
+    "g8_menu_report",
+    "i3_merge_run",
+    "i4_reparse",
 ]
+# Their landed feed and staged tables are kept by the session; timed without that.
+COLD = ["a1_read_orders", "i3_merge_run", "i4_reparse"]
 
 
 def main() -> None:
-    from menumix.plans import registry
+    from menumix.plans import driver_tables, registry, run_queries
     from menumix.session import local_session
 
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
@@ -53,6 +60,9 @@ def main() -> None:
     for name in wanted:
         runs = []
         for _ in range(3):
+            if name in COLD:
+                driver_tables._LANDED.clear()
+                run_queries._RUNS.clear()
             start = time.perf_counter()
             registry.QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
             runs.append(time.perf_counter() - start)

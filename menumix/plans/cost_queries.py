@@ -9,7 +9,10 @@ from menumix.functions.scalars import meal_bucket, normalise_modifier_type
 from menumix.operators import costing, engineering, filters
 from menumix.plans import driver_tables as t
 from menumix.plans.catalogue import CALENDAR, LINES, REPORT, d, modifier_cte, q, query
+from menumix.plans.menu_report import menu_report
 from menumix.plans.report_queries import ITEMS, item_metrics
+from menumix.session import rule_frame, scratch_path
+from menumix.sources import files
 
 COSTS = """
 unit AS (SELECT canonical_name AS cost_name, CAST(s_suppkey % 13 + 1 AS INTEGER) AS period_key,
@@ -245,3 +248,59 @@ def overall_from_channels(spark, sf):
 WITH {ITEMS} SELECT canonical_name, channel_code, {d("net_sales - total_cost", "contribution")}, {q("net_sales", "quantity", "avg_price")} FROM im""")
 def contribution(spark, sf):
     return engineering.contribution(item_metrics(spark, sf)).select("canonical_name", "channel_code", "contribution", "avg_price")
+
+
+# --- the whole chain -------------------------------------------------------------
+REPORT_CHAIN = COSTED.replace(
+    "JOIN base USING (canonical_name) LEFT", "LEFT JOIN (SELECT * FROM base WHERE canonical_name <> 'hot ring') USING (canonical_name) LEFT") + """,
+mr AS (SELECT canonical_name, channel_code, canonical_name LIKE '%gear' AS is_open_item, SUM(quantity) AS quantity, SUM(net_sales) AS net_sales,
+              CASE WHEN canonical_name LIKE 'old %' AND canonical_name NOT LIKE '%rod' THEN NULL ELSE MAX(category) END AS category,
+              CASE WHEN canonical_name LIKE '%plate' THEN 'Plates' END AS sub_category,
+              SUM(total_cost) AS total_cost, SUM(unpriced_quantity) AS unpriced_quantity
+       FROM ct WHERE canonical_name <> 'red widget' GROUP BY 1, 2),
+mm AS (SELECT *, CAST(total_cost AS DOUBLE) / CAST(quantity AS DOUBLE) AS avg_cost, 1 - CAST(total_cost AS DOUBLE) / CAST(net_sales AS DOUBLE) AS margin_pct,
+              net_sales - total_cost AS total_margin, CAST(quantity AS DOUBLE) / CAST(SUM(quantity) OVER () AS DOUBLE) AS menu_mix_pct FROM mr),
+ok AS (SELECT * FROM mm WHERE channel_code IN ('IN_HOUSE', 'APP', 'TPD') AND category IS NOT NULL AND quantity > 0 AND avg_cost > 0 AND NOT is_open_item),
+lim AS (SELECT CAST(SUM(total_margin) AS DOUBLE) / CAST(SUM(net_sales) AS DOUBLE) AS margin_threshold, 1 / CAST(COUNT(*) AS DOUBLE) * CAST(0.7 AS DOUBLE) AS mix_threshold FROM ok),
+qd AS (SELECT canonical_name, channel_code, CASE WHEN margin_pct > margin_threshold THEN CASE WHEN menu_mix_pct > mix_threshold THEN 'Star' ELSE 'Puzzle' END
+              WHEN menu_mix_pct > mix_threshold THEN 'Plow Horse' ELSE 'Dog' END AS quadrant FROM ok, lim)"""
+
+
+def menu_report_items(spark, sf):
+    """The chain over the test tables: gears are open items, old things have no
+    category, hot rings no cost, red widgets are excluded, plates carry no mains."""
+    name = F.col("canonical_name")
+    lines = t.order_lines(spark, sf, "canonical_name", "channel_code", "business_date", "quantity", "line_total", "is_voided", "is_deferred",
+                          "menu_name", "menu_group", "sales_category").withColumn("menu_group", F.when(~name.endswith("gear"), F.col("menu_group")))
+    names = t.table(spark, sf, "part").select(F.col("p_name").alias("canonical_name")).distinct()
+    category = F.when(name.endswith("rod"), "Sides").when(~name.startswith("old "), "Entrees")
+    empty = {"groups": "menu_group string, category string, sub_category string", "subs": "sub_category string, category string"}
+    rules = {k: rule_frame(spark, [], v) for k, v in empty.items()}
+    rules["items"] = names.withColumn("category", category).withColumn("sub_category", F.when(name.endswith("plate"), "Plates"))
+    costs = t.base_costs(spark, sf).filter("canonical_name <> 'hot ring'").select(F.col("canonical_name").alias("item_name"), F.lit(1).alias("period_key"), F.col("base_cost").alias("avg_cost"))
+    days = calendar_days(t.calendar(spark)).select("business_date", (F.col("period_key") % 100).alias("period_key"))
+    return menu_report(lines, _type_costs(spark, sf), costs, days, rules, rule_frame(spark, [("red widget", "")], "key string, value string"))
+
+
+REPORT_COLUMNS = f"""canonical_name, channel_code, category, sub_category, {d("quantity", "quantity")}, {d("net_sales", "net_sales")}, {d("total_cost", "total_cost")},
+       margin_pct, menu_mix_pct, quadrant"""
+
+
+@query("g8_menu_report", f"""
+WITH {REPORT_CHAIN}
+SELECT {REPORT_COLUMNS}, is_open_item, {d("unpriced_quantity", "unpriced_quantity")}, total_cost IS NULL AS no_cost
+FROM mm LEFT JOIN qd USING (canonical_name, channel_code)""")
+def menu_report_query(spark, sf):
+    return menu_report_items(spark, sf).select(
+        "canonical_name", "channel_code", "category", "sub_category", "quantity", "net_sales", "total_cost", "margin_pct", "menu_mix_pct", "quadrant",
+        "is_open_item", "unpriced_quantity", "no_cost")
+
+
+@query("a14_all_items", f"WITH {REPORT_CHAIN} SELECT {REPORT_COLUMNS} FROM mm LEFT JOIN qd USING (canonical_name, channel_code)")
+def all_items(spark, sf):
+    """The all-items report, written as CSV and read again."""
+    path = scratch_path(spark, "all-items")
+    kinds = {"quantity": "decimal(28,4)", "net_sales": "decimal(28,4)", "total_cost": "decimal(38,4)", "margin_pct": "double", "menu_mix_pct": "double"}
+    names = ["canonical_name", "channel_code", "category", "sub_category", "quantity", "net_sales", "total_cost", "margin_pct", "menu_mix_pct", "quadrant"]
+    files.export_items_csv(menu_report_items(spark, sf).select(*names), path)
+    return spark.read.schema(", ".join(f"{n} {kinds.get(n, 'string')}" for n in names)).option("header", True).csv(path)
