@@ -182,28 +182,37 @@ class Search:
             return None
         long = index.where(F.col("size") > SMALL_LIST)
         outside = self.outside(long.where("node <> leader").select(F.col("node").alias("a"), F.col("leader").alias("b")).distinct())
-        outside = materialise(outside, "near_outside")
         return outside if outside.limit(1).count() else None
 
     def outside(self, pairs: DataFrame) -> DataFrame:
-        """(k, node, n): for each set and leader, the values outside the leader that a similar partner must meet."""
+        """(k, node, n): for each set and leader, values outside the leader of which any similar partner shares one.
+
+        A partner shares ``need`` of them, hence one outside the ``need - 1`` most frequent.
+        """
         rule = self.rule
 
         def run(batches):
             for batch in batches:
                 a, b, pa_, pb = (batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("a", "b", "pa", "pb"))
-                keys, nodes, sizes = [np.zeros(0, np.uint64)], [], []
+                keys, nodes, sizes, needs = [np.zeros(0, np.uint64)], [], [], []
                 for node, leader, s, t in zip(a, b, pa_, pb):
                     x, y = unpack(s)[0], unpack(t)[0]
                     rest = np.setdiff1d(x, y, assume_unique=True)
                     need = max(1, math.ceil(rule.share * (len(x) + len(y)) / (100 + rule.share) - (len(x) - len(rest)) - 1e-9))
-                    rest = rest[:max(0, len(rest) - need + 1)]
+                    if len(rest) < need:
+                        continue
                     keys.append(mix(rest ^ mix(np.array([leader % 2**64], np.uint64))))
                     nodes += [node] * len(rest)
                     sizes += [len(x)] * len(rest)
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64())], names=["k", "node", "n"])
-
-        return self.with_sets(pairs).select("a", "b", "pa", "pb").mapInArrow(run, "k long, node long, n long")
+                    needs += [(leader, need)] * len(rest)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate(keys).view(np.int64)), *[pa.array(v, pa.int64()) for v in (nodes, sizes, [x[0] for x in needs], [x[1] for x in needs])]],
+                    names=["k", "node", "n", "leader", "need"])
+
+        values = materialise(self.with_sets(pairs).select("a", "b", "pa", "pb").mapInArrow(run, "k long, node long, n long, leader long, need long"), "near_outside")
+        counts = materialise(values.groupBy("k").agg(F.count(F.lit(1)).alias("df")).where("df > 1"), "near_outside_counts")
+        ranked = values.join(counts, "k").selectExpr("*", "row_number() over (partition by node, leader order by df desc, k desc) as nth")
+        return materialise(ranked.where("nth >= need").select("k", "node", "n"), "near_index")
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_words: int = 5, share: int = 80) -> DataFrame:
