@@ -5,7 +5,21 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from menumix.session import materialise
+from menumix.session import scratch_path
+
+PART_BYTES = 2 << 20
+
+
+def settle(df: DataFrame, name: str) -> DataFrame:
+    """Write a frame to the shared folder and read it in as few partitions as its
+    size asks for (one per two megabytes of Parquet), so that small
+    tables need no shuffle in what follows. Lineage is cut and lost executors cost nothing."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    size = place.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(place).getLength()
+    return spark.read.schema(df.schema).parquet(path).coalesce(max(1, -(-size // PART_BYTES)))
 
 
 def with_results(df: DataFrame, results: dict[str, Column]) -> DataFrame:
@@ -26,18 +40,18 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     Alternating large-star and small-star rounds: only joins and minima that
     combine before the shuffle, each round written to the shared folder.
     """
-    now = materialise(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
+    now = settle(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
     before = None
     for _ in range(most_rounds):
         both = now.select("u", "v").unionAll(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionAll(
             least.where("m < u").select("u", F.col("m").alias("v")))
-        large = materialise(large.distinct(), "large_star")
+        large = settle(large.distinct(), "large_star")
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionAll(
             least.select("u", F.col("m").alias("v")))
-        now = materialise(small.distinct(), "small_star")
+        now = settle(small.distinct(), "small_star")
         state = tuple(now.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first())
         if state == before:
             break

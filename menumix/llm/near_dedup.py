@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from menumix.llm.arrays import pack, unpack
-from menumix.llm.frames import components
+from menumix.llm.frames import components, settle
 from menumix.llm.words import mix, shingle_hashes, slices, words_of
 from menumix.session import materialise
 
@@ -133,8 +133,8 @@ class Search:
     def with_sets(self, pairs: DataFrame) -> DataFrame:
         """Pairs (a, b) with both full sets."""
         ends = pairs.select(F.col("a").alias("node")).unionAll(pairs.select("b")).distinct()
-        wanted = materialise(ends.join(self.nodes.select("node", "first"), "node").select("first", "node"), "near_wanted")
-        sets = materialise(full_sets(self.docs, wanted, self.rule), "near_sets")
+        wanted = settle(ends.join(self.nodes.select("node", "first"), "node").select("first", "node"), "near_wanted")
+        sets = settle(full_sets(self.docs, wanted, self.rule), "near_sets")
         return pairs.join(sets.toDF("a", "pa"), "a").join(sets.toDF("b", "pb"), "b")
 
     def verify(self, pairs: DataFrame) -> None:
@@ -142,9 +142,9 @@ class Search:
         pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         if self.seen is not None:
             pairs = pairs.join(self.seen, ["a", "b"], "left_anti")
-        pairs = materialise(pairs, "near_pairs")
+        pairs = settle(pairs, "near_pairs")
         self.seen = pairs if self.seen is None else self.seen.unionAll(pairs)
-        likely = materialise(self.estimated(pairs), "near_likely")
+        likely = settle(self.estimated(pairs), "near_likely")
         rule = self.rule
 
         def run(batches):
@@ -153,7 +153,7 @@ class Search:
                 hits = [(x, y) for x, y, s, t in zip(a, b, pa_, pb) if rule.similar(unpack(s)[0], unpack(t)[0])]
                 yield pa.RecordBatch.from_arrays([pa.array([h[0] for h in hits], pa.int64()), pa.array([h[1] for h in hits], pa.int64())], names=["a", "b"])
 
-        found = materialise(self.with_sets(likely).select("a", "b", "pa", "pb").mapInArrow(run, "a long, b long"), "near_links")
+        found = settle(self.with_sets(likely).select("a", "b", "pa", "pb").mapInArrow(run, "a long, b long"), "near_links")
         self.links = found if self.links is None else self.links.unionAll(found)
 
     def resolve(self, index: DataFrame, last: bool) -> DataFrame | None:
@@ -167,14 +167,14 @@ class Search:
         within the leader is not enough): its members go on to lists of those values.
         """
         lists = index.groupBy("k").agg(F.min(F.struct("n", "node")).alias("leader"), F.count(F.lit(1)).alias("size")).where("size > 1")
-        lists = materialise(lists.select("k", "size", F.col("leader.node").alias("leader"), F.col("leader.n").alias("leader_n")), "near_lists")
+        lists = settle(lists.select("k", "size", F.col("leader.node").alias("leader"), F.col("leader.n").alias("leader_n")), "near_lists")
         met = index.join(lists, "k").where("node <> leader")
         self.verify(met.where(self.rule.sizes("n", "leader_n")).select(F.col("node").alias("a"), F.col("leader").alias("b")))
         labels = components(self.links)
         index = index.join(lists, "k").join(labels, "node", "left").select("k", "node", "n", "size", "leader", F.coalesce("component", "node").alias("component"))
-        index = materialise(index, "near_index")
+        index = settle(index, "near_index")
         mixed = index.groupBy("k").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("k")
-        index = materialise(index.join(mixed, "k"), "near_mixed")
+        index = settle(index.join(mixed, "k"), "near_mixed")
         short = index if last else index.where(F.col("size") <= SMALL_LIST)
         left, right = (short.select("k", *[F.col(c).alias(c + s) for c in ("node", "n", "component")]) for s in ("_a", "_b"))
         self.verify(left.join(right, "k").where(f"component_a < component_b and {self.rule.sizes('n_a', 'n_b')}").select(F.col("node_a").alias("a"), F.col("node_b").alias("b")))
@@ -209,10 +209,10 @@ class Search:
                     [pa.array(np.concatenate(keys).view(np.int64)), *[pa.array(v, pa.int64()) for v in (nodes, sizes, [x[0] for x in needs], [x[1] for x in needs])]],
                     names=["k", "node", "n", "leader", "need"])
 
-        values = materialise(self.with_sets(pairs).select("a", "b", "pa", "pb").mapInArrow(run, "k long, node long, n long, leader long, need long"), "near_outside")
-        counts = materialise(values.groupBy("k").agg(F.count(F.lit(1)).alias("df")).where("df > 1"), "near_outside_counts")
+        values = settle(self.with_sets(pairs).select("a", "b", "pa", "pb").mapInArrow(run, "k long, node long, n long, leader long, need long"), "near_outside")
+        counts = settle(values.groupBy("k").agg(F.count(F.lit(1)).alias("df")).where("df > 1"), "near_outside_counts")
         ranked = values.join(counts, "k").selectExpr("*", "row_number() over (partition by node, leader order by df desc, k desc) as nth")
-        return materialise(ranked.where("nth >= need").select("k", "node", "n"), "near_index")
+        return settle(ranked.where("nth >= need").select("k", "node", "n"), "near_index")
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_words: int = 5, share: int = 80) -> DataFrame:
@@ -241,16 +241,16 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     nodes = rows.where("n > 0 and id is not null").groupBy("node").agg(F.min("id").alias("first"), F.any_value("n").alias("n"), F.any_value("sketch").alias("sketch"))
     nodes = materialise(nodes, "near_nodes")
     values = nodes.select("node", "n", F.explode("sketch").alias("k"))
-    counts = materialise(values.groupBy("k").agg(F.count(F.lit(1)).alias("df")).where("df > 1"), "near_counts")
+    counts = settle(values.groupBy("k").agg(F.count(F.lit(1)).alias("df")).where("df > 1"), "near_counts")
     ranked = values.join(counts, "k").selectExpr("*", "row_number() over (partition by node order by df desc, k desc) as nth")
-    index = materialise(ranked.where(f"nth >= {rule.least('n')}").select("k", "node", "n"), "near_prefix")
+    index = settle(ranked.where(f"nth >= {rule.least('n')}").select("k", "node", "n"), "near_prefix")
     search, level = Search(docs, nodes, rule), 0
     while index is not None:
         level += 1
         index = search.resolve(index, last=level == LEVELS)
     labels = components(search.links).join(nodes.select("node", "first"), "node")
     firsts = labels.groupBy("component").agg(F.min("first").alias("component_id"))
-    named = materialise(nodes.select("node", "first").join(labels.select("node", "component"), "node", "left").join(firsts, "component", "left").select(
+    named = settle(nodes.select("node", "first").join(labels.select("node", "component"), "node", "left").join(firsts, "component", "left").select(
         F.col("node"), F.coalesce("component_id", "first").alias("component_id")), "near_components")
     component = F.when(F.col("id").isNull(), F.lit(None)).otherwise(F.coalesce("component_id", "id"))
     out = rows.select("id", "n", F.when(F.col("n") > 0, F.col("node")).alias("node")).join(named, "node", "left")
