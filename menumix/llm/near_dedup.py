@@ -104,14 +104,14 @@ class Search:
     """Links between the different shingle sets (nodes) of a corpus."""
 
     def __init__(self, docs: DataFrame, nodes: DataFrame, rule: Rule):
-        self.docs, self.nodes, self.rule, self.round = docs, nodes, rule, 0
-        self.links = self.seen = None
+        self.docs, self.nodes, self.rule = docs, nodes, rule
+        self.links = self.seen = self.sets = None
 
     def estimated(self, pairs: DataFrame) -> DataFrame:
         """Pairs whose union sketch holds enough shared values."""
-        side = self.nodes.select("node", "n", "sketch")
-        both = pairs.join(side.toDF("a", "na", "sa"), "a").join(side.toDF("b", "nb", "sb"), "b")
-        k, need = self.rule.k, self.rule.need
+        side = self.nodes.select("node", "sketch")
+        both = pairs.join(side.toDF("a", "sa"), "a").join(side.toDF("b", "sb"), "b")
+        k, need, share = self.rule.k, self.rule.need, self.rule.share
 
         def run(batches):
             for batch in batches:
@@ -124,18 +124,23 @@ class Search:
                     both = np.sort(np.concatenate([x, y]))
                     twin = np.concatenate([both[1:] == both[:-1], [False]])
                     first = np.concatenate([[True], both[1:] != both[:-1]])
-                    keep[i] = twin[first][:k].sum() >= min(need, math.ceil(self_share * min(len(x), len(y)) / 100) if max(len(x), len(y)) < k else need)
+                    least = need if max(len(x), len(y)) >= k else min(need, math.ceil(share * min(len(x), len(y)) / 100))
+                    keep[i] = twin[first][:k].sum() >= least
                 yield pa.RecordBatch.from_arrays([a.filter(pa.array(keep)), b.filter(pa.array(keep))], names=["a", "b"])
 
-        self_share = self.rule.share
         return both.select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long")
 
+    def sets_of(self, wanted: DataFrame) -> DataFrame:
+        """(node, packed) of the nodes, from their texts."""
+        wanted = settle(wanted.distinct().join(self.nodes.select("node", "first"), "node").select("first", "node"), "near_wanted")
+        return settle(full_sets(self.docs, wanted, self.rule), "near_sets")
+
     def with_sets(self, pairs: DataFrame) -> DataFrame:
-        """Pairs (a, b) with both full sets."""
-        ends = pairs.select(F.col("a").alias("node")).unionAll(pairs.select("b")).distinct()
-        wanted = settle(ends.join(self.nodes.select("node", "first"), "node").select("first", "node"), "near_wanted")
-        sets = settle(full_sets(self.docs, wanted, self.rule), "near_sets")
-        return pairs.join(sets.toDF("a", "pa"), "a").join(sets.toDF("b", "pb"), "b")
+        """Pairs (a, b) with both full sets; read from the texts until the sets of all nodes in long lists are written."""
+        sets = self.sets
+        if sets is None:
+            sets = self.sets_of(pairs.select(F.col("a").alias("node")).unionAll(pairs.select("b")))
+        return pairs.join(sets.toDF("a", "pa"), "a").join(sets.toDF("b", "pb"), "b").select("a", "b", "pa", "pb")
 
     def verify(self, pairs: DataFrame) -> None:
         """Add the pairs that are similar by their full sets to the links."""
@@ -149,11 +154,11 @@ class Search:
 
         def run(batches):
             for batch in batches:
-                a, b, pa_, pb = (batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("a", "b", "pa", "pb"))
+                a, b, pa_, pb = (batch.column(i).to_pylist() for i in range(4))
                 hits = [(x, y) for x, y, s, t in zip(a, b, pa_, pb) if rule.similar(unpack(s)[0], unpack(t)[0])]
                 yield pa.RecordBatch.from_arrays([pa.array([h[0] for h in hits], pa.int64()), pa.array([h[1] for h in hits], pa.int64())], names=["a", "b"])
 
-        found = settle(self.with_sets(likely).select("a", "b", "pa", "pb").mapInArrow(run, "a long, b long"), "near_links")
+        found = settle(self.with_sets(likely).mapInArrow(run, "a long, b long"), "near_links")
         self.links = found if self.links is None else self.links.unionAll(found)
 
     def resolve(self, index: DataFrame, last: bool) -> DataFrame | None:
@@ -167,22 +172,22 @@ class Search:
         within the leader is not enough): its members go on to lists of those values.
         """
         lists = index.groupBy("k").agg(F.min(F.struct("n", "node")).alias("leader"), F.count(F.lit(1)).alias("size")).where("size > 1")
-        lists = settle(lists.select("k", "size", F.col("leader.node").alias("leader"), F.col("leader.n").alias("leader_n")), "near_lists")
-        met = index.join(lists, "k").where("node <> leader")
-        self.verify(met.where(self.rule.sizes("n", "leader_n")).select(F.col("node").alias("a"), F.col("leader").alias("b")))
+        lists = lists.select("k", "size", F.col("leader.node").alias("leader"), F.col("leader.n").alias("leader_n"))
+        met = settle(index.join(lists, "k"), "near_met")
+        self.verify(met.where("node <> leader").where(self.rule.sizes("n", "leader_n")).select(F.col("node").alias("a"), F.col("leader").alias("b")))
         labels = components(self.links)
-        index = index.join(lists, "k").join(labels, "node", "left").select("k", "node", "n", "size", "leader", F.coalesce("component", "node").alias("component"))
-        index = settle(index, "near_index")
-        mixed = index.groupBy("k").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("k")
-        index = settle(index.join(mixed, "k"), "near_mixed")
-        short = index if last else index.where(F.col("size") <= SMALL_LIST)
+        labelled = met.join(labels, "node", "left").select("k", "node", "n", "size", "leader", F.coalesce("component", "node").alias("component"))
+        mixed = labelled.groupBy("k").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("k")
+        mixed = settle(labelled.join(mixed, "k"), "near_mixed")
+        short = mixed if last else mixed.where(F.col("size") <= SMALL_LIST)
         left, right = (short.select("k", *[F.col(c).alias(c + s) for c in ("node", "n", "component")]) for s in ("_a", "_b"))
         self.verify(left.join(right, "k").where(f"component_a < component_b and {self.rule.sizes('n_a', 'n_b')}").select(F.col("node_a").alias("a"), F.col("node_b").alias("b")))
-        if last:
+        long = settle(mixed.where((F.col("size") > SMALL_LIST) & ~F.lit(last) & (F.col("node") != F.col("leader"))).select(F.col("node").alias("a"), F.col("leader").alias("b")).distinct(), "near_long")
+        if not long.limit(1).count():
             return None
-        long = index.where(F.col("size") > SMALL_LIST)
-        outside = self.outside(long.where("node <> leader").select(F.col("node").alias("a"), F.col("leader").alias("b")).distinct())
-        return outside if outside.limit(1).count() else None
+        if self.sets is None:  # all that later levels can meet
+            self.sets = self.sets_of(long.select(F.col("a").alias("node")).unionAll(long.select("b")))
+        return self.outside(long)
 
     def outside(self, pairs: DataFrame) -> DataFrame:
         """(k, node, n): for each set and leader, values outside the leader of which any similar partner shares one.
@@ -193,7 +198,7 @@ class Search:
 
         def run(batches):
             for batch in batches:
-                a, b, pa_, pb = (batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("a", "b", "pa", "pb"))
+                a, b, pa_, pb = (batch.column(i).to_pylist() for i in range(4))
                 keys, nodes, sizes, needs = [np.zeros(0, np.uint64)], [], [], []
                 for node, leader, s, t in zip(a, b, pa_, pb):
                     x, y = unpack(s)[0], unpack(t)[0]
@@ -209,7 +214,7 @@ class Search:
                     [pa.array(np.concatenate(keys).view(np.int64)), *[pa.array(v, pa.int64()) for v in (nodes, sizes, [x[0] for x in needs], [x[1] for x in needs])]],
                     names=["k", "node", "n", "leader", "need"])
 
-        values = settle(self.with_sets(pairs).select("a", "b", "pa", "pb").mapInArrow(run, "k long, node long, n long, leader long, need long"), "near_outside")
+        values = settle(self.with_sets(pairs).mapInArrow(run, "k long, node long, n long, leader long, need long"), "near_outside")
         counts = settle(values.groupBy("k").agg(F.count(F.lit(1)).alias("df")).where("df > 1"), "near_outside_counts")
         ranked = values.join(counts, "k").selectExpr("*", "row_number() over (partition by node, leader order by df desc, k desc) as nth")
         return settle(ranked.where("nth >= need").select("k", "node", "n"), "near_index")
