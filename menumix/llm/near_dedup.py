@@ -34,6 +34,13 @@ def least_shared(k: int, threshold: float, miss: float = MISS) -> int:
     return max(c, 1)
 
 
+def _parts(batches, rows: int = 500):
+    """Small pieces of the batches: a pair may carry two long sets."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 class Rule:
     """Similarity threshold ``share`` per cent and what follows from it."""
 
@@ -149,11 +156,12 @@ class Search:
             pairs = pairs.join(self.seen, ["a", "b"], "left_anti")
         pairs = settle(pairs, "near_pairs")
         self.seen = pairs if self.seen is None else self.seen.unionAll(pairs)
-        likely = settle(self.estimated(pairs), "near_likely")
+        # The estimate spares reading most texts; later levels have the sets at hand.
+        likely = settle(self.estimated(pairs), "near_likely") if self.sets is None else pairs
         rule = self.rule
 
         def run(batches):
-            for batch in batches:
+            for batch in _parts(batches):
                 a, b, pa_, pb = (batch.column(i).to_pylist() for i in range(4))
                 hits = [(x, y) for x, y, s, t in zip(a, b, pa_, pb) if rule.similar(unpack(s)[0], unpack(t)[0])]
                 yield pa.RecordBatch.from_arrays([pa.array([h[0] for h in hits], pa.int64()), pa.array([h[1] for h in hits], pa.int64())], names=["a", "b"])
@@ -197,9 +205,9 @@ class Search:
         rule = self.rule
 
         def run(batches):
-            for batch in batches:
+            for batch in _parts(batches):
                 a, b, pa_, pb = (batch.column(i).to_pylist() for i in range(4))
-                keys, nodes, sizes, needs = [np.zeros(0, np.uint64)], [], [], []
+                keys, rows, counts = [np.zeros(0, np.uint64)], [], []
                 for node, leader, s, t in zip(a, b, pa_, pb):
                     x, y = unpack(s)[0], unpack(t)[0]
                     rest = np.setdiff1d(x, y, assume_unique=True)
@@ -207,12 +215,11 @@ class Search:
                     if len(rest) < need:
                         continue
                     keys.append(mix(rest ^ mix(np.array([leader % 2**64], np.uint64))))
-                    nodes += [node] * len(rest)
-                    sizes += [len(x)] * len(rest)
-                    needs += [(leader, need)] * len(rest)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(keys).view(np.int64)), *[pa.array(v, pa.int64()) for v in (nodes, sizes, [x[0] for x in needs], [x[1] for x in needs])]],
-                    names=["k", "node", "n", "leader", "need"])
+                    rows.append((node, len(x), leader, need))
+                    counts.append(len(rest))
+                columns = np.repeat(np.array(rows, np.int64).reshape(-1, 4), counts, axis=0)
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), *[pa.array(columns[:, i]) for i in range(4)]],
+                                                 names=["k", "node", "n", "leader", "need"])
 
         values = settle(self.with_sets(pairs).mapInArrow(run, "k long, node long, n long, leader long, need long"), "near_outside")
         counts = settle(values.groupBy("k").agg(F.count(F.lit(1)).alias("df")).where("df > 1"), "near_outside_counts")
