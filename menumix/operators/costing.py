@@ -205,9 +205,11 @@ def avg_cost_with_modifiers(
     counts as 0. Rows without a period meet type costs without one.
     """
     plain = NO_UPLIFT_CATEGORIES if no_uplift is None else no_uplift
+    # Type costs from elsewhere may not say what they left unpriced.
+    unpriced = F.sum("unpriced_quantity") if "unpriced_quantity" in type_costs.columns else F.lit(0)
     totals = (
         type_costs.groupBy(F.col("item_name").alias("canonical_name"), "channel_code", "period_key")
-        .agg(F.sum("type_cost").cast(COST_SUM).alias("modifier_cost"), F.sum("unpriced_quantity").alias("_unpriced"))
+        .agg(F.sum("type_cost").cast(COST_SUM).alias("modifier_cost"), unpriced.alias("_unpriced"))
         .withColumnRenamed("period_key", "_period")
     )
     out = items.alias("i").join(
