@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -18,7 +20,8 @@ def _inner(rows: np.ndarray, query: np.ndarray) -> np.ndarray:
 def _best(vectors: np.ndarray, ids: np.ndarray, near: np.ndarray, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """Ids and exact scores of the best ``k`` of the rows ``near``, ties to the smaller id."""
     if len(near) > k:
-        rough = vectors[near] @ query
+        # Reading all rows in order is faster than gathering many.
+        rough = (vectors @ query)[near] if 4 * len(near) > len(vectors) else vectors[near] @ query
         bar = np.partition(rough, len(near) - k)[len(near) - k]
         near = near[rough >= bar - 1e-9 * (1 + abs(bar))]  # keeps all that rounding might reorder
     scores = _inner(vectors[near], query)
@@ -26,6 +29,17 @@ def _best(vectors: np.ndarray, ids: np.ndarray, near: np.ndarray, query: np.ndar
     return ids[near][order], scores[order]
 
 
+def _reach(projections: int, need: int, miss: float) -> float:
+    """Half window, in distances, at which a row lies in fewer than ``need`` windows with a chance of at most ``miss``."""
+    low, high = 0.0, 10.0
+    for _ in range(60):
+        half = (low + high) / 2
+        p = math.erf(half / math.sqrt(2))
+        passed = sum(math.comb(projections, j) * p**j * (1 - p) ** (projections - j) for j in range(need, projections + 1))
+        low, high = (low, half) if passed >= 1 - miss else (half, high)
+    return high
+
+
 class Block:
     """Sorted projections of one block of vectors.
 
@@ -41,49 +55,53 @@ class Block:
         self.order = np.argsort(at, axis=1, kind="stable")
         self.sorted = np.take_along_axis(at, self.order, axis=1)
 
-    def windows(self, centres: np.ndarray, half: float) -> tuple[np.ndarray, np.ndarray]:
+    def windows(self, centres: np.ndarray, half: float | np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """First and last place of every centre's window in each sorted array."""
-        lo = np.stack([np.searchsorted(a, c - half, side="left") for a, c in zip(self.sorted, centres.T)], axis=1)
-        hi = np.stack([np.searchsorted(a, c + half, side="right") for a, c in zip(self.sorted, centres.T)], axis=1)
+        lo = np.stack([np.searchsorted(a, c, side="left") for a, c in zip(self.sorted, (centres - half).T)], axis=1)
+        hi = np.stack([np.searchsorted(a, c, side="right") for a, c in zip(self.sorted, (centres + half).T)], axis=1)
         return lo, hi
 
-    def over(self, lo: np.ndarray, hi: np.ndarray, need: int) -> tuple[np.ndarray, bool]:
-        """Rows that lie in at least ``need`` windows, counted by the windows that they miss; whether nothing is missed."""
+    def missed(self, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+        """The number of windows that each row lies outside of."""
         outside = np.concatenate([part for o, a, b in zip(self.order, lo, hi) for part in (o[:a], o[b:])])
-        return np.flatnonzero(np.bincount(outside, minlength=len(self.ids)) <= self.projections - need), not len(outside)
+        return np.bincount(outside, minlength=len(self.ids))
 
-    def search(self, queries: np.ndarray, query_ids: np.ndarray, k: int, threshold: float, spare: float, width: float, ratio: float) -> list[pd.DataFrame]:
-        """Best ``k`` of the block for each query.
+    def search(self, queries: np.ndarray, query_ids: np.ndarray, k: int, threshold: float, miss: float, width: float) -> list[pd.DataFrame]:
+        """Best ``k`` of the block for each query, whatever other queries there are.
 
-        Windows around the query's values widen by ``ratio`` until more than
-        ``k`` rows and the share ``spare`` of the block pass the collision threshold, or the windows
-        hold the whole block; the first queries set the width at which the others begin.
+        The ``k`` rows in most windows of half ``width`` are verified first; the
+        worst of them is no nearer than the true ``k``-th. Windows of ``_reach`` times its
+        distance then let every row that is as near pass the threshold but for the chance ``miss``.
         """
-        need, enough = int(np.ceil(threshold * self.projections)), k + int(spare * len(self.ids))
+        need = int(np.ceil(threshold * self.projections))
+        reach = _reach(self.projections, need, miss)
+        lengths = np.linalg.norm(queries, axis=1)
         # A query's length does not change its order of inner products; at the common norm distances differ most.
-        centres = (queries * (self.norm / np.linalg.norm(queries, axis=1, keepdims=True))) @ self.lines[:-1]
-        out, begin = [], 0
-        for upto in (min(8, len(queries)), len(queries)):
-            first = self.windows(centres[begin:upto], width) if upto > begin else None
-            reached = width
-            for q in range(begin, upto):
-                half, lo, hi = width, first[0][q - begin], first[1][q - begin]
-                while True:
-                    near, whole = self.over(lo, hi, need)
-                    near = near[self.ids[near] != query_ids[q]]
-                    if len(near) >= enough or whole:
-                        break
-                    half *= ratio
-                    lo, hi = (w[0] for w in self.windows(centres[q:q + 1], half))
-                reached = max(reached, half)
-                ids, scores = _best(self.vectors, self.ids, near, queries[q], k)
-                out.append(pd.DataFrame({"query_id": np.full(len(ids), query_ids[q]), "vec_id": ids, "score": scores}))
-            begin, width = upto, reached
+        centres = (queries * (self.norm / lengths)[:, None]) @ self.lines[:-1]
+        far, first = np.zeros(len(queries)), np.zeros((len(queries), k), dtype=int)
+        ample = len(self.ids) - max(np.unique(self.ids, return_counts=True)[1]) > k
+        if ample:
+            los, his = self.windows(centres, width)
+            for q in range(len(queries)):
+                missed = self.missed(los[q], his[q])
+                missed[self.ids == query_ids[q]] = self.projections + 1
+                first[q] = np.argpartition(missed, k)[:k]
+                low = (self.vectors[first[q]] @ queries[q]).min() / lengths[q]
+                far[q] = np.sqrt(max(0.0, 2 * self.norm * (self.norm - low)))
+            los, his = self.windows(centres, (reach * far + 1e-7 * self.norm)[:, None])  # more than rounding
+        out = []
+        for q in range(len(queries)):
+            near = np.ones(len(self.ids), dtype=bool)
+            if ample:
+                near = self.missed(los[q], his[q]) <= self.projections - need
+                near[first[q]] = True
+            ids, scores = _best(self.vectors, self.ids, np.flatnonzero(near & (self.ids != query_ids[q])), queries[q], k)
+            out.append(pd.DataFrame({"query_id": np.full(len(ids), query_ids[q]), "vec_id": ids, "score": scores}))
         return out
 
 
 def nearest(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", every: int = 20, k: int = 20, block: int = 8192,
-            queries_per_task: int = 2048, projections: int = 64, threshold: float = 0.8, spare: float = 0.12, width: float = 1.0, ratio: float = 1.05, seed: int = 10) -> DataFrame:
+            queries_per_task: int = 2048, projections: int = 64, threshold: float = 0.8, miss: float = 0.02, width: float = 1.0, seed: int = 10) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` largest inner products found for each query.
 
     Queries are the rows whose id is divisible by ``every``; candidates are all
@@ -91,6 +109,8 @@ def nearest(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding"
     ``block`` by the id's hash, each block holds its sorted projections, and the
     queries visit all blocks in groups, so a task never holds more than one block and one group
     of queries. No cap cuts off candidates: whatever passes the threshold is verified exactly.
+    A true neighbour is lost with a chance of at most ``miss``, taken over the random
+    projections, at any table size and whatever the ids and the other queries are.
 
     Vectors that are null, zero, of another length than most rows' length, or
     that hold null or non-finite components take no part, nor do rows without
@@ -119,7 +139,7 @@ def nearest(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding"
             return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype({"query_id": "int64", "vec_id": "int64"})
         left, right = left.sort_values("id"), right.sort_values("id")
         held = Block(np.stack(left["v"].to_numpy()), left["id"].to_numpy(), norm, projections, seed)
-        return pd.concat(held.search(np.stack(right["v"].to_numpy()), right["id"].to_numpy(), k, threshold, spare, width * norm, ratio))
+        return pd.concat(held.search(np.stack(right["v"].to_numpy()), right["id"].to_numpy(), k, threshold, miss, width * norm))
 
     found = held.groupBy("block", "query_group").cogroup(asks.groupBy("block", "query_group")).applyInPandas(run, FOUND)
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")

@@ -420,3 +420,33 @@ def test_nearest(spark):
     few = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.5, 0.0]), (2, [0.5, 0.0])], "vec_id long, embedding array<double>")
     assert [(r.rank, r.vec_id) for r in nearest.nearest(few).orderBy("rank").collect()] == [(1, 1), (2, 2)]
     assert nearest.nearest(few.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("table", ["sf0.001", "sf0.01", "sf0.1"])
+def test_nearest_recall_on_given_tables(spark, table):
+    given = spark.read.parquet(f"/root/testdata/{table}/embeddings.parquet").orderBy("vec_id").collect()
+    vectors = np.array([r.embedding for r in given], dtype=float)
+    for order in range(4):  # as given, and under reshuffled ids
+        ids = np.array([r.vec_id for r in given])
+        if order:
+            ids = np.random.default_rng(order).permutation(ids)
+        frame = spark.createDataFrame([(int(i), [float(x) for x in v]) for i, v in zip(ids, vectors)], "vec_id long, embedding array<double>")
+        got = defaultdict(set)
+        for r in nearest.nearest(frame).collect():
+            got[r.query_id].add(r.vec_id)
+        hits, queries = 0, np.flatnonzero(ids % 20 == 0)
+        for q in queries:
+            best = [i for i in np.lexsort((ids, -np.round(vectors @ vectors[q], 12))) if i != q][:20]
+            hits += len({int(ids[i]) for i in best} & got[ids[q]])
+        assert hits / (20 * len(queries)) >= 0.9
+
+
+def test_nearest_does_not_depend_on_other_queries():
+    draw = np.random.default_rng(4)
+    vectors = draw.standard_normal((400, 16))
+    block = nearest.Block(vectors, np.arange(400), float(np.linalg.norm(vectors, axis=1).max()), 64, 10)
+    width = block.norm
+    together = block.search(vectors[:30], np.arange(30), 20, 0.8, 0.02, width)
+    for q in range(30):
+        alone = block.search(vectors[q:q + 1], np.arange(q, q + 1), 20, 0.8, 0.02, width)[0]
+        assert together[q].vec_id.tolist() == alone.vec_id.tolist()
