@@ -122,9 +122,15 @@ def cost_lookup(items: DataFrame, cost: DataFrame, exempt: list[str] | None = No
 
 
 def attach_retention(items: DataFrame, retention: DataFrame) -> DataFrame:
-    """Retention of each item by canonical name (after the alias rules)."""
+    """Retention of each item by canonical name (after the alias rules).
+
+    Items that say their ``fiscal_year`` and ``period`` meet the figures of that
+    period only, so several periods can be attached at once; items without
+    them meet every period in ``retention``.
+    """
     named = retention.withColumn("canonical_name", normalise_external_name(F.col("item_name"))).drop("item_name")
-    return items.join(named, "canonical_name", "left")
+    dated = [c for c in ("fiscal_year", "period") if c in items.columns and c in named.columns]
+    return items.join(named, ["canonical_name", *dated], "left")
 
 
 def modifiers_of_items(mods: DataFrame, lines: DataFrame) -> DataFrame:

@@ -68,6 +68,15 @@ def test_retention_report(retention, frame):
     assert (kpis.best_item, kpis.worst_item, kpis.avg_return_rate) == ("Naan", "BYO Grain Bowl", pytest.approx(0.195))
 
 
+def test_retention_of_several_periods(frame, rows):
+    extracts = frame([("Samosa", 1998, 4, 0.3), ("Samosa", 1998, 5, 0.1), ("Samosa", 1999, 5, 0.2)],
+                     "item_name string, fiscal_year int, period int, return_rate double")
+    items = frame([("Samosa", 1998, 4), ("Samosa", 1998, 5), ("Samosa", 1999, 5), ("Samosa", 1999, 6)],
+                  "canonical_name string, fiscal_year int, period int")
+    got = rows(joins.attach_retention(items, extracts), "fiscal_year", "period", "return_rate")
+    assert got == [(1998, 4, 0.3), (1998, 5, 0.1), (1999, 5, 0.2), (1999, 6, None)]
+
+
 def test_retention_upsert_and_union(retention, rows):
     newer = retention.filter("period = 5").withColumn("revenue", F.lit(None).cast("decimal(12,2)"))
     merged = files.upsert_retention(retention, newer)
