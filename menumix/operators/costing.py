@@ -17,6 +17,7 @@ from menumix.operators.joins import modifiers_of_items
 
 COST = "decimal(12,4)"
 COST_SUM = "decimal(24,4)"
+UNTYPED = "Untyped"
 
 
 def _name_rules(name: Column) -> tuple[Column, Column]:
@@ -100,6 +101,7 @@ def modifier_quantities(mods: DataFrame, lines: DataFrame, period: DataFrame | N
     """Live modifier quantity per item, channel, type and name (and period).
 
     ``period`` maps business_date to period_key; without it the period is null.
+    Modifiers without a type form the type ``Untyped``.
     """
     joined = modifiers_of_items(mods.filter(~F.col("is_voided")), filter_revenue(lines, "report"))
     if period is None:
@@ -108,7 +110,7 @@ def modifier_quantities(mods: DataFrame, lines: DataFrame, period: DataFrame | N
         days = period.select(F.col("business_date").alias("item_date"), "period_key")
         joined = joined.join(days, "item_date", "left")
     return (
-        joined.withColumn("mod_type", normalise_modifier_type(F.col("mod_type")))
+        joined.withColumn("mod_type", F.coalesce(normalise_modifier_type(F.col("mod_type")), F.lit(UNTYPED)))
         .groupBy("item_name", "channel_code", "period_key", "mod_type", "canonical_name")
         .agg(F.sum("quantity").alias("quantity"))
     )
@@ -135,11 +137,18 @@ def half_and_half_cost(quantities: DataFrame, costs: DataFrame) -> DataFrame:
     ).withColumn("half_cost", ratio(F.col("half_amount"), F.col("half_quantity")))
 
 
+def _is_untyped() -> Column:
+    return F.col("mod_type").isNull() | (F.col("mod_type") == UNTYPED)
+
+
 def channel_modifier_scope(df: DataFrame, online: list[str] | None = None, counter: list[str] | None = None) -> DataFrame:
-    """Online channels record every type, the others only mains and meals."""
+    """Online channels record every type, the others only mains and meals.
+
+    Untyped modifiers may be either and stay in every channel.
+    """
     online = fv.ONLINE_CHANNELS if online is None else online
     counter = fv.COUNTER_MODIFIER_TYPES if counter is None else counter
-    return df.filter(F.col("channel_code").isin(online) | F.col("mod_type").isin(counter))
+    return df.filter(F.col("channel_code").isin(online) | F.col("mod_type").isin(counter) | _is_untyped())
 
 
 def plates_rule(
@@ -157,13 +166,14 @@ def plates_rule(
 def modifier_cost_by_type(quantities: DataFrame, costs: DataFrame) -> DataFrame:
     """Modifier cost per item, channel, period and type, with the quantity
     that found no cost. ``quantities`` is the output of ``modifier_quantities``.
+    Untyped modifiers take no cost: all of their quantity is unpriced.
 
     One aggregation holds both the plain sums and the weighted halves (as in
     ``half_and_half_cost``) that price the "1/2 and 1/2" choices.
     """
     name, q = F.col("canonical_name"), F.col("quantity").cast(QUANTITY)
     both, half = is_half_and_half(name), _is_half(name)
-    unit = _unit_cost()
+    unit = F.when(~_is_untyped(), _unit_cost())
     sums = _with_costs(quantities, costs).groupBy(*GROUP).agg(
         F.sum(F.when(~both, (q * unit).cast(COST_SUM))).alias("_plain"),
         F.sum(F.when(~both & unit.isNull(), q)).alias("_unpriced"),
@@ -173,7 +183,7 @@ def modifier_cost_by_type(quantities: DataFrame, costs: DataFrame) -> DataFrame:
         F.sum("quantity").alias("modifier_quantity"),
     )
     halves = F.col("_both").cast("double") * ratio(F.col("_half_amount"), F.col("_half_quantity"))
-    mixed = halves.cast(COST_SUM)
+    mixed = F.when(~_is_untyped(), halves.cast(COST_SUM))
     zero = F.lit(0).cast(COST_SUM)
     return sums.select(
         *GROUP,

@@ -1,5 +1,6 @@
 """Modifier costs, cost fallback, quadrants and metric identities."""
 
+from datetime import date
 from decimal import Decimal
 
 import pytest
@@ -54,6 +55,25 @@ def test_scope_and_plates(frame, rows):
         ("APP", "Sauce"), ("CATERING", "Make it a Meal"), ("TPD", "Main")]
 
 
+def test_untyped_modifiers_show_as_unpriced(frame, unit_costs):
+    lines = frame([("s1", "o1", "Bowl", "IN_HOUSE", "L1", date(2026, 3, 2), False, False)],
+                  "selection_guid string, order_guid string, canonical_name string, channel_code string, location_code string, "
+                  "business_date date, is_voided boolean, is_deferred boolean")
+    mods = frame([("s1", "o1", "Main", "Chicken Tikka", 2.0, False), ("s1", "o1", None, "Chicken Tikka", 3.0, False), ("s1", "o1", None, "Unknown", 4.0, False)],
+                 "parent_selection string, order_guid string, mod_type string, canonical_name string, quantity double, is_voided boolean")
+    days = frame([(date(2026, 3, 2), 202603)], "business_date date, period_key int")
+    quantities = costing.modifier_quantities(mods.withColumn("quantity", F.col("quantity").cast("decimal(28,4)")), lines, days)
+    kept = costing.plates_rule(costing.channel_modifier_scope(quantities).withColumn("sub_category", F.lit("Plates"))).drop("sub_category")
+    assert {r.mod_type for r in kept.collect()} == {"Untyped"}  # a plate comes with its main
+    costs = costing.modifier_cost_by_type(costing.channel_modifier_scope(quantities), unit_costs)
+    got = {r.mod_type: (r.type_cost, r.modifier_quantity, r.unpriced_quantity) for r in costs.collect()}
+    assert got == {"Main": (4, 2, 0), "Untyped": (None, 7, 7)}
+    items = frame([("Bowl", "IN_HOUSE", 202603, Decimal(1), Decimal(2), "Entrees")],
+                  "canonical_name string, channel_code string, period_key int, quantity decimal(28,4), base_cost decimal(12,4), category string")
+    row = costing.avg_cost_with_modifiers(items, costs).first()
+    assert (row.total_modifier_cost, row.unpriced_quantity) == (4, 7)
+
+
 def test_cost_with_modifiers(frame):
     items = frame([("Bowl", "APP", 1, Decimal(10), Decimal(2), "Entrees"), ("Bowl", "TPD", 1, Decimal(10), Decimal(2), "Entrees"),
                    ("Naan", "TPD", 1, Decimal(10), Decimal(1), "Sides"), ("New", "APP", 1, Decimal(4), None, "Entrees")],
