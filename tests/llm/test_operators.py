@@ -245,6 +245,19 @@ def test_line_duplicates(docs, texts, short_lists, monkeypatch):
         assert texts_left[d].text == "\n".join(left)
 
 
+def test_line_dedup_query_returns_every_document(spark, tmp_path):
+    line = "the same long line of text in two documents"
+    rows = [(1, f"{line}\nown words of the first"), (2, f"\n{line}\n{line}\nquite other words here\n"), (3, None), (4, ""), (5, " \n\t"), (6, line)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: tuple(r)[1:] for r in line_dedup.op5_line_dedup(spark, str(tmp_path)).collect()}
+
+    def digest(text):
+        return hashlib.sha256(text.encode()).hexdigest()
+
+    assert got == {1: (2, 0, [], digest(rows[0][1])), 2: (5, 2, [1, 2], digest("\nquite other words here\n")), 3: (1, 0, [], digest("")), 4: (1, 0, [], digest("")),
+                   5: (2, 0, [], digest(" \n\t")), 6: (1, 1, [0], digest(""))}
+
+
 def test_no_lines(docs):
     assert line_dedup.line_duplicates(empty(docs)).count() == 0
 
