@@ -258,6 +258,24 @@ def test_line_dedup_query_returns_every_document(spark, tmp_path):
                    5: (2, 0, [], digest(" \n\t")), 6: (1, 1, [0], digest(""))}
 
 
+@pytest.mark.parametrize("length", [12, 13])
+def test_line_signatures_of_short_lines(spark, length):
+    """Pairs at 4 of 5 and 5 of 6 shingles share a band as often as independent values would."""
+    draw = random.Random(11)
+    lines = []
+    for _ in range(6000):  # the second line has one shingle more
+        text = "".join(draw.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(length + 1))
+        lines.append((text[:length], text[:length + 1]))
+    frame = spark.createDataFrame([(i, k, x) for i, pair in enumerate(lines) for k, x in enumerate(pair)], "i int, k int, line string")
+    nodes = frame.withColumns({"node": F.col("i").cast("long") * 2 + F.col("k"), "n": F.greatest(F.char_length("line") - 8, F.lit(1))})
+    sigs = {r.node: r.sig for r in line_dedup.signatures(nodes).collect()}
+    bands = range(line_dedup.BANDS)
+    missed = sum(not any(sigs[2 * i][3 * b:3 * b + 3] == sigs[2 * i + 1][3 * b:3 * b + 3] for b in bands) for i in range(len(lines)))
+    shared = (length - 8) / (length - 7)
+    expected = (1 - shared ** 3) ** 8
+    assert missed / len(lines) <= expected + 4 * math.sqrt(expected / len(lines)) + 1 / len(lines)
+
+
 def test_no_lines(docs):
     assert line_dedup.line_duplicates(empty(docs)).count() == 0
 
