@@ -17,7 +17,6 @@ from menumix.session import materialise
 KEEP = 64
 MISS = 1e-8
 SMALL_LIST = 48
-LEVELS = 5
 
 
 def least_shared(k: int, threshold: float, miss: float = MISS) -> int:
@@ -169,7 +168,7 @@ class Search:
         found = settle(self.with_sets(likely).mapInArrow(run, "a long, b long"), "near_links")
         self.links = found if self.links is None else self.links.unionAll(found)
 
-    def resolve(self, index: DataFrame, last: bool) -> DataFrame | None:
+    def resolve(self, index: DataFrame) -> DataFrame | None:
         """Check the lists of ``index`` (k, node, n); the index of what is left, or None.
 
         Every member meets its list's smallest set, the leader. Lists that are then
@@ -178,6 +177,7 @@ class Search:
         can only be similar to another one that shares with it a value outside
         the leader (the other is no smaller than the leader, so what both share
         within the leader is not enough): its members go on to lists of those values.
+        All of these come after the leader in the order of (n, node), so the levels end.
         """
         lists = index.groupBy("k").agg(F.min(F.struct("n", "node")).alias("leader"), F.count(F.lit(1)).alias("size")).where("size > 1")
         lists = lists.select("k", "size", F.col("leader.node").alias("leader"), F.col("leader.n").alias("leader_n"))
@@ -187,10 +187,10 @@ class Search:
         labelled = met.join(labels, "node", "left").select("k", "node", "n", "size", "leader", F.coalesce("component", "node").alias("component"))
         mixed = labelled.groupBy("k").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("k")
         mixed = settle(labelled.join(mixed, "k"), "near_mixed")
-        short = mixed if last else mixed.where(F.col("size") <= SMALL_LIST)
+        short = mixed.where(F.col("size") <= SMALL_LIST)
         left, right = (short.select("k", *[F.col(c).alias(c + s) for c in ("node", "n", "component")]) for s in ("_a", "_b"))
         self.verify(left.join(right, "k").where(f"component_a < component_b and {self.rule.sizes('n_a', 'n_b')}").select(F.col("node_a").alias("a"), F.col("node_b").alias("b")))
-        long = settle(mixed.where((F.col("size") > SMALL_LIST) & ~F.lit(last) & (F.col("node") != F.col("leader"))).select(F.col("node").alias("a"), F.col("leader").alias("b")).distinct(), "near_long")
+        long = settle(mixed.where((F.col("size") > SMALL_LIST) & (F.col("node") != F.col("leader"))).select(F.col("node").alias("a"), F.col("leader").alias("b")).distinct(), "near_long")
         if not long.limit(1).count():
             return None
         if self.sets is None:  # all that later levels can meet
@@ -256,10 +256,9 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     counts = settle(values.groupBy("k").agg(F.count(F.lit(1)).alias("df")).where("df > 1"), "near_counts")
     ranked = values.join(counts, "k").selectExpr("*", "row_number() over (partition by node order by df desc, k desc) as nth")
     index = settle(ranked.where(f"nth >= {rule.least('n')}").select("k", "node", "n"), "near_prefix")
-    search, level = Search(docs, nodes, rule), 0
+    search = Search(docs, nodes, rule)
     while index is not None:
-        level += 1
-        index = search.resolve(index, last=level == LEVELS)
+        index = search.resolve(index)
     labels = components(search.links).join(nodes.select("node", "first"), "node")
     firsts = labels.groupBy("component").agg(F.min("first").alias("component_id"))
     named = settle(nodes.select("node", "first").join(labels.select("node", "component"), "node", "left").join(firsts, "component", "left").select(
