@@ -20,9 +20,11 @@ def drop_exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates (five words, 80 per cent) the document with the smallest id."""
-    gone = near_dedup.near_duplicates(docs).where("not kept").select(F.col("id").alias("doc_id"))
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """Of each group of near duplicates (five words, 80 per cent) the document with the smallest id.
+    Rows go by id and text, so of rows that share an id only near copies of smaller ids go."""
+    gone = near_dedup.near_duplicates(docs, with_text_hash=True).where("not kept").select(F.col("id").alias("_id"), F.col("text_hash").alias("_hash"))
+    same = (docs["doc_id"] == gone["_id"]) & (near_dedup.text_hash("text") == gone["_hash"])
+    return docs.join(gone, same, "left_anti").select(*docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

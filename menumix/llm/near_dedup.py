@@ -6,7 +6,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from menumix.llm.arrays import pack, unpack
@@ -73,8 +73,13 @@ def _mark(values: np.ndarray) -> int:
     return int(np.bitwise_xor.reduce(mix(values + np.uint64(0x51ED270B))) ^ mix(np.array([values.sum(), len(values)], np.uint64)).sum())
 
 
+def text_hash(column: str) -> Column:
+    """Tells apart the texts of rows that share an id; null text counts as empty."""
+    return F.xxhash64(F.coalesce(F.col(column).cast("string"), F.lit("")))
+
+
 def sketches(docs: DataFrame, rule: Rule) -> DataFrame:
-    """(id, n, node, sketch): set size, set fingerprint and the k smallest shingle hashes of every row."""
+    """(id, n, node, sketch, text_hash): set size, set fingerprint, the k smallest shingle hashes and the hash of the text of every row."""
     def run(batches):
         for batch in batches:
             sizes, marks, kept = [], [], []
@@ -85,10 +90,10 @@ def sketches(docs: DataFrame, rule: Rule) -> DataFrame:
             offsets = np.concatenate([[0], np.cumsum([len(k) for k in kept])]).astype(np.int32)
             flat = np.concatenate(kept).view(np.int64) if kept else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(np.array(marks, np.uint64).view(np.int64)), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))],
-                names=["id", "n", "node", "sketch"])
+                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(np.array(marks, np.uint64).view(np.int64)), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)), batch.column(2)],
+                names=["id", "n", "node", "sketch", "text_hash"])
 
-    return docs.mapInArrow(run, "id long, n long, node long, sketch array<long>")
+    return docs.select("id", "text", text_hash("text").alias("text_hash")).mapInArrow(run, "id long, n long, node long, sketch array<long>, text_hash long")
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame, rule: Rule) -> DataFrame:
@@ -227,8 +232,8 @@ class Search:
         return settle(ranked.where("nth >= need").select("k", "node", "n"), "near_index")
 
 
-def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_words: int = 5, share: int = 80) -> DataFrame:
-    """(id, n_shingles, component_id, kept) of every row.
+def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_words: int = 5, share: int = 80, with_text_hash: bool = False) -> DataFrame:
+    """(id, n_shingles, component_id, kept) of every row, and its text's hash if asked for.
 
     Words are lower-cased (A-Z) runs of non-space bytes; a document's set holds
     its different ``n_words``-word shingles, or its whole sequence when shorter.
@@ -264,8 +269,9 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     named = settle(nodes.select("node", "first").join(labels.select("node", "component"), "node", "left").join(firsts, "component", "left").select(
         F.col("node"), F.coalesce("component_id", "first").alias("component_id")), "near_components")
     component = F.when(F.col("id").isNull(), F.lit(None)).otherwise(F.coalesce("component_id", "id"))
-    out = rows.select("id", "n", F.when(F.col("n") > 0, F.col("node")).alias("node")).join(named, "node", "left")
-    return out.select("id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"))
+    out = rows.select("id", "n", F.when(F.col("n") > 0, F.col("node")).alias("node"), "text_hash").join(named, "node", "left")
+    return out.select("id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"),
+                      *(["text_hash"] if with_text_hash else []))
 
 
 def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

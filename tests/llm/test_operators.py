@@ -11,6 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from menumix.llm import bpe, exact_dedup, language_model, line_dedup, mixing, near_dedup, nearest, quality, substring_dedup, warc
 
 SCHEMA = "doc_id long, text string, source string, id long, node long, n int, kept boolean, k string, size int, component long, _text string, _row string"
@@ -110,6 +111,15 @@ def test_near_duplicates(docs, texts, n_words, short_lists, monkeypatch):
     assert sum(root[d] != d for d in sets) > 5
 
 
+def test_pipeline_keeps_clean_rows_of_repeated_ids(spark):
+    base = [f"w{i}" for i in range(60)]
+    copy, clean = " ".join([*base[:59], "other"]), " ".join(f"c{i}" for i in range(60))
+    rows = [(2, " ".join(base), "a"), (5, clean, "b"), (5, copy, "c"), (6, None, "d"), (None, " ".join(base), "e")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    left = corpus_pipeline.drop_near_duplicates(spark, docs, "")
+    assert left.columns == docs.columns and {r.source for r in left.collect()} == {"a", "b", "d", "e"}
+
+
 def compared_pairs(module, monkeypatch):
     """Pairs that the searches of a module check from now on; a fixed last level, where there is one, comes at once."""
     checked, verify = [], module.Search.verify
