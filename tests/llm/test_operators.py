@@ -120,37 +120,6 @@ def test_pipeline_keeps_clean_rows_of_repeated_ids(spark):
     assert left.columns == docs.columns and {r.source for r in left.collect()} == {"a", "b", "d", "e"}
 
 
-def compared_pairs(module, monkeypatch):
-    """Pairs that the searches of a module check from now on; a fixed last level, where there is one, comes at once."""
-    checked, verify = [], module.Search.verify
-
-    def spy(self, pairs):
-        checked.append(pairs.distinct().count())
-        verify(self, pairs)
-
-    monkeypatch.setattr(module.Search, "verify", spy)
-    monkeypatch.setattr(module, "LEVELS", 1, raising=False)
-    return checked
-
-
-def test_long_lists_never_become_all_pairs(spark, monkeypatch):
-    draw = random.Random(12)
-    passage = " ".join(f"p{i}" for i in range(29))
-    texts = [f"{passage} " + " ".join(f"w{draw.randrange(10**9)}" for _ in range(5)) for _ in range(120)]
-    checked = compared_pairs(near_dedup, monkeypatch)
-    got = near_dedup.near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
-    assert len(got) == 120 and all(r.kept for r in got)  # alike by 25 of 35
-    assert 100 < sum(checked) < 10 * 120
-    stem = "".join(draw.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(33))
-    lines = [stem + "".join(draw.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(5)) for _ in range(300)]
-    sets = {x: {x[k:k + 9] for k in range(len(x) - 8)} for x in lines}
-    root = roots(sets, similar_pairs(sets))
-    checked = compared_pairs(line_dedup, monkeypatch)
-    found = line_dedup.line_duplicates(spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string"))
-    assert found.where("kept").count() == len(set(root.values()))
-    assert 300 < sum(checked) < 30 * 300
-
-
 def test_near_duplicates_of_odd_rows(odd, docs):
     rows = near_dedup.near_duplicates(odd).collect()
     assert len(rows) == odd.count()
