@@ -64,8 +64,8 @@ class Words:
         return out
 
 
-def words_of(texts: pa.Array, lower: bool = False) -> Words:
-    """Words of an Arrow string array; null counts as empty."""
+def words_of(texts: pa.Array, lower: bool = False, stops: np.ndarray = SPACE) -> Words:
+    """Words of an Arrow string array; null counts as empty. ``stops`` marks the bytes that no word holds."""
     texts = texts.fill_null("").cast(pa.large_string())
     offsets = np.frombuffer(texts.buffers()[1], dtype=np.int64)[texts.offset:texts.offset + len(texts) + 1]
     first, last = int(offsets[0]), int(offsets[-1])
@@ -73,7 +73,7 @@ def words_of(texts: pa.Array, lower: bool = False) -> Words:
     data = np.frombuffer(buffer, dtype=np.uint8)[first:last] if buffer is not None and last > first else np.zeros(0, np.uint8)
     if lower:
         data = LOWER[data]
-    inside = ~SPACE[data]
+    inside = ~stops[data]
     edge = np.zeros(len(data) + 1, dtype=bool)
     edge[offsets - first] = True
     before = np.empty(len(data), dtype=bool)
