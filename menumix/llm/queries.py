@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from menumix.llm import bpe, conversations, exact_dedup, language_model, line_dedup, mixing, near_dedup, nearest, quality, substring_dedup, toxicity, warc
+from menumix.llm import bpe, conversations, exact_dedup, language_model, line_dedup, mixing, near_dedup, nearest, quality, source_audit, substring_dedup, toxicity, warc
 
 QUERIES = {
     "op1_near_dedup": near_dedup.op1_near_dedup,
@@ -15,7 +15,8 @@ QUERIES = {
     "op8_bpe": bpe.op8_bpe,
     "op9_exact_dedup": exact_dedup.op9_exact_dedup,
     "op10_nearest": nearest.op10_nearest,
+    "op11_source_audit": source_audit.op11_source_audit,
     "op12_conversation_repair": conversations.op12_conversation_repair,
     "op13_toxicity": toxicity.op13_toxicity,
 }
-SQL = {"op3_arc_to_warc": warc.SQL, "op9_exact_dedup": exact_dedup.SQL, "op12_conversation_repair": conversations.SQL}
+SQL = {"op3_arc_to_warc": warc.SQL, "op9_exact_dedup": exact_dedup.SQL, "op11_source_audit": source_audit.SQL, "op12_conversation_repair": conversations.SQL}
