@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from menumix.session import scratch_path
@@ -10,18 +10,50 @@ from menumix.session import scratch_path
 PART_BYTES = 2 << 20
 
 
+def _place(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
 def settle(df: DataFrame, name: str) -> DataFrame:
     """Write a frame to the shared folder and read it in as few partitions as its
     size asks for (one per two megabytes of Parquet), so that small
     tables need no shuffle in what follows. Lineage is cut and lost executors cost nothing."""
+    return _settled(df, scratch_path(df.sparkSession, name))
+
+
+def _settled(df: DataFrame, path: str) -> DataFrame:
     spark = df.sparkSession
-    path = scratch_path(spark, name)
     df.write.parquet(path)
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    size = place.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(place).getLength()
+    place, files = _place(spark, path)
+    size = files.getContentSummary(place).getLength()
     return spark.read.schema(df.schema).parquet(path).coalesce(max(1, -(-size // PART_BYTES)))
 
 
+class Scratch:
+    """Tables in the shared folder that go when their last reader is done."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, {}
+
+    def settle(self, df: DataFrame, name: str) -> DataFrame:
+        path = scratch_path(self.spark, name)
+        out = _settled(df, path)
+        self.paths[id(out)] = (out, path)  # the frame is held, so its id stays its own
+        return out
+
+    def drop(self, *frames: DataFrame | None) -> None:
+        """Delete the tables of these frames; frames that are no table here are left."""
+        for df in frames:
+            held = self.paths.pop(id(df), None)
+            if held:
+                place, files = _place(self.spark, held[1])
+                files.delete(place, True)
+
+    def close(self) -> None:
+        self.drop(*[df for df, _ in self.paths.values()])
+
+
 def with_results(df: DataFrame, results: dict[str, Column]) -> DataFrame:
     """All columns of ``df`` and the results; a result replaces an input column of its name (in any case)."""
     taken = {n.lower() for n in results}
@@ -38,9 +70,10 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     the component being its smallest node. Nodes without edges do not occur.
 
     Alternating large-star and small-star rounds: only joins and minima that
-    combine before the shuffle, each round written to the shared folder.
+    combine before the shuffle, each round written to the shared folder and deleted once the next is.
     """
-    now = settle(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
+    scratch = Scratch(edges.sparkSession)
+    now = scratch.settle(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
     for _ in range(most_rounds):
         if not now.select(F.col("u").alias("v")).join(now, "v", "left_semi").limit(1).count() and now.count() == now.agg(F.count_distinct("u")).first()[0]:
             break  # every node points to one centre, and no centre points on
@@ -48,12 +81,43 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionAll(
             least.where("m < u").select("u", F.col("m").alias("v")))
-        large = settle(large.distinct(), "large_star")
+        large = scratch.settle(large.distinct(), "large_star")
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionAll(
             least.select("u", F.col("m").alias("v")))
-        now = settle(small.distinct(), "small_star")
+        before, now = now, scratch.settle(small.distinct(), "small_star")
+        scratch.drop(before, large)
     else:
         raise RuntimeError("components did not settle")
-    return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionAll(
-        now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
+    out = settle(now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionAll(
+        now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()), "components")
+    scratch.close()
+    return out
+
+
+class Labels:
+    """Components of nodes whose links arrive in parts: (node, component) of all linked nodes so far."""
+
+    def __init__(self, spark: SparkSession, scratch: Scratch):
+        self.spark, self.scratch = spark, scratch
+        self.frame = spark.createDataFrame([], "node long, component long")
+
+    def of(self, df: DataFrame, node: str, out: str) -> DataFrame:
+        """``df`` with the component of its column ``node``; a node without links is its own."""
+        side = self.frame.toDF("_node", "_component")
+        return df.join(side, df[node] == side["_node"], "left").select(*[df[c] for c in df.columns], F.coalesce("_component", node).alias(out))
+
+    def apart(self, pairs: DataFrame) -> DataFrame:
+        """The pairs (a, b, ...) of different components."""
+        return self.of(self.of(pairs, "a", "_ca"), "b", "_cb").where("_ca <> _cb").drop("_ca", "_cb")
+
+    def add(self, links: DataFrame) -> None:
+        """Links (a, b) join components: only the components that they touch are worked on."""
+        ends = links.select(F.col("a").alias("node")).unionAll(links.select("b")).distinct()
+        new = ends.join(self.frame, "node", "left_anti").select("node", F.col("node").alias("component"))
+        between = self.of(self.of(links, "a", "_ca"), "b", "_cb").select(F.col("_ca").alias("a"), F.col("_cb").alias("b"))
+        joined = components(between).toDF("_old", "_new")
+        every = self.frame.unionByName(new)
+        after = every.join(joined, every["component"] == joined["_old"], "left").select("node", F.coalesce("_new", "component").alias("component"))
+        before, self.frame = self.frame, self.scratch.settle(after, "labels")
+        self.scratch.drop(before)

@@ -9,15 +9,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from menumix.llm.arrays import pack, unpack
-from menumix.llm.frames import components, settle
+from menumix.llm.arrays import PACKED, Mapped, by_shard, group_sum, pack, packed_rows, save, shard_bits, shards, shared_dir, unpack
+from menumix.llm.frames import Labels, Scratch, settle
 from menumix.llm.words import mix, shingle_hashes, slices, words_of
 from menumix.session import materialise
 
 KEEP = 64
 MISS = 1e-8
 SMALL_LIST = 48
-LEVELS = 5
+CHUNK = 2_000_000
 
 
 def least_shared(k: int, threshold: float, miss: float = MISS) -> int:
@@ -52,10 +52,10 @@ class Rule:
         both = len(np.intersect1d(a, b, assume_unique=True))
         return 100 * both >= self.share * (len(a) + len(b) - both)
 
-    def least(self, n):
-        """SQL: retained values that a set of size ``n`` shares with any similar set, exactly if both are retained whole."""
-        whole = f"cast(ceil({self.share} * {n} / 100) as int)"
-        return f"case when {n} * 100 <= {self.k} * {self.share} then {whole} else least({self.need}, {whole}) end"
+    def least(self, n: np.ndarray) -> np.ndarray:
+        """Retained values that a set of size ``n`` shares with any similar set, exactly if both are retained whole."""
+        whole = -(-self.share * n // 100)
+        return np.where(n * 100 <= self.k * self.share, whole, np.minimum(self.need, whole))
 
     def sizes(self, a: str, b: str) -> str:
         return f"100 * least({a}, {b}) >= {self.share} * greatest({a}, {b})"
@@ -98,31 +98,109 @@ def sketches(docs: DataFrame, rule: Rule) -> DataFrame:
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame, rule: Rule) -> DataFrame:
-    """(node, packed) of the wanted nodes (first, node), from the text of their smallest id."""
+    """(node, packed) of the wanted nodes (first, node), from the text of their smallest id.
+
+    The wanted ids are sorted, memory-mapped shards, so the texts are scanned where they are and only sets of wanted ones leave a task."""
+    spark = docs.sparkSession
+    bits, folder = shard_bits(wanted.count()), shared_dir(spark, "near_wanted")
+
+    def send(batches):
+        for batch in batches:
+            first, node = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(2))
+            key = mix(first.view(np.uint64))
+            order = np.argsort(key)
+            yield packed_rows([key[order], first[order], node[order]], bits)
+
+    def merge(batches):
+        for shard, runs in shards(batches):
+            key, first, node = map(np.concatenate, zip(*runs))
+            order = np.argsort(key, kind="stable")
+            for name, values in (("first", first), ("node", node), ("key", key)):
+                save(folder, name, shard, values[order])
+            yield pa.RecordBatch.from_pydict({"shards": [1]})
+
+    by_shard(wanted.select("first", "node").mapInArrow(send, PACKED)).mapInArrow(merge, "shards long").agg(F.sum("shards")).first()
+
     def run(batches):
+        held = Mapped(folder, "key", ["first", "node"], bits)
         for batch in batches:
-            nodes, packed = [], []
-            for node, s in zip(batch.column(0).to_pylist(), _sets(batch.column(1), rule.n_words)):
-                if len(s) and _mark(s) == node % 2**64:  # rows that share an id may hold another text
-                    nodes.append(node)
+            batch = batch.filter(batch.column(0).is_valid())
+            ids = batch.column(0).to_numpy(zero_copy_only=False)
+            found, _, node = held.lookup(mix(ids.view(np.uint64)))
+            texts, nodes, packed = batch.column(1).filter(pa.array(found)), [], []
+            for mark, s in zip(node[found].tolist(), _sets(texts, rule.n_words)):
+                if len(s) and _mark(s) == mark % 2**64:  # rows that share an id may hold another text
+                    nodes.append(mark)
                     packed.append(pack([s]))
             yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(packed, pa.binary())], names=["node", "packed"])
 
-    rows = docs.join(wanted, docs["id"] == wanted["first"]).select("node", "text").mapInArrow(run, "node long, packed binary")
+    rows = docs.select("id", "text").mapInArrow(run, "node long, packed binary")
     return rows.groupBy("node").agg(F.any_value("packed").alias("packed"))
 
 
+def prefixes(nodes: DataFrame, rule: Rule) -> DataFrame:
+    """(k, node, n): the retained values that enter the inverted lists.
+
+    Tasks send their values' counts as packed shards; the merged counts of values in two sets or more
+    are memory-mapped, and each node's values are ranked where its sketch is: no row per value is shuffled."""
+    spark = nodes.sparkSession
+    bits, folder = shard_bits(rule.k * nodes.count()), shared_dir(spark, "near_counts")
+
+    def send(batches):
+        def flush(held):
+            values = np.concatenate(held)
+            return packed_rows(group_sum(values, [np.ones(len(values), np.int64)]), bits)
+
+        held, total = [], 0
+        for batch in batches:
+            held.append(batch.column(0).flatten().to_numpy(zero_copy_only=False).view(np.uint64))
+            total += len(held[-1])
+            if total >= CHUNK:
+                yield flush(held)
+                held, total = [], 0
+        if total:
+            yield flush(held)
+
+    def merge(batches):
+        for shard, runs in shards(batches):
+            value, df = map(np.concatenate, zip(*runs))
+            value, df = group_sum(value, [df])
+            save(folder, "df", shard, df[df > 1])
+            save(folder, "value", shard, value[df > 1])
+            yield pa.RecordBatch.from_pydict({"shards": [1]})
+
+    by_shard(nodes.select("sketch").mapInArrow(send, PACKED)).mapInArrow(merge, "shards long").agg(F.sum("shards")).first()
+
+    def run(batches):
+        held = Mapped(folder, "value", ["df"], bits)
+        for batch in batches:
+            node, n = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(2))
+            value = batch.column(2).flatten().to_numpy(zero_copy_only=False).view(np.uint64)
+            doc = np.repeat(np.arange(len(node)), pa.compute.list_value_length(batch.column(2)).to_numpy(zero_copy_only=False))
+            found, df = held.lookup(value)
+            value, doc, df = value[found], doc[found], df[found]
+            order = np.lexsort((value, df, doc))[::-1]  # of a document the most frequent value first
+            value, doc = value[order], doc[order]
+            nth = np.arange(len(doc)) - np.searchsorted(-doc, -doc) + 1
+            keep = nth >= rule.least(n)[doc]
+            yield pa.RecordBatch.from_arrays([pa.array(value[keep].view(np.int64)), pa.array(node[doc[keep]]), pa.array(n[doc[keep]])], names=["k", "node", "n"])
+
+    return nodes.select("node", "n", "sketch").mapInArrow(run, "k long, node long, n long")
+
+
 class Search:
-    """Links between the different shingle sets (nodes) of a corpus."""
+    """Components of the different shingle sets (nodes) of a corpus."""
 
     def __init__(self, docs: DataFrame, nodes: DataFrame, rule: Rule):
         self.docs, self.nodes, self.rule = docs, nodes, rule
-        self.links = self.seen = self.sets = None
+        self.scratch = Scratch(docs.sparkSession)
+        self.labels = Labels(docs.sparkSession, self.scratch)
+        self.seen = self.sets = None
 
     def estimated(self, pairs: DataFrame) -> DataFrame:
-        """Pairs whose union sketch holds enough shared values."""
+        """(a, b, score): pairs whose union sketch holds enough shared values, and their share in thousandths."""
         side = self.nodes.select("node", "sketch")
-        both = pairs.join(side.toDF("a", "sa"), "a").join(side.toDF("b", "sb"), "b")
+        both = pairs.join(side.toDF("a", "sa").hint("merge"), "a").join(side.toDF("b", "sb").hint("merge"), "b")
         k, need, share = self.rule.k, self.rule.need, self.rule.share
 
         def run(batches):
@@ -130,39 +208,37 @@ class Search:
                 a, b, sa, sb = (batch.column(batch.schema.get_field_index(c)) for c in ("a", "b", "sa", "sb"))
                 left, right = sa.values.to_numpy().view(np.uint64), sb.values.to_numpy().view(np.uint64)
                 lo, ro = sa.offsets.to_numpy(), sb.offsets.to_numpy()
-                keep = np.zeros(len(a), bool)
+                keep, score = np.zeros(len(a), bool), np.zeros(len(a), np.int64)
                 for i in range(len(a)):
                     x, y = left[lo[i]:lo[i + 1]], right[ro[i]:ro[i + 1]]
                     both = np.sort(np.concatenate([x, y]))
                     twin = np.concatenate([both[1:] == both[:-1], [False]])
                     first = np.concatenate([[True], both[1:] != both[:-1]])
                     least = need if max(len(x), len(y)) >= k else min(need, math.ceil(share * min(len(x), len(y)) / 100))
-                    keep[i] = twin[first][:k].sum() >= least
-                yield pa.RecordBatch.from_arrays([a.filter(pa.array(keep)), b.filter(pa.array(keep))], names=["a", "b"])
-
-        return both.select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long")
-
-    def sets_of(self, wanted: DataFrame) -> DataFrame:
-        """(node, packed) of the nodes, from their texts."""
-        wanted = settle(wanted.distinct().join(self.nodes.select("node", "first"), "node").select("first", "node"), "near_wanted")
-        return settle(full_sets(self.docs, wanted, self.rule), "near_sets")
+                    held = twin[first][:k]
+                    keep[i], score[i] = held.sum() >= least, 1000 * held.sum() // len(held)
+                keep = pa.array(keep)
+                yield pa.RecordBatch.from_arrays([a.filter(keep), b.filter(keep), pa.array(score).filter(keep)], names=["a", "b", "score"])
+
+        return both.select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long, score long")
+
+    def read_sets(self, wanted: DataFrame) -> None:
+        """Read the full sets of nodes that have none yet."""
+        wanted = wanted.distinct()
+        if self.sets is not None:
+            wanted = wanted.join(self.sets.select("node"), "node", "left_anti")
+        wanted = self.scratch.settle(wanted.join(self.nodes.select("node", "first"), "node").select("first", "node"), "near_wanted")
+        if wanted.limit(1).count():
+            found = self.scratch.settle(full_sets(self.docs, wanted, self.rule), "near_sets")
+            self.sets = found if self.sets is None else self.sets.unionAll(found)
+        self.scratch.drop(wanted)
 
     def with_sets(self, pairs: DataFrame) -> DataFrame:
-        """Pairs (a, b) with both full sets; read from the texts until the sets of all nodes in long lists are written."""
-        sets = self.sets
-        if sets is None:
-            sets = self.sets_of(pairs.select(F.col("a").alias("node")).unionAll(pairs.select("b")))
-        return pairs.join(sets.toDF("a", "pa"), "a").join(sets.toDF("b", "pb"), "b").select("a", "b", "pa", "pb")
+        """Pairs (a, b) with both full sets."""
+        return pairs.join(self.sets.toDF("a", "pa").hint("merge"), "a").join(self.sets.toDF("b", "pb").hint("merge"), "b").select("a", "b", "pa", "pb")
 
     def verify(self, pairs: DataFrame) -> None:
-        """Add the pairs that are similar by their full sets to the links."""
-        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        if self.seen is not None:
-            pairs = pairs.join(self.seen, ["a", "b"], "left_anti")
-        pairs = settle(pairs, "near_pairs")
-        self.seen = pairs if self.seen is None else self.seen.unionAll(pairs)
-        # The estimate spares reading most texts; later levels have the sets at hand.
-        likely = settle(self.estimated(pairs), "near_likely") if self.sets is None else pairs
+        """Join the components of pairs that are similar by their full sets."""
         rule = self.rule
 
         def run(batches):
@@ -171,10 +247,33 @@ class Search:
                 hits = [(x, y) for x, y, s, t in zip(a, b, pa_, pb) if rule.similar(unpack(s)[0], unpack(t)[0])]
                 yield pa.RecordBatch.from_arrays([pa.array([h[0] for h in hits], pa.int64()), pa.array([h[1] for h in hits], pa.int64())], names=["a", "b"])
 
-        found = settle(self.with_sets(likely).mapInArrow(run, "a long, b long"), "near_links")
-        self.links = found if self.links is None else self.links.unionAll(found)
+        links = self.scratch.settle(self.with_sets(pairs).mapInArrow(run, "a long, b long"), "near_links")
+        self.labels.add(links)
+        self.scratch.drop(links)
 
-    def resolve(self, index: DataFrame, last: bool) -> DataFrame | None:
+    def meet(self, pairs: DataFrame) -> None:
+        """Check pairs (a, b) of nodes: the estimate leaves the likely ones, every node's likeliest is
+        verified first, and of the rest only what then still lies in two components.
+        So a large group of near copies costs about one exact comparison a node."""
+        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        if self.seen is not None:
+            pairs = pairs.join(self.seen, ["a", "b"], "left_anti")
+        pairs = self.scratch.settle(pairs, "near_pairs")
+        self.seen = pairs if self.seen is None else self.seen.unionAll(pairs)
+        likely = self.scratch.settle(self.estimated(self.labels.apart(pairs)), "near_likely")
+        ends = likely.select(F.col("a").alias("x"), F.col("b").alias("y"), "score").unionAll(likely.select("b", "a", "score"))
+        self.read_sets(ends.select(F.col("x").alias("node")))
+        if self.sets is None:
+            return
+        best = ends.groupBy("x").agg(F.max(F.struct("score", "y")).alias("top")).select(F.least("x", "top.y").alias("a"), F.greatest("x", "top.y").alias("b"))
+        best = self.scratch.settle(best.distinct(), "near_best")
+        self.verify(best)
+        rest = self.scratch.settle(self.labels.apart(likely.select("a", "b").join(best, ["a", "b"], "left_anti")), "near_rest")
+        if rest.limit(1).count():
+            self.verify(rest)
+        self.scratch.drop(likely, best, rest)
+
+    def resolve(self, index: DataFrame) -> DataFrame | None:
         """Check the lists of ``index`` (k, node, n); the index of what is left, or None.
 
         Every member meets its list's smallest set, the leader. Lists that are then
@@ -182,30 +281,35 @@ class Search:
         components follow. In a long list, a set that is not similar to the leader
         can only be similar to another one that shares with it a value outside
         the leader (the other is no smaller than the leader, so what both share
-        within the leader is not enough): its members go on to lists of those values.
+        within the leader is not enough): its members go on to lists of those values. Every level takes a leader
+        out of each long list, so this ends.
         """
         lists = index.groupBy("k").agg(F.min(F.struct("n", "node")).alias("leader"), F.count(F.lit(1)).alias("size")).where("size > 1")
         lists = lists.select("k", "size", F.col("leader.node").alias("leader"), F.col("leader.n").alias("leader_n"))
-        met = settle(index.join(lists, "k"), "near_met")
-        self.verify(met.where("node <> leader").where(self.rule.sizes("n", "leader_n")).select(F.col("node").alias("a"), F.col("leader").alias("b")))
-        labels = components(self.links)
-        labelled = met.join(labels, "node", "left").select("k", "node", "n", "size", "leader", F.coalesce("component", "node").alias("component"))
+        met = self.scratch.settle(index.join(lists.hint("merge"), "k"), "near_met")
+        self.meet(met.where("node <> leader").where(self.rule.sizes("n", "leader_n")).select(F.col("node").alias("a"), F.col("leader").alias("b")))
+        labelled = self.labels.of(met, "node", "component")
         mixed = labelled.groupBy("k").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("k")
-        mixed = settle(labelled.join(mixed, "k"), "near_mixed")
-        short = mixed if last else mixed.where(F.col("size") <= SMALL_LIST)
+        mixed = self.scratch.settle(labelled.join(mixed, "k"), "near_mixed")
+        self.scratch.drop(met)
+        short = mixed.where(F.col("size") <= SMALL_LIST)
         left, right = (short.select("k", *[F.col(c).alias(c + s) for c in ("node", "n", "component")]) for s in ("_a", "_b"))
-        self.verify(left.join(right, "k").where(f"component_a < component_b and {self.rule.sizes('n_a', 'n_b')}").select(F.col("node_a").alias("a"), F.col("node_b").alias("b")))
-        long = settle(mixed.where((F.col("size") > SMALL_LIST) & ~F.lit(last) & (F.col("node") != F.col("leader"))).select(F.col("node").alias("a"), F.col("leader").alias("b")).distinct(), "near_long")
+        self.meet(left.join(right, "k").where(f"component_a < component_b and {self.rule.sizes('n_a', 'n_b')}").select(F.col("node_a").alias("a"), F.col("node_b").alias("b")))
+        long = mixed.where((F.col("size") > SMALL_LIST) & (F.col("node") != F.col("leader"))).select(F.col("node").alias("a"), F.col("leader").alias("b"))
+        long = self.scratch.settle(long.distinct(), "near_long")
+        self.scratch.drop(mixed)
         if not long.limit(1).count():
             return None
-        if self.sets is None:  # all that later levels can meet
-            self.sets = self.sets_of(long.select(F.col("a").alias("node")).unionAll(long.select("b")))
-        return self.outside(long)
+        self.read_sets(long.select(F.col("a").alias("node")).unionAll(long.select("b")))
+        index = self.outside(long)
+        self.scratch.drop(long)
+        return index if index.limit(1).count() else None
 
     def outside(self, pairs: DataFrame) -> DataFrame:
         """(k, node, n): for each set and leader, values outside the leader of which any similar partner shares one.
 
-        A partner shares ``need`` of them, hence one outside the ``need - 1`` most frequent.
+        Only values that occur in two components or more count. A partner of another component shares ``need`` of them, hence one outside
+        the ``need - 1`` most frequent.
         """
         rule = self.rule
 
@@ -226,10 +330,13 @@ class Search:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), *[pa.array(columns[:, i]) for i in range(4)]],
                                                  names=["k", "node", "n", "leader", "need"])
 
-        values = settle(self.with_sets(pairs).mapInArrow(run, "k long, node long, n long, leader long, need long"), "near_outside")
-        counts = settle(values.groupBy("k").agg(F.count(F.lit(1)).alias("df")).where("df > 1"), "near_outside_counts")
+        values = self.scratch.settle(self.with_sets(pairs).mapInArrow(run, "k long, node long, n long, leader long, need long"), "near_outside")
+        counts = self.labels.of(values.select("k", "node"), "node", "component").groupBy("k").agg(
+            F.count(F.lit(1)).alias("df"), F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("k", "df")
         ranked = values.join(counts, "k").selectExpr("*", "row_number() over (partition by node, leader order by df desc, k desc) as nth")
-        return settle(ranked.where("nth >= need").select("k", "node", "n"), "near_index")
+        index = self.scratch.settle(ranked.where("nth >= need").select("k", "node", "n"), "near_index")
+        self.scratch.drop(values)
+        return index
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_words: int = 5, share: int = 80, with_text_hash: bool = False) -> DataFrame:
@@ -257,18 +364,16 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     rows = materialise(sketches(docs, rule), "near_sketches")
     nodes = rows.where("n > 0 and id is not null").groupBy("node").agg(F.min("id").alias("first"), F.any_value("n").alias("n"), F.any_value("sketch").alias("sketch"))
     nodes = materialise(nodes, "near_nodes")
-    values = nodes.select("node", "n", F.explode("sketch").alias("k"))
-    counts = settle(values.groupBy("k").agg(F.count(F.lit(1)).alias("df")).where("df > 1"), "near_counts")
-    ranked = values.join(counts, "k").selectExpr("*", "row_number() over (partition by node order by df desc, k desc) as nth")
-    index = settle(ranked.where(f"nth >= {rule.least('n')}").select("k", "node", "n"), "near_prefix")
-    search, level = Search(docs, nodes, rule), 0
+    search = Search(docs, nodes, rule)
+    index = search.scratch.settle(prefixes(nodes, rule), "near_prefix")
     while index is not None:
-        level += 1
-        index = search.resolve(index, last=level == LEVELS)
-    labels = components(search.links).join(nodes.select("node", "first"), "node")
+        before, index = index, search.resolve(index)
+        search.scratch.drop(before)
+    labels = search.labels.frame.join(nodes.select("node", "first"), "node")
     firsts = labels.groupBy("component").agg(F.min("first").alias("component_id"))
     named = settle(nodes.select("node", "first").join(labels.select("node", "component"), "node", "left").join(firsts, "component", "left").select(
         F.col("node"), F.coalesce("component_id", "first").alias("component_id")), "near_components")
+    search.scratch.close()
     component = F.when(F.col("id").isNull(), F.lit(None)).otherwise(F.coalesce("component_id", "id"))
     out = rows.select("id", "n", F.when(F.col("n") > 0, F.col("node")).alias("node"), "text_hash").join(named, "node", "left")
     return out.select("id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"),
