@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import math
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from menumix.llm.arrays import PACKED, Mapped, by_shard, group_sum, pack, packed_rows, save, shard_bits, shards, shared_dir, unpack
@@ -14,9 +15,11 @@ from menumix.llm.frames import Labels, Scratch, settle
 from menumix.llm.words import mix, shingle_hashes, slices, words_of
 from menumix.session import materialise
 
-KEEP = 64
+KEEP = 64  # retained values that enter the lists
+MARKS = 128  # retained values that pairs are estimated by, four bytes each
 MISS = 1e-8
-SMALL_LIST = 48
+GUIDES = 48
+MOST_TOTAL = 20_000  # larger sets take the least shared values of this size, which are no more than their own
 CHUNK = 2_000_000
 
 
@@ -34,6 +37,23 @@ def least_shared(k: int, threshold: float, miss: float = MISS) -> int:
     return max(c, 1)
 
 
+@lru_cache(maxsize=None)
+def least_in_union(total: int, k: int, share: int, miss: float = MISS) -> int:
+    """Shared values among the ``k`` smallest of the union of two similar sets with ``total`` values together, but for a chance of ``miss``.
+
+    At the threshold the union has ``total`` / (1 + threshold) values, of which the k smallest are a random part;
+    more similar sets share more."""
+    union = total * 100 // (100 + share)
+    k, both = min(k, union), -(-share * union // 100)
+    whole, tail, c = math.comb(union, k), 0.0, 0
+    while c < k:
+        tail += math.comb(both, c) * math.comb(union - both, k - c) / whole
+        if tail > miss:
+            break
+        c += 1
+    return max(c, 1)
+
+
 def _parts(batches, rows: int = 500):
     """Small pieces of the batches: a pair may carry two long sets."""
     for batch in batches:
@@ -80,21 +100,25 @@ def text_hash(column: str) -> Column:
 
 
 def sketches(docs: DataFrame, rule: Rule) -> DataFrame:
-    """(id, n, node, sketch, text_hash): set size, set fingerprint, the k smallest shingle hashes and the hash of the text of every row."""
+    """(id, n, node, sketch, marks, text_hash): set size, set fingerprint, the k smallest shingle hashes, the
+    upper halves of the ``MARKS`` smallest, and the hash of the text of every row.
+
+    Halves keep the order of the values; where two values share a half, a pair is estimated too high, and verified."""
     def run(batches):
         for batch in batches:
-            sizes, marks, kept = [], [], []
+            sizes, marks, kept, halves = [], [], [], []
             for s in _sets(batch.column(1), rule.n_words):
                 sizes.append(len(s))
                 marks.append(_mark(s) if len(s) else 0)
                 kept.append(s[:rule.k])
+                halves.append((s[:MARKS] >> np.uint64(32)).astype("<u4").tobytes())
             offsets = np.concatenate([[0], np.cumsum([len(k) for k in kept])]).astype(np.int32)
             flat = np.concatenate(kept).view(np.int64) if kept else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(np.array(marks, np.uint64).view(np.int64)), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)), batch.column(2)],
-                names=["id", "n", "node", "sketch", "text_hash"])
+                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(np.array(marks, np.uint64).view(np.int64)), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)), pa.array(halves, pa.binary()), batch.column(2)],
+                names=["id", "n", "node", "sketch", "marks", "text_hash"])
 
-    return docs.select("id", "text", text_hash("text").alias("text_hash")).mapInArrow(run, "id long, n long, node long, sketch array<long>, text_hash long")
+    return docs.select("id", "text", text_hash("text").alias("text_hash")).mapInArrow(run, "id long, n long, node long, sketch array<long>, marks binary, text_hash long")
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame, rule: Rule) -> DataFrame:
@@ -199,28 +223,25 @@ class Search:
 
     def estimated(self, pairs: DataFrame) -> DataFrame:
         """(a, b, score): pairs whose union sketch holds enough shared values, and their share in thousandths."""
-        side = self.nodes.select("node", "sketch")
-        both = pairs.join(side.toDF("a", "sa").hint("merge"), "a").join(side.toDF("b", "sb").hint("merge"), "b")
-        k, need, share = self.rule.k, self.rule.need, self.rule.share
+        side = self.nodes.select("node", "n", "marks")
+        both = pairs.join(side.toDF("a", "na", "ma").hint("merge"), "a").join(side.toDF("b", "nb", "mb").hint("merge"), "b")
+        share = self.rule.share
 
         def run(batches):
             for batch in batches:
-                a, b, sa, sb = (batch.column(batch.schema.get_field_index(c)) for c in ("a", "b", "sa", "sb"))
-                left, right = sa.values.to_numpy().view(np.uint64), sb.values.to_numpy().view(np.uint64)
-                lo, ro = sa.offsets.to_numpy(), sb.offsets.to_numpy()
+                a, b, na, nb, ma, mb = batch.columns
+                total = np.minimum(pa.compute.add(na, nb).to_numpy(zero_copy_only=False), MOST_TOTAL).tolist()
                 keep, score = np.zeros(len(a), bool), np.zeros(len(a), np.int64)
-                for i in range(len(a)):
-                    x, y = left[lo[i]:lo[i + 1]], right[ro[i]:ro[i + 1]]
-                    both = np.sort(np.concatenate([x, y]))
+                for i, (x, y) in enumerate(zip(ma.to_pylist(), mb.to_pylist())):
+                    both = np.sort(np.frombuffer(x + y, "<u4"))
                     twin = np.concatenate([both[1:] == both[:-1], [False]])
                     first = np.concatenate([[True], both[1:] != both[:-1]])
-                    least = need if max(len(x), len(y)) >= k else min(need, math.ceil(share * min(len(x), len(y)) / 100))
-                    held = twin[first][:k]
-                    keep[i], score[i] = held.sum() >= least, 1000 * held.sum() // len(held)
+                    held = twin[first][:MARKS]
+                    keep[i], score[i] = held.sum() >= least_in_union(total[i], MARKS, share), 1000 * held.sum() // len(held)
                 keep = pa.array(keep)
                 yield pa.RecordBatch.from_arrays([a.filter(keep), b.filter(keep), pa.array(score).filter(keep)], names=["a", "b", "score"])
 
-        return both.select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long, score long")
+        return both.select("a", "b", "na", "nb", "ma", "mb").mapInArrow(run, "a long, b long, score long")
 
     def read_sets(self, wanted: DataFrame) -> None:
         """Read the full sets of nodes that have none yet."""
@@ -277,27 +298,30 @@ class Search:
         """Check the lists of ``index`` (k, node, n); the index of what is left, or None.
 
         Every member meets its list's smallest set, the leader. Lists that are then
-        one component are done; in short lists all pairs across
-        components follow. In a long list, a set that is not similar to the leader
+        one component are done. In the others every member meets the list's guides, up to ``GUIDES`` members of the
+        components with fewest members in it: that settles short lists, and long ones where few stand apart from many.
+        If the rest of a list is still several components, one of its sets, which is not similar to the leader,
         can only be similar to another one that shares with it a value outside
         the leader (the other is no smaller than the leader, so what both share
-        within the leader is not enough): its members go on to lists of those values. Every level takes a leader
-        out of each long list, so this ends.
+        within the leader is not enough): the rest goes on to lists of those values. A list's work grows with
+        its members; every level takes its guides out, so this ends.
         """
-        lists = index.groupBy("k").agg(F.min(F.struct("n", "node")).alias("leader"), F.count(F.lit(1)).alias("size")).where("size > 1")
-        lists = lists.select("k", "size", F.col("leader.node").alias("leader"), F.col("leader.n").alias("leader_n"))
+        lists = index.groupBy("k").agg(F.min(F.struct("n", "node")).alias("leader"), F.count(F.lit(1)).alias("size"), F.bit_xor(F.xxhash64("node")).alias("members"))
+        lists = lists.where("size > 1").groupBy("members", "size", "leader").agg(F.min("k").alias("k"))  # of lists with the same members one
+        lists = lists.select("k", F.col("leader.node").alias("leader"), F.col("leader.n").alias("leader_n"))
         met = self.scratch.settle(index.join(lists.hint("merge"), "k"), "near_met")
         self.meet(met.where("node <> leader").where(self.rule.sizes("n", "leader_n")).select(F.col("node").alias("a"), F.col("leader").alias("b")))
-        labelled = self.labels.of(met, "node", "component")
-        mixed = labelled.groupBy("k").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("k")
-        mixed = self.scratch.settle(labelled.join(mixed, "k"), "near_mixed")
+        mixed = self.mixed(met, "near_mixed")
         self.scratch.drop(met)
-        short = mixed.where(F.col("size") <= SMALL_LIST)
-        left, right = (short.select("k", *[F.col(c).alias(c + s) for c in ("node", "n", "component")]) for s in ("_a", "_b"))
-        self.meet(left.join(right, "k").where(f"component_a < component_b and {self.rule.sizes('n_a', 'n_b')}").select(F.col("node_a").alias("a"), F.col("node_b").alias("b")))
-        long = mixed.where((F.col("size") > SMALL_LIST) & (F.col("node") != F.col("leader"))).select(F.col("node").alias("a"), F.col("leader").alias("b"))
+        held = mixed.groupBy("k", "component").agg(F.count(F.lit(1)).alias("held"))
+        ranked = mixed.join(held, ["k", "component"]).withColumn("nth", F.row_number().over(Window.partitionBy("k").orderBy("held", "n", "node")))
+        guides = self.scratch.settle(ranked.where(F.col("nth") <= GUIDES).select("k", "node", "n", "component"), "near_guides")
+        left, right = (df.select("k", *[F.col(c).alias(c + s) for c in ("node", "n", "component")]) for df, s in ((mixed, "_a"), (guides, "_b")))
+        self.meet(left.join(right, "k").where(f"component_a <> component_b and {self.rule.sizes('n_a', 'n_b')}").select(F.col("node_a").alias("a"), F.col("node_b").alias("b")))
+        rest = self.mixed(mixed.drop("component").join(guides, ["k", "node"], "left_anti"), "near_rest")
+        long = rest.where("node <> leader").select(F.col("node").alias("a"), F.col("leader").alias("b"))
         long = self.scratch.settle(long.distinct(), "near_long")
-        self.scratch.drop(mixed)
+        self.scratch.drop(mixed, guides, rest)
         if not long.limit(1).count():
             return None
         self.read_sets(long.select(F.col("a").alias("node")).unionAll(long.select("b")))
@@ -305,6 +329,12 @@ class Search:
         self.scratch.drop(long)
         return index if index.limit(1).count() else None
 
+    def mixed(self, members: DataFrame, name: str) -> DataFrame:
+        """The members (k, node, ...) of lists with several components, and their components."""
+        labelled = self.labels.of(members, "node", "component")
+        mixed = labelled.groupBy("k").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("k")
+        return self.scratch.settle(labelled.join(mixed, "k"), name)
+
     def outside(self, pairs: DataFrame) -> DataFrame:
         """(k, node, n): for each set and leader, values outside the leader of which any similar partner shares one.
 
@@ -362,7 +392,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     rule = Rule(n_words, share)
     docs = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     rows = materialise(sketches(docs, rule), "near_sketches")
-    nodes = rows.where("n > 0 and id is not null").groupBy("node").agg(F.min("id").alias("first"), F.any_value("n").alias("n"), F.any_value("sketch").alias("sketch"))
+    nodes = rows.where("n > 0 and id is not null").groupBy("node").agg(F.min("id").alias("first"), F.any_value("n").alias("n"), F.any_value("sketch").alias("sketch"), F.any_value("marks").alias("marks"))
     nodes = materialise(nodes, "near_nodes")
     search = Search(docs, nodes, rule)
     index = search.scratch.settle(prefixes(nodes, rule), "near_prefix")

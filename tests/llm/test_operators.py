@@ -100,7 +100,7 @@ def test_least_shared_keeps_its_promise():
 @pytest.mark.parametrize("n_words, short_lists", [(2, None), (5, None), (2, 3)])
 def test_near_duplicates(docs, texts, n_words, short_lists, monkeypatch):
     if short_lists:  # the path of long lists
-        monkeypatch.setattr(near_dedup, "SMALL_LIST", short_lists)
+        monkeypatch.setattr(near_dedup, "GUIDES", short_lists)
     sets = {}
     for d, text, _ in texts:
         w = (text or "").encode().lower().split()
