@@ -7,18 +7,18 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from menumix.llm import links
 from menumix.llm.arrays import PACKED, Mapped, by_shard, group_sum, pack, packed_rows, save, shard_bits, shards, shared_dir, unpack
-from menumix.llm.frames import Labels, Scratch, settle
+from menumix.llm.frames import settle
 from menumix.llm.words import mix, shingle_hashes, slices, words_of
 from menumix.session import materialise
 
 KEEP = 64  # retained values that enter the lists
 MARKS = 128  # retained values that pairs are estimated by, four bytes each
 MISS = 1e-8
-GUIDES = 48
 MOST_TOTAL = 20_000  # larger sets take the least shared values of this size, which are no more than their own
 CHUNK = 2_000_000
 
@@ -212,14 +212,13 @@ def prefixes(nodes: DataFrame, rule: Rule) -> DataFrame:
     return nodes.select("node", "n", "sketch").mapInArrow(run, "k long, node long, n long")
 
 
-class Search:
+class Search(links.Search):
     """Components of the different shingle sets (nodes) of a corpus."""
 
     def __init__(self, docs: DataFrame, nodes: DataFrame, rule: Rule):
+        super().__init__(docs.sparkSession)
         self.docs, self.nodes, self.rule = docs, nodes, rule
-        self.scratch = Scratch(docs.sparkSession)
-        self.labels = Labels(docs.sparkSession, self.scratch)
-        self.seen = self.sets = None
+        self.sizes = rule.sizes
 
     def estimated(self, pairs: DataFrame) -> DataFrame:
         """(a, b, score): pairs whose union sketch holds enough shared values, and their share in thousandths."""
@@ -243,23 +242,15 @@ class Search:
 
         return both.select("a", "b", "na", "nb", "ma", "mb").mapInArrow(run, "a long, b long, score long")
 
-    def read_sets(self, wanted: DataFrame) -> None:
-        """Read the full sets of nodes that have none yet."""
-        wanted = wanted.distinct()
-        if self.sets is not None:
-            wanted = wanted.join(self.sets.select("node"), "node", "left_anti")
-        wanted = self.scratch.settle(wanted.join(self.nodes.select("node", "first"), "node").select("first", "node"), "near_wanted")
-        if wanted.limit(1).count():
-            found = self.scratch.settle(full_sets(self.docs, wanted, self.rule), "near_sets")
-            self.sets = found if self.sets is None else self.sets.unionAll(found)
-        self.scratch.drop(wanted)
+    def find_sets(self, wanted: DataFrame) -> DataFrame:
+        wanted = self.scratch.settle(wanted.join(self.nodes.select("node", "first"), "node").select("first", "node"), "near_firsts")
+        return full_sets(self.docs, wanted, self.rule)
 
     def with_sets(self, pairs: DataFrame) -> DataFrame:
         """Pairs (a, b) with both full sets."""
         return pairs.join(self.sets.toDF("a", "pa").hint("merge"), "a").join(self.sets.toDF("b", "pb").hint("merge"), "b").select("a", "b", "pa", "pb")
 
-    def verify(self, pairs: DataFrame) -> None:
-        """Join the components of pairs that are similar by their full sets."""
+    def similar(self, pairs: DataFrame) -> DataFrame:
         rule = self.rule
 
         def run(batches):
@@ -268,79 +259,10 @@ class Search:
                 hits = [(x, y) for x, y, s, t in zip(a, b, pa_, pb) if rule.similar(unpack(s)[0], unpack(t)[0])]
                 yield pa.RecordBatch.from_arrays([pa.array([h[0] for h in hits], pa.int64()), pa.array([h[1] for h in hits], pa.int64())], names=["a", "b"])
 
-        links = self.scratch.settle(self.with_sets(pairs).mapInArrow(run, "a long, b long"), "near_links")
-        self.labels.add(links)
-        self.scratch.drop(links)
-
-    def meet(self, pairs: DataFrame) -> None:
-        """Check pairs (a, b) of nodes: the estimate leaves the likely ones, every node's likeliest is
-        verified first, and of the rest only what then still lies in two components.
-        So a large group of near copies costs about one exact comparison a node."""
-        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        if self.seen is not None:
-            pairs = pairs.join(self.seen, ["a", "b"], "left_anti")
-        pairs = self.scratch.settle(pairs, "near_pairs")
-        self.seen = pairs if self.seen is None else self.seen.unionAll(pairs)
-        likely = self.scratch.settle(self.estimated(self.labels.apart(pairs)), "near_likely")
-        ends = likely.select(F.col("a").alias("x"), F.col("b").alias("y"), "score").unionAll(likely.select("b", "a", "score"))
-        self.read_sets(ends.select(F.col("x").alias("node")))
-        if self.sets is None:
-            return
-        best = ends.groupBy("x").agg(F.max(F.struct("score", "y")).alias("top")).select(F.least("x", "top.y").alias("a"), F.greatest("x", "top.y").alias("b"))
-        best = self.scratch.settle(best.distinct(), "near_best")
-        self.verify(best)
-        rest = self.scratch.settle(self.labels.apart(likely.select("a", "b").join(best, ["a", "b"], "left_anti")), "near_rest")
-        if rest.limit(1).count():
-            self.verify(rest)
-        self.scratch.drop(likely, best, rest)
-
-    def resolve(self, index: DataFrame) -> DataFrame | None:
-        """Check the lists of ``index`` (k, node, n); the index of what is left, or None.
-
-        Every member meets its list's smallest set, the leader. Lists that are then
-        one component are done. In the others every member meets the list's guides, up to ``GUIDES`` members of the
-        components with fewest members in it: that settles short lists, and long ones where few stand apart from many.
-        If the rest of a list is still several components, one of its sets, which is not similar to the leader,
-        can only be similar to another one that shares with it a value outside
-        the leader (the other is no smaller than the leader, so what both share
-        within the leader is not enough): the rest goes on to lists of those values. A list's work grows with
-        its members; every level takes its guides out, so this ends.
-        """
-        lists = index.groupBy("k").agg(F.min(F.struct("n", "node")).alias("leader"), F.count(F.lit(1)).alias("size"), F.bit_xor(F.xxhash64("node")).alias("members"))
-        lists = lists.where("size > 1").groupBy("members", "size", "leader").agg(F.min("k").alias("k"))  # of lists with the same members one
-        lists = lists.select("k", F.col("leader.node").alias("leader"), F.col("leader.n").alias("leader_n"))
-        met = self.scratch.settle(index.join(lists.hint("merge"), "k"), "near_met")
-        self.meet(met.where("node <> leader").where(self.rule.sizes("n", "leader_n")).select(F.col("node").alias("a"), F.col("leader").alias("b")))
-        mixed = self.mixed(met, "near_mixed")
-        self.scratch.drop(met)
-        held = mixed.groupBy("k", "component").agg(F.count(F.lit(1)).alias("held"))
-        ranked = mixed.join(held, ["k", "component"]).withColumn("nth", F.row_number().over(Window.partitionBy("k").orderBy("held", "n", "node")))
-        guides = self.scratch.settle(ranked.where(F.col("nth") <= GUIDES).select("k", "node", "n", "component"), "near_guides")
-        left, right = (df.select("k", *[F.col(c).alias(c + s) for c in ("node", "n", "component")]) for df, s in ((mixed, "_a"), (guides, "_b")))
-        self.meet(left.join(right, "k").where(f"component_a <> component_b and {self.rule.sizes('n_a', 'n_b')}").select(F.col("node_a").alias("a"), F.col("node_b").alias("b")))
-        rest = self.mixed(mixed.drop("component").join(guides, ["k", "node"], "left_anti"), "near_rest")
-        long = rest.where("node <> leader").select(F.col("node").alias("a"), F.col("leader").alias("b"))
-        long = self.scratch.settle(long.distinct(), "near_long")
-        self.scratch.drop(mixed, guides, rest)
-        if not long.limit(1).count():
-            return None
-        self.read_sets(long.select(F.col("a").alias("node")).unionAll(long.select("b")))
-        index = self.outside(long)
-        self.scratch.drop(long)
-        return index if index.limit(1).count() else None
-
-    def mixed(self, members: DataFrame, name: str) -> DataFrame:
-        """The members (k, node, ...) of lists with several components, and their components."""
-        labelled = self.labels.of(members, "node", "component")
-        mixed = labelled.groupBy("k").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("k")
-        return self.scratch.settle(labelled.join(mixed, "k"), name)
+        return self.with_sets(pairs).mapInArrow(run, "a long, b long")
 
     def outside(self, pairs: DataFrame) -> DataFrame:
-        """(k, node, n): for each set and leader, values outside the leader of which any similar partner shares one.
-
-        Only values that occur in two components or more count. A partner of another component shares ``need`` of them, hence one outside
-        the ``need - 1`` most frequent.
-        """
+        """(k, node, n, leader, need): the values of a set outside its leader, and how many of them a similar partner shares."""
         rule = self.rule
 
         def run(batches):
@@ -360,13 +282,7 @@ class Search:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), *[pa.array(columns[:, i]) for i in range(4)]],
                                                  names=["k", "node", "n", "leader", "need"])
 
-        values = self.scratch.settle(self.with_sets(pairs).mapInArrow(run, "k long, node long, n long, leader long, need long"), "near_outside")
-        counts = self.labels.of(values.select("k", "node"), "node", "component").groupBy("k").agg(
-            F.count(F.lit(1)).alias("df"), F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("k", "df")
-        ranked = values.join(counts, "k").selectExpr("*", "row_number() over (partition by node, leader order by df desc, k desc) as nth")
-        index = self.scratch.settle(ranked.where("nth >= need").select("k", "node", "n"), "near_index")
-        self.scratch.drop(values)
-        return index
+        return self.with_sets(pairs).mapInArrow(run, "k long, node long, n long, leader long, need long")
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_words: int = 5, share: int = 80, with_text_hash: bool = False) -> DataFrame:
@@ -380,7 +296,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     Equal sets are one node, so copies never multiply. A node retains the 64
     smallest hashes. Similar nodes share at least ``least_shared`` of them (but
     for a chance of 1e-8), hence one value outside each one's most frequent
-    ``least_shared - 1``: only those enter the inverted lists. ``Search.resolve``
+    ``least_shared - 1``: only those enter the inverted lists. ``links.Search``
     works through the lists without emitting all pairs of long ones; pairs pass
     a union-sketch estimate and are confirmed on the full sets.
 
@@ -395,11 +311,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     nodes = rows.where("n > 0 and id is not null").groupBy("node").agg(F.min("id").alias("first"), F.any_value("n").alias("n"), F.any_value("sketch").alias("sketch"), F.any_value("marks").alias("marks"))
     nodes = materialise(nodes, "near_nodes")
     search = Search(docs, nodes, rule)
-    index = search.scratch.settle(prefixes(nodes, rule), "near_prefix")
-    while index is not None:
-        before, index = index, search.resolve(index)
-        search.scratch.drop(before)
-    labels = search.labels.frame.join(nodes.select("node", "first"), "node")
+    labels = search.run(prefixes(nodes, rule)).join(nodes.select("node", "first"), "node")
     firsts = labels.groupBy("component").agg(F.min("first").alias("component_id"))
     named = settle(nodes.select("node", "first").join(labels.select("node", "component"), "node", "left").join(firsts, "component", "left").select(
         F.col("node"), F.coalesce("component_id", "first").alias("component_id")), "near_components")

@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from menumix.llm import bpe, exact_dedup, language_model, line_dedup, mixing, near_dedup, nearest, quality, substring_dedup, warc
+from menumix.llm import bpe, exact_dedup, language_model, line_dedup, links, mixing, near_dedup, nearest, quality, substring_dedup, warc
 
 SCHEMA = "doc_id long, text string, source string, id long, node long, n int, kept boolean, k string, size int, component long, _text string, _row string"
 
@@ -100,7 +100,7 @@ def test_least_shared_keeps_its_promise():
 @pytest.mark.parametrize("n_words, short_lists", [(2, None), (5, None), (2, 3)])
 def test_near_duplicates(docs, texts, n_words, short_lists, monkeypatch):
     if short_lists:  # the path of long lists
-        monkeypatch.setattr(near_dedup, "GUIDES", short_lists)
+        monkeypatch.setattr(links, "GUIDES", short_lists)
     sets = {}
     for d, text, _ in texts:
         w = (text or "").encode().lower().split()
@@ -232,7 +232,7 @@ def test_quality(spark):
 @pytest.mark.parametrize("short_lists", [None, 3])
 def test_line_duplicates(docs, texts, short_lists, monkeypatch):
     if short_lists:
-        monkeypatch.setattr(line_dedup, "SMALL_LIST", short_lists)
+        monkeypatch.setattr(links, "GUIDES", short_lists)
     draw = random.Random(8)
     base = sentence(draw, 40)
     more = [(500 + i, f"  \n{base[:i % 5]}{base}{i}\nown {sentence(draw, 9)}\nx\n", "s") for i in range(20)]
@@ -268,22 +268,29 @@ def test_line_dedup_query_returns_every_document(spark, tmp_path):
                    5: (2, 0, [], digest(" \n\t")), 6: (1, 1, [0], digest(""))}
 
 
-@pytest.mark.parametrize("length", [12, 13])
-def test_line_signatures_of_short_lines(spark, length):
-    """Pairs at 4 of 5 and 5 of 6 shingles share a band as often as independent values would."""
-    draw = random.Random(11)
-    lines = []
-    for _ in range(6000):  # the second line has one shingle more
-        text = "".join(draw.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(length + 1))
-        lines.append((text[:length], text[:length + 1]))
-    frame = spark.createDataFrame([(i, k, x) for i, pair in enumerate(lines) for k, x in enumerate(pair)], "i int, k int, line string")
-    nodes = frame.withColumns({"node": F.col("i").cast("long") * 2 + F.col("k"), "n": F.greatest(F.char_length("line") - 8, F.lit(1))})
+def test_short_lines_are_matched_exactly(spark):
+    """Pairs at the threshold whose signatures say little: 4 of 5 and 8 of 10 shingles, and lines of one shingle many times over."""
+    draw, rows = random.Random(11), []
+    for i in range(400):
+        text = "".join(draw.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(18))
+        n = draw.choice([12, 16])
+        rows += [(2 * i, text[:n]), (2 * i + 1, text[:n + 1] if n == 12 else text[:n + 2])]
+    rows += [(2000, "=" * 20), (2001, "=" * 700), (2002, "ab" * 9), (2003, "ab" * 300)]
+    found = line_dedup.line_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {r.id: r.kept for r in found.collect()} == {i: i % 2 == 0 for i, _ in rows}
+
+
+def test_line_signatures_of_long_lines(spark):
+    """Pairs at 4 of 5 shingles share a band about as often as independent values would."""
+    draw, lines = random.Random(12), []
+    for i in range(1500):
+        text = "".join(draw.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(108))
+        lines += [(2 * i, text[:88]), (2 * i + 1, text[:108])]  # 80 of 100
+    nodes = spark.createDataFrame(lines, "node long, line string").withColumn("n", F.char_length("line") - 8)
     sigs = {r.node: r.sig for r in line_dedup.signatures(nodes).collect()}
     bands = range(line_dedup.BANDS)
-    missed = sum(not any(sigs[2 * i][3 * b:3 * b + 3] == sigs[2 * i + 1][3 * b:3 * b + 3] for b in bands) for i in range(len(lines)))
-    shared = (length - 8) / (length - 7)
-    expected = (1 - shared ** 3) ** 8
-    assert missed / len(lines) <= expected + 4 * math.sqrt(expected / len(lines)) + 1 / len(lines)
+    missed = sum(not any(sigs[2 * i][3 * b:3 * b + 3] == sigs[2 * i + 1][3 * b:3 * b + 3] for b in bands) for i in range(1500))
+    assert missed / 1500 <= 0.01
 
 
 def test_no_lines(docs):
