@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from menumix import fixed_values as fv
 from menumix.functions.scalars import blank_to_null, ratio
 from menumix.operators.shares import share_of
+from menumix.session import materialise
 
 
 def in_scope(items: DataFrame, channels: list[str] | None = None) -> Column:
@@ -48,6 +49,7 @@ def menu_engineering(
     otherwise reaching it is enough.
     """
     by = list(by)
+    items = materialise(items, "engineering-items")  # read by the thresholds and the classification
     limits = thresholds(items, by, channels)
     if by:
         out = items.join(limits, by, "left")

@@ -15,7 +15,7 @@ from menumix.functions.calendar import assign_period, bucket_time
 from menumix.functions.scalars import is_blank, ratio, retention_band
 from menumix.operators.filters import category_position, filter_revenue, payment_channel
 from menumix.operators.joins import compare_totals, modifiers_of_items, orphan_modifiers, restrict_to
-from menumix.operators.shares import share_of
+from menumix.operators.shares import share_of, shares_of
 
 def _sales(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.sum("line_total").alias("net_sales"), F.sum("quantity").alias("quantity"))
@@ -52,15 +52,16 @@ def validate(staged: DataFrame, public: DataFrame, mods: DataFrame) -> DataFrame
     public_counts = public.agg(F.count("*").alias("a"), F.count_if(F.col("channel_code").isNull()).alias("b"))
     orphans = orphan_modifiers(mods, public).agg(F.count("*").alias("a"))
 
-    def row(counts: DataFrame, value: str, label: str) -> DataFrame:
-        return counts.select(F.lit(label).alias("check"), F.col(value).cast("decimal(28,4)").alias("value"))
+    def rows(counts: DataFrame, first: str, second: str | None = None) -> DataFrame:
+        """Both counters of an aggregate as rows, so that its table is read once."""
+        pairs = [(first, "a")] + ([(second, "b")] if second else [])
+        entries = F.array(*[F.struct(F.lit(label).alias("check"), F.col(c).cast("decimal(28,4)").alias("value")) for label, c in pairs])
+        return counts.select(F.inline(entries))
 
     return (
-        row(staged_counts, "a", "staging lines")
-        .unionByName(row(public_counts, "a", "public lines"))
-        .unionByName(row(staged_counts, "b", "staging revenue (non-void)"))
-        .unionByName(row(orphans, "a", "orphan modifiers"))
-        .unionByName(row(public_counts, "b", "lines missing channel"))
+        rows(staged_counts, "staging lines", "staging revenue (non-void)")
+        .unionByName(rows(public_counts, "public lines", "lines missing channel"))
+        .unionByName(rows(orphans, "orphan modifiers"))
     )
 
 
@@ -97,8 +98,7 @@ def item_metrics(items: DataFrame, scope_by: list[str] = ()) -> DataFrame:
         .withColumn("margin", F.col("avg_price") - F.col("avg_cost").cast("double"))
         .withColumn("total_margin", F.col("net_sales") - F.col("total_cost"))
     )
-    out = share_of(out, "quantity", scope_by, "menu_mix_pct")
-    return share_of(out, "net_sales", scope_by, "sls_pct")
+    return shares_of(out, {"quantity": "menu_mix_pct", "net_sales": "sls_pct"}, scope_by)
 
 
 def blended_metrics(items: DataFrame, keys: list[str] = ("canonical_name",)) -> DataFrame:
@@ -220,7 +220,7 @@ def channel_split(lines: DataFrame, channels: list[str] | None = None) -> DataFr
 def location_cards(lines: DataFrame) -> DataFrame:
     """revenue, items sold and part of the group per location."""
     sums = _sales(lines, ["location_code"])
-    shared = share_of(share_of(sums, "net_sales", out="revenue_share"), "quantity", out="menu_mix_pct")
+    shared = shares_of(sums, {"net_sales": "revenue_share", "quantity": "menu_mix_pct"})
     return shared.withColumnsRenamed({"net_sales": "revenue", "quantity": "items_sold"})
 
 

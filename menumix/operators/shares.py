@@ -9,22 +9,32 @@ from pyspark.sql import functions as F
 
 from menumix.functions.calendar import prior_range
 from menumix.functions.scalars import ratio
+from menumix.session import materialise
 
 
-def share_of(df: DataFrame, value: str, by: list[str] = (), out: str = "share") -> DataFrame:
-    """H1: value as a part of its total, over everything or within ``by``.
+def shares_of(df: DataFrame, values: dict[str, str], by: list[str] = ()) -> DataFrame:
+    """H1: values as parts of their totals, over everything or within ``by``; ``values`` names a share column for each.
 
-    ``df`` is an aggregated frame. Totals come from an aggregate that is read
-    as a scalar subquery or joined back, so no group is gathered in one task
+    ``df`` is an aggregated frame. It is written once, so the facts behind it are read once: details and totals both come from
+    the small table. Totals are read as a scalar subquery or joined back, so no group is gathered in one task
     as an unbounded window would do.
     """
-    by = list(by)
-    if not by:
-        total = df.agg(F.sum(value).alias("t")).scalar()
-        return df.withColumn(out, ratio(F.col(value), total))
-    totals = df.groupBy(*by).agg(F.sum(value).alias("_total"))
-    joined = df.join(totals, by, "left")
-    return joined.withColumn(out, ratio(F.col(value), F.col("_total"))).drop("_total").select(*df.columns, out)
+    by, names = list(by), list(df.columns)
+    df = materialise(df, "shares")
+    sums = [F.sum(v).alias(f"_total_{out}") for v, out in values.items()]
+    if by:
+        totals = df.groupBy(*by).agg(*sums)
+        df = _null_safe_join(df, totals, by, "left")
+    else:
+        total = df.agg(*sums).select(F.struct("*")).scalar()
+        df = df.withColumn("_totals", total).select("*", "_totals.*").drop("_totals")
+    parts = [ratio(F.col(v), F.col(f"_total_{out}")).alias(out) for v, out in values.items()]
+    return df.select(*names, *parts)
+
+
+def share_of(df: DataFrame, value: str, by: list[str] = (), out: str = "share") -> DataFrame:
+    """H1 for one value."""
+    return shares_of(df, {value: out}, by)
 
 
 RANK_BUCKETS = 64
@@ -41,7 +51,8 @@ def global_rank(df: DataFrame, value: str, out: str = "rank", by: list[str] = ()
     sorts it, then infinity; null ranks last.
     """
     by = list(by)
-    counts = df.groupBy(*by, value).agg(F.count("*").alias("_n"))
+    # Written: quantiles, offsets and ranks read the distinct values, not the rows again.
+    counts = materialise(df.groupBy(*by, value).agg(F.count("*").alias("_n")), "rank-counts")
     number = F.col(value).cast("double")
     finite = F.when(~F.isnan(number) & (F.abs(number) != float("inf")), number)
     splitters = counts.agg(F.percentile_approx(finite, F.lit([i / RANK_BUCKETS for i in range(1, RANK_BUCKETS)]), F.lit(50 * RANK_BUCKETS)).alias("s"))
@@ -100,7 +111,7 @@ def vs_prior(
     change = F.coalesce("current_value", F.lit(0)) - F.coalesce("prior_value", F.lit(0))
     out = out.withColumn("change", change).withColumn("change_pct", ratio(F.col("change"), F.col("prior_value")))
     if share:
-        out = share_of(share_of(out, "current_value", out="current_share"), "prior_value", out="prior_share")
+        out = shares_of(out, {"current_value": "current_share", "prior_value": "prior_share"})
         points = F.coalesce("current_share", F.lit(0.0)) - F.coalesce("prior_share", F.lit(0.0))
         out = out.withColumn("share_change_pp", points * 100)
     return out

@@ -129,50 +129,60 @@ def dim_item_rows(lines: DataFrame) -> DataFrame:
     )
 
 
+def merge_dim_item(dim: DataFrame, rows: DataFrame) -> DataFrame:
+    return upsert(
+        dim, rows, ["natural_key"], update=["canonical_name"], keep_if_null=["menu_group"], greatest=["last_seen"]
+    )
+
+
 def upsert_dim_item(dim: DataFrame | None, lines: DataFrame) -> DataFrame:
     """New items are added; known ones take the new name, a known menu group
     and the later last-seen date, and keep everything else."""
     rows = dim_item_rows(lines)
-    if dim is None:
-        return rows
-    return upsert(
-        dim, rows, ["natural_key"], update=["canonical_name"], keep_if_null=["menu_group"], greatest=["last_seen"]
-    )
+    return rows if dim is None else merge_dim_item(dim, rows)
 
 
-def upsert_dim_modifier(dim: DataFrame | None, mods: DataFrame, tags: DataFrame) -> DataFrame:
-    """One row per canonical modifier; untagged ones need review."""
+def dim_modifier_rows(mods: DataFrame, tags: DataFrame) -> DataFrame:
     seen = mods.groupBy(F.col("clean_name").alias("canonical_name")).agg(
         F.min("business_date").alias("first_seen"), F.max("business_date").alias("last_seen")
     )
     tagged = tag_modifier_type(seen, "canonical_name", tags)
-    rows = tagged.select(
+    return tagged.select(
         surrogate_key(F.col("canonical_name")).alias("modifier_key"),
         F.col("canonical_name").alias("natural_key"),
         "canonical_name", "mod_type",
         F.col("mod_type").isNull().alias("needs_review"),
         "first_seen", "last_seen",
     )
-    if dim is None:
-        return rows
+
+
+def merge_dim_modifier(dim: DataFrame, rows: DataFrame) -> DataFrame:
     return upsert(
         dim, rows, ["natural_key"], update=["mod_type", "needs_review"], greatest=["last_seen"]
     )
 
 
+def upsert_dim_modifier(dim: DataFrame | None, mods: DataFrame, tags: DataFrame) -> DataFrame:
+    """One row per canonical modifier; untagged ones need review."""
+    rows = dim_modifier_rows(mods, tags)
+    return rows if dim is None else merge_dim_modifier(dim, rows)
+
+
 def set_channel_override(overrides: DataFrame, changes: DataFrame) -> DataFrame:
     """Manual corrections; also applies a whole frame of suggestions."""
     rest = [c for c in overrides.columns if c != "order_guid"]
     return upsert(overrides, changes, ["order_guid"], update=rest)
 
 
-def dim_history(changes: DataFrame, key: str, tracked: list[str], at: str) -> DataFrame:
+def dim_history(changes: DataFrame, key: str, tracked: list[str], at: str, arrival: str | None = None) -> DataFrame:
     """Validity ranges of a dimension from dated observations.
 
-    Repeated observations of a key on a date are reduced first (the last by
-    value order stands), which bounds each key's window to one row per date.
+    Repeated observations of a key on a date are reduced first, which bounds each key's window to one row per date: the one
+    with the largest ``arrival`` stands, without arrival the last by value order.
     """
-    daily = changes.groupBy(key, at).agg(F.max(F.struct(*tracked)).alias("_now"))
+    now = F.struct(*tracked)
+    stands = F.max(now) if arrival is None else F.max_by(now, F.struct(arrival, now))
+    daily = changes.groupBy(key, at).agg(stands.alias("_now"))
     by_key = Window.partitionBy(key).orderBy(at)
     before = F.lag("_now").over(by_key)
     starts = daily.withColumn("_before", before).filter(~F.col("_now").eqNullSafe(F.col("_before")))
@@ -180,3 +190,17 @@ def dim_history(changes: DataFrame, key: str, tracked: list[str], at: str) -> Da
     return starts.select(key, "_now.*", F.col(at).alias("valid_from"), upto.alias("valid_to")).withColumn(
         "is_current", F.col("valid_to").isNull()
     )
+
+
+def merge_history(history: DataFrame, late: DataFrame, key: str, tracked: list[str], at: str, arrival: str) -> DataFrame:
+    """Late changes put into stored validity ranges (``dim_history``).
+
+    A late change splits the range that its date falls into, up to that range's end, replaces what a range of its own date
+    said, and equal neighbours become one range. Only the ranges of keys with late changes are rebuilt.
+    """
+    names = history.columns
+    keys = late.select(key).distinct()
+    touched = history.join(keys, key, "left_semi")
+    stored = touched.select(key, *tracked, F.col("valid_from").alias(at), F.lit(None).cast(late.schema[arrival].dataType).alias(arrival))  # before any arrival
+    rebuilt = dim_history(stored.unionByName(late.select(key, *tracked, at, arrival)), key, tracked, at, arrival)
+    return history.join(keys, key, "left_anti").unionByName(rebuilt.select(*names))

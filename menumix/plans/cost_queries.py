@@ -28,7 +28,7 @@ rules AS (SELECT DISTINCT canonical_name,
 
 MODS = f"""{LINES}, {CALENDAR}, {modifier_cte()}, {COSTS},
 mq AS (SELECT l.canonical_name AS item_name, channel_code, CAST(period_no AS INTEGER) AS period_key,
-              CASE m.mod_type WHEN 'Sides' THEN 'Make it a Meal' WHEN 'Drinks' THEN 'Make it a Meal' ELSE m.mod_type END AS mod_type,
+              CASE m.mod_type WHEN 'Sides' THEN 'Make it a Meal' WHEN 'Drinks' THEN 'Make it a Meal' ELSE COALESCE(m.mod_type, 'Untyped') END AS mod_type,
               m.canonical_name, SUM(m.quantity) AS quantity
        FROM m JOIN l ON m.parent_selection = l.selection_guid LEFT JOIN cal ON business_date BETWEEN period_start AND period_end
        WHERE NOT m.is_voided AND NOT l.is_voided AND NOT l.is_deferred GROUP BY 1, 2, 3, 4, 5),
@@ -43,7 +43,7 @@ halves AS (SELECT item_name, channel_code, mq.period_key, mod_type,
            WHERE canonical_name LIKE '1/2 %' AND canonical_name NOT LIKE '1/2 and 1/2 %' GROUP BY 1, 2, 3, 4),
 typed AS (
   SELECT mq.item_name, mq.channel_code, mq.period_key, mq.mod_type, mq.quantity,
-         CASE WHEN mq.canonical_name LIKE '1/2 and 1/2 %'
+         CASE WHEN mq.mod_type = 'Untyped' THEN NULL WHEN mq.canonical_name LIKE '1/2 and 1/2 %'
               THEN CAST(CAST(mq.quantity AS DOUBLE) * (CAST(half_amount AS DOUBLE) / CAST(half_quantity AS DOUBLE)) AS DECIMAL(24,4))
               ELSE CAST(mq.quantity * CASE WHEN is_zero THEN 0 ELSE COALESCE(derived, own_cost) END AS DECIMAL(24,4)) END AS cost
   FROM mq LEFT JOIN uc ON uc.canonical_name = mq.canonical_name AND uc.period_key IS NOT DISTINCT FROM mq.period_key
@@ -58,12 +58,11 @@ def _unit_costs(spark, sf):
 
 
 def _quantities(spark, sf):
-    """Typed modifier quantities per item, channel and period number."""
+    """Modifier quantities per item, channel and period number, untyped ones as a type of their own."""
     lines = t.order_lines(spark, sf, "selection_guid", "order_guid", "canonical_name", "channel_code", "location_code",
                           "business_date", "is_voided", "is_deferred")
     days = calendar_days(t.calendar(spark)).select("business_date", (F.col("period_key") % 100).alias("period_key"))
-    mods = t.modifiers(spark, sf).filter(F.col("mod_type").isNotNull())
-    return costing.modifier_quantities(mods, lines, days)
+    return costing.modifier_quantities(t.modifiers(spark, sf), lines, days)
 
 
 # --- G1 to G6 ------------------------------------------------------------------
@@ -85,7 +84,7 @@ def derive_modifier_cost(spark, sf):
 
 @query("g2_half_and_half_cost", f"""
 WITH {MODS} SELECT item_name, channel_code, period_key, mod_type, {d("half_amount", "half_amount")}, {d("half_quantity", "half_quantity")},
-       {q("half_amount", "half_quantity", "half_cost")} FROM halves WHERE mod_type IS NOT NULL""")
+       {q("half_amount", "half_quantity", "half_cost")} FROM halves""")
 def half_and_half_cost(spark, sf):
     return costing.half_and_half_cost(_quantities(spark, sf), _unit_costs(spark, sf))
 
@@ -93,17 +92,17 @@ def half_and_half_cost(spark, sf):
 TYPE_COLUMNS = f"item_name, channel_code, period_key, mod_type, {d('type_cost', 'type_cost')}, {d('modifier_quantity', 'modifier_quantity')}, {d('unpriced_quantity', 'unpriced_quantity')}"
 
 
-@query("g3_modifier_cost_by_type", f"WITH {MODS} SELECT {TYPE_COLUMNS} FROM tc WHERE mod_type IS NOT NULL")
+@query("g3_modifier_cost_by_type", f"WITH {MODS} SELECT {TYPE_COLUMNS} FROM tc")
 def modifier_cost_by_type(spark, sf):
     return costing.modifier_cost_by_type(_quantities(spark, sf), _unit_costs(spark, sf))
 
 
-SCOPED = "channel_code IN ('APP', 'TPD') OR mod_type IN ('Main', 'Extra Main', 'Make it a Meal')"
+SCOPED = "channel_code IN ('APP', 'TPD') OR mod_type IN ('Main', 'Extra Main', 'Make it a Meal', 'Untyped')"
 
 
 @query("g4_channel_modifier_scope", f"""
 WITH {MODS} SELECT channel_code, mod_type, {d("SUM(quantity)", "quantity")} FROM mq
-WHERE mod_type IS NOT NULL AND ({SCOPED}) GROUP BY 1, 2""")
+WHERE {SCOPED} GROUP BY 1, 2""")
 def channel_modifier_scope(spark, sf):
     kept = costing.channel_modifier_scope(_quantities(spark, sf))
     return kept.groupBy("channel_code", "mod_type").agg(F.sum("quantity").alias("quantity"))
@@ -116,7 +115,7 @@ def _with_sub_category(df):
 
 @query("g5_plates_rule", f"""
 WITH {MODS} SELECT item_name, mod_type, {d("SUM(quantity)", "quantity")} FROM mq
-WHERE mod_type IS NOT NULL AND NOT (item_name LIKE '%plate' AND mod_type IN ('Main', 'Extra Main')) GROUP BY 1, 2""")
+WHERE NOT (item_name LIKE '%plate' AND mod_type IN ('Main', 'Extra Main')) GROUP BY 1, 2""")
 def plates_rule(spark, sf):
     kept = costing.plates_rule(_with_sub_category(_quantities(spark, sf)))
     return kept.groupBy("item_name", "mod_type").agg(F.sum("quantity").alias("quantity"))
@@ -159,7 +158,7 @@ def costed_items(spark, sf):
     return items.join(t.base_costs(spark, sf), "canonical_name", "left").withColumn("category", category)
 
 
-SCOPED_MODS = MODS.replace("tc AS (SELECT", f"""kept AS (SELECT * FROM typed WHERE ({SCOPED}) AND mod_type IS NOT NULL
+SCOPED_MODS = MODS.replace("tc AS (SELECT", f"""kept AS (SELECT * FROM typed WHERE ({SCOPED})
   AND NOT (item_name LIKE '%plate' AND mod_type IN ('Main', 'Extra Main'))),
 tc AS (SELECT""").replace("FROM typed GROUP BY 1, 2, 3, 4)", "FROM kept GROUP BY 1, 2, 3, 4)")
 COSTED = f"""{SCOPED_MODS},

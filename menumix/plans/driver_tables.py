@@ -14,6 +14,7 @@ from menumix.functions.scalars import MONEY
 from menumix.operators.filters import attribute_channel, payment_channel
 from menumix.session import rule_frame, scratch_path, tune
 from menumix.sources.documents import order_feed
+from menumix.sources.files import read_sheet
 
 # Channel patterns for the test tables; the market segment plays the paying
 # vendor, the order priority the dining option and the brand the sales category.
@@ -341,9 +342,23 @@ def menu_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # --- sheets and extracts -----------------------------------------------------------
-def part_sheet(spark: SparkSession, sf_dir: str, cells: dict[int, Column], suffix: str = "") -> DataFrame:
-    """A 27-column sheet with one row per part, in part order, filed by period."""
+def part_rows(spark: SparkSession, sf_dir: str, cells: dict[int, Column], suffix: str = "") -> DataFrame:
+    """Rows of a 27-column sheet, one per part, with the part's key as place and the period file's name."""
     period = F.lpad((F.col("p_size") % 13 + 1).cast("string"), 2, "0")
     name = F.concat(F.lit("/sheets/P"), period, (F.lit(1995) + F.col("p_partkey") % 7).cast("string"), F.lit(suffix), F.lit(".csv"))
     columns = [cells.get(i, F.lit(None).cast("string")).cast("string").alias(f"_c{i}") for i in range(27)]
     return table(spark, sf_dir, "part").select(*columns, F.col("p_partkey").alias("_at"), name.alias("_file"))
+
+
+def part_sheet(spark: SparkSession, sf_dir: str, cells: dict[int, Column], suffix: str = "", by_period: bool = True) -> DataFrame:
+    """The rows written as CSV sheets and read again: one file per period or a single one, rows in part order.
+
+    The last cell of a row is filled with a text that holds a line break, a comma and a quote."""
+    rows = part_rows(spark, sf_dir, cells, suffix)
+    odd = F.lit('over two\nlines, "quoted"')
+    rows = rows.withColumn("_c20", F.coalesce("_c20", odd)).withColumn(
+        "sheet", F.regexp_extract("_file", "([^/]+)[.]csv", 1) if by_period else F.lit("sheet"))
+    path = scratch_path(spark, "sheets")
+    ordered = rows.repartition("sheet").sortWithinPartitions("sheet", "_at").drop("_at", "_file")
+    ordered.write.partitionBy("sheet").options(quoteAll=True, escape='"', emptyValue="", nullValue="").csv(path)
+    return read_sheet(spark, f"{path}/*/*.csv")

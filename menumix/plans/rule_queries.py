@@ -413,8 +413,8 @@ def _feed(spark, sf):
 
 
 @query("e2_upsert_latest", """
-WITH a AS (SELECT user_id, arg_max(event_id, ts) AS e FROM events WHERE event_type = 'view' GROUP BY 1),
-b AS (SELECT user_id, arg_max(event_id, ts) AS e FROM events WHERE event_type = 'click' GROUP BY 1),
+WITH a AS (SELECT user_id, arg_max(event_id, ts) AS e FROM events WHERE event_type IN ('view', 'signup', 'error') GROUP BY 1),
+b AS (SELECT user_id, arg_max(event_id, ts) AS e FROM events WHERE event_type IN ('click', 'purchase') GROUP BY 1),
 v AS (SELECT event_id, ts, props FROM events)
 SELECT CAST(COALESCE(a.user_id, b.user_id) AS VARCHAR) AS order_guid,
        CASE WHEN vb.ts IS NOT NULL AND (va.ts IS NULL OR vb.ts >= va.ts) THEN vb.event_id ELSE va.event_id END AS arrival,
@@ -424,8 +424,8 @@ FROM a FULL JOIN b ON a.user_id = b.user_id LEFT JOIN v va ON va.event_id = a.e
 def upsert_latest(spark, sf):
     feed = _feed(spark, sf)
     old, new = (
-        upsert.latest_by(feed.filter(F.col("event_type") == kind).drop("event_type", "value"), ["order_guid"], ["modified_date"])
-        for kind in ("view", "click"))
+        upsert.latest_by(feed.filter(F.col("event_type").isin(kinds)).drop("event_type", "value"), ["order_guid"], ["modified_date"])
+        for kinds in (["view", "signup", "error"], ["click", "purchase"]))
     return upsert.upsert_latest(old, new)
 
 
@@ -535,6 +535,24 @@ def dim_history(spark, sf):
     return upsert.dim_history(changes, "user_id", ["state"], "seen")
 
 
+@query("e9_late_change", """
+WITH early AS (SELECT user_id, CAST(ts AS DATE) AS d, arg_max(event_type, event_id) AS state FROM events WHERE event_id % 3 <> 0 GROUP BY 1, 2),
+eb AS (SELECT *, lag(state) OVER (PARTITION BY user_id ORDER BY d) AS before FROM early),
+es AS (SELECT user_id, d, state, NULL AS event_id FROM eb WHERE before IS DISTINCT FROM state),
+lt AS (SELECT user_id, CAST(ts AS DATE) AS d, event_type AS state, event_id FROM events WHERE event_id % 3 = 0),
+w AS (SELECT user_id, d, arg_max(state, coalesce(event_id, -1)) AS state FROM (SELECT * FROM es UNION ALL SELECT * FROM lt) GROUP BY 1, 2),
+wb AS (SELECT *, lag(state) OVER (PARTITION BY user_id ORDER BY d) AS before FROM w),
+ws AS (SELECT * FROM wb WHERE before IS DISTINCT FROM state)
+SELECT user_id, state, d AS valid_from, CAST(lead(d) OVER (PARTITION BY user_id ORDER BY d) - 1 AS DATE) AS valid_to,
+       lead(d) OVER (PARTITION BY user_id ORDER BY d) IS NULL AS is_current FROM ws""")
+def late_change(spark, sf):
+    """Every third event arrives after the ranges of the others were stored."""
+    changes = t.table(spark, sf, "events").select("user_id", F.col("event_type").alias("state"), F.col("ts").cast("date").alias("seen"), "event_id")
+    late = F.col("event_id") % 3 == 0
+    stored = upsert.dim_history(changes.filter(~late), "user_id", ["state"], "seen", "event_id")
+    return upsert.merge_history(stored, changes.filter(late), "user_id", ["state"], "seen", "event_id")
+
+
 @query("h2_latest_by", """
 SELECT user_id, arg_max(event_type, ts) AS event_type, MAX(ts) AS ts FROM events GROUP BY 1""")
 def latest_by(spark, sf):

@@ -161,7 +161,7 @@ def read_retention(spark, sf):
 SELECT p_partkey, CAST(p_size % 13 + 1 AS INTEGER) AS period, CAST(1995 + p_partkey % 7 AS INTEGER) AS fiscal_year
 FROM part WHERE p_size <= 40""")
 def period_from_filename(spark, sf):
-    names = t.part_sheet(spark, sf, {0: F.col("p_partkey"), 1: F.col("p_size")}, "is_final").withColumn(
+    names = t.part_rows(spark, sf, {0: F.col("p_partkey"), 1: F.col("p_size")}, "is_final").withColumn(
         "name", F.when(F.col("_c1").cast("int") > 40, F.concat(F.lit("x"), "_file")).otherwise(F.col("_file")))
     broken = F.when(F.col("_c1").cast("int") > 40, F.replace("name", F.lit("/P"), F.lit("/Q"))).otherwise(F.col("name"))
     period, year = files.period_from_filename(broken, files.INSTORE_FILE)
@@ -192,7 +192,7 @@ def _lookup_sheet(spark, sf):
         3: F.when(size > 5, name), 4: F.when(size > 5, F.col("p_type")),
         5: name, 6: F.when(size > 2, F.col("p_type")), 7: F.col("p_brand"),
         9: F.col("p_brand"), 10: F.when(size != 7, F.col("p_type")),
-    })
+    }, by_period=False)
 
 
 @query("a8_load_modifier_types", """
@@ -216,6 +216,7 @@ c2 AS (SELECT p_type AS category_1, arg_max(p_brand, p_partkey) AS category_2 FR
 a AS (SELECT * FROM raw UNION ALL SELECT cleaned_item_name, cleaned_item_name FROM c1 WHERE cleaned_item_name NOT IN (SELECT cleaned_item_name FROM raw))
 SELECT raw_item_name, cleaned_item_name, category_1, category_2 FROM a LEFT JOIN c1 USING (cleaned_item_name) LEFT JOIN c2 USING (category_1)""")
 def build_item_lookup(spark, sf):
+    """The first two blocks come from the written sheet; categories of the types are put beside them."""
     sheet = _lookup_sheet(spark, sf)
     old = F.col("_c1").startswith("old ")
     sheet = sheet.withColumn("_c0", F.when(~old, F.col("_c0"))).withColumns({"_c6": F.col("_c4"), "_c7": F.col("_c9")})
@@ -317,40 +318,46 @@ def seed_dimension(spark, sf):
 
 
 # --- D10, F19, F20, H7 (they read the extracts) ------------------------------------
+SOLD = f"""{RETENTION},
+s AS (SELECT canonical_name, CAST(period_key // 100 AS INTEGER) AS fiscal_year, CAST(period_key % 100 AS INTEGER) AS period,
+             SUM(line_total) AS net_sales, SUM(quantity) AS quantity
+      FROM l LEFT JOIN cal ON business_date BETWEEN period_start AND period_end WHERE {REPORT} GROUP BY 1, 2, 3),
+f AS (SELECT s.*, guests, ret, reo FROM s LEFT JOIN r ON item_name = canonical_name AND r.fiscal_year = s.fiscal_year AND r.period = s.period)"""
+
+
 @query("d10_attach_retention", f"""
-WITH {RETENTION}, s AS (SELECT canonical_name, SUM(line_total) AS net_sales, SUM(quantity) AS quantity FROM l WHERE {REPORT} GROUP BY 1)
-SELECT canonical_name, {d("net_sales", "net_sales")}, {d("quantity", "quantity")}, {d("guests", "guests")}, {RATES}
-FROM s LEFT JOIN (SELECT * FROM r WHERE fiscal_year = 1998 AND period = 5) r ON item_name = canonical_name""")
+WITH {SOLD}
+SELECT canonical_name, fiscal_year, period, {d("net_sales", "net_sales")}, {d("quantity", "quantity")}, {d("guests", "guests")}, {RATES} FROM f""")
 def attach_retention(spark, sf):
-    return _with_retention(spark, sf).select("canonical_name", "net_sales", "quantity", "guests", "return_rate", "reorder_rate")
+    return _with_retention(spark, sf).select(
+        "canonical_name", "fiscal_year", "period", "net_sales", "quantity", "guests", "return_rate", "reorder_rate")
 
 
 def _with_retention(spark, sf):
-    lines = filters.filter_revenue(t.order_lines(spark, sf, "canonical_name", "quantity", "line_total", "is_voided", "is_deferred"))
-    items = reports.item_sales(lines, ["canonical_name"])
-    period = _retention(spark, sf).filter("fiscal_year = 1998 and period = 5")
-    return joins.attach_retention(items, period)
-
-
-F19 = f"""{RETENTION}, f AS (SELECT item_name, ret, reo, CAST(ret - reo AS DECIMAL(8,0)) AS delta FROM r WHERE fiscal_year = 1998 AND period = 5)"""
+    """Items of every fiscal period with the retention of that period."""
+    lines = filters.filter_revenue(t.order_lines(spark, sf, "canonical_name", "business_date", "quantity", "line_total", "is_voided", "is_deferred"))
+    dated = assign_period(lines, t.calendar(spark)).withColumns({
+        "fiscal_year": F.expr("cast(period_key div 100 as int)"), "period": (F.col("period_key") % 100).cast("int")})
+    items = reports.item_sales(dated, ["canonical_name", "fiscal_year", "period"])
+    return joins.attach_retention(items, _retention(spark, sf))
 
 
 @query("f19_retention_report", f"""
-WITH {F19}, s AS (SELECT DISTINCT canonical_name FROM l WHERE {REPORT})
-SELECT canonical_name, {RATES}, CAST(ret - reo AS DOUBLE) / 10000 AS return_delta, CAST(reo - ret AS DOUBLE) / 10000 AS reorder_delta,
+WITH {SOLD}
+SELECT canonical_name, fiscal_year, period, {RATES}, CAST(ret - reo AS DOUBLE) / 10000 AS return_delta, CAST(reo - ret AS DOUBLE) / 10000 AS reorder_delta,
        CASE WHEN ret >= 2800 THEN 'green' WHEN ret >= 1500 THEN 'amber' WHEN ret IS NOT NULL THEN 'red' END AS band
-FROM s LEFT JOIN f ON item_name = canonical_name""")
+FROM f""")
 def retention_report(spark, sf):
     return reports.retention_report(_with_retention(spark, sf)).select(
-        "canonical_name", "return_rate", "reorder_rate", "return_delta", "reorder_delta", "band")
+        "canonical_name", "fiscal_year", "period", "return_rate", "reorder_rate", "return_delta", "reorder_delta", "band")
 
 
 @query("f19_retention_kpis", f"""
-WITH {F19}
-SELECT CAST(CAST(SUM(ret) AS DOUBLE) / 10000 AS DOUBLE) / CAST(COUNT(*) AS DOUBLE) AS avg_return_rate,
-       CAST(CAST(SUM(reo) AS DOUBLE) / 10000 AS DOUBLE) / CAST(COUNT(*) AS DOUBLE) AS avg_reorder_rate,
-       (SELECT item_name FROM f ORDER BY ret DESC, item_name DESC LIMIT 1) AS best_item,
-       (SELECT item_name FROM f ORDER BY ret, item_name LIMIT 1) AS worst_item FROM f""")
+WITH {SOLD}
+SELECT CAST(CAST(SUM(ret) AS DOUBLE) / 10000 AS DOUBLE) / CAST(COUNT(ret) AS DOUBLE) AS avg_return_rate,
+       CAST(CAST(SUM(reo) AS DOUBLE) / 10000 AS DOUBLE) / CAST(COUNT(reo) AS DOUBLE) AS avg_reorder_rate,
+       (SELECT canonical_name FROM f WHERE ret IS NOT NULL ORDER BY ret DESC, canonical_name DESC LIMIT 1) AS best_item,
+       (SELECT canonical_name FROM f WHERE ret IS NOT NULL ORDER BY ret, canonical_name LIMIT 1) AS worst_item FROM f""")
 def retention_kpis(spark, sf):
     return reports.retention_kpis(reports.retention_report(_with_retention(spark, sf)))
 

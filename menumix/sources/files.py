@@ -12,7 +12,8 @@ from menumix.functions.scalars import blank_to_null
 from menumix.operators.upsert import dedupe_first, insert_ignore, latest_by, upsert
 from menumix.session import materialise, rule_frame
 
-CSV = {"header": "true", "multiLine": "false", "escape": '"', "encoding": "UTF-8"}
+# A quoted cell may hold line breaks, so a file is read as one stream of records by one task; many files are read side by side.
+CSV = {"header": "true", "multiLine": "true", "escape": '"', "encoding": "UTF-8"}
 
 
 # --- A4 --------------------------------------------------------------------------
@@ -94,23 +95,17 @@ def read_retention(spark: SparkSession, path: str, pattern: str) -> DataFrame:
 
     24 of the 44 columns are kept under short names; files whose name holds no
     period are skipped; of repeated items the last row stands. A leading byte
-    order mark is dropped. The columns are as many as the widest header has; a
-    file without the item column and a record that spans lines fail the job.
+    order mark is dropped, records may span lines. The columns are as many as the widest header has; a
+    file without the item column fails the job.
     """
-    lines = spark.read.text(path).select(
-        F.regexp_replace("value", "^\ufeff", "").alias("line"),
-        F.input_file_name().alias("file"), F.monotonically_increasing_id().alias("id"),
-    ).filter(F.trim("line") != "")
-    first = lines.groupBy("file").agg(F.min_by("line", "id").alias("line"))
+    lines = spark.read.text(path).select("value", F.input_file_name().alias("file"), F.monotonically_increasing_id().alias("id")).filter(F.trim("value") != "")
+    first = lines.groupBy("file").agg(F.min_by("value", "id").alias("line"))
     width = first.agg(F.max(F.size(F.split("line", ",")))).first()[0] or 1  # quoted commas only add columns
-    cells = F.array(*[F.col(f"row._c{i}") for i in range(width)])
-    whole = F.length(F.regexp_replace("line", '[^"]', "")) % 2 == 0
-    line = F.when(whole, F.col("line")).otherwise(F.raise_error(F.lit("a retention record spans lines")))
-    parsed = lines.withColumn("row", F.from_csv(line, _text_columns(width), {"escape": '"'})).select(
-        "file", "id", cells.alias("cells")
-    )
+    parsed = spark.read.options(**{**CSV, "header": "false"}).schema(_text_columns(width)).csv(path).select(
+        F.input_file_name().alias("file"), F.monotonically_increasing_id().alias("id"), F.array(*[f"_c{i}" for i in range(width)]).alias("cells"))
     # Each file's own header row names its columns.
     headers = parsed.groupBy("file").agg(F.min("id").alias("first_id"), F.min_by("cells", "id").alias("header"))
+    headers = headers.withColumn("header", F.transform("header", lambda name: F.regexp_replace(name, "^\ufeff", "")))
     rows = parsed.join(headers, "file").filter(F.col("id") > F.col("first_id"))
     period, year = period_from_filename(F.col("file"), pattern)
     rows = rows.withColumns({"fiscal_year": year, "period": period, "_at": F.struct("file", "id")})
@@ -141,25 +136,33 @@ SHEET_WIDTH = 27
 SHEET_COLUMNS = {"modifier_types": 11, "item_lookup": 8, "modifier_cost": 27, "item_cost": 7}
 
 
-def read_sheet(spark: SparkSession, path: str, skip_rows: int = 0, needs: int | None = None) -> DataFrame:
-    """A sheet exported as CSV without header: texts ``_c0, _c1, ...`` and the
-    row's place ``_at``. The first ``skip_rows`` rows of the file are dropped.
-
-    ``needs`` is the number of columns that the loader reads (``SHEET_COLUMNS``);
-    a file whose widest row is narrower fails.
+def read_sheet(spark: SparkSession, path: str, skip_rows: int = 0) -> DataFrame:
+    """A sheet exported as CSV without header: texts ``_c0, _c1, ...``, the
+    row's place ``_at``, its ``_file`` and the number of columns of the file's widest record, ``_width``, which every
+    loader checks against the columns it reads (``SHEET_COLUMNS``). The first ``skip_rows`` records of the file are dropped.
     """
-    if needs:
-        widths = spark.read.text(path).groupBy(F.input_file_name().alias("file")).agg(F.max(F.size(F.split("value", ","))).alias("width"))
-        narrow = widths.filter(F.col("width") < needs).orderBy("file").take(1)
-        if narrow:
-            raise ValueError(f"{narrow[0][0]} has {narrow[0][1]} columns, {needs} are read")
+    # Sheets are small: their widths are counted on the whole text, without what stands in quotes.
+    bare = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("_file"), F.regexp_replace("value", '"[^"]*+"', "").alias("text"))
+    records = F.transform(F.split("text", r"\r?\n|\r"), lambda line: F.size(F.split(line, ",", -1)))
+    widths = bare.select("_file", F.array_max(records).alias("_width"))
     rows = spark.read.options(**{**CSV, "header": "false"}).schema(_text_columns(SHEET_WIDTH)).csv(path)
     rows = rows.withColumns({"_at": F.monotonically_increasing_id(), "_file": F.input_file_name()})
     if skip_rows:
-        # A file's first rows sit in its first split, whose ids start its run.
+        # A file is one split, whose ids start its run.
         starts = rows.groupBy("_file").agg(F.min("_at").alias("_first"))
         rows = rows.join(starts, "_file").filter(F.col("_at") - F.col("_first") >= skip_rows).drop("_first")
-    return rows
+    return rows.join(widths, "_file")
+
+
+def _wide(sheet: DataFrame, kind: str) -> DataFrame:
+    """The sheet, unless a file is narrower than its loader reads: that stops the run at once, however empty the
+    columns are that it does have."""
+    if "_width" in sheet.columns:
+        needs = SHEET_COLUMNS[kind]
+        narrow = sheet.filter(F.col("_width") < needs).select("_file", "_width").orderBy("_file").take(1)
+        if narrow:
+            raise ValueError(f"{narrow[0][0]} has {narrow[0][1]} columns, {needs} are read")
+    return sheet
 
 
 def _cell(position: int) -> Column:
@@ -169,7 +172,7 @@ def _cell(position: int) -> Column:
 def modifier_type_rows(sheet: DataFrame) -> DataFrame:
     """Modifier, item type and modifier type (columns 5 to 7); the last
     row of a pair wins."""
-    rows = sheet.select(
+    rows = _wide(sheet, "modifier_types").select(
         _cell(5).alias("modifier_name"), _cell(6).alias("item_type"), _cell(7).alias("modifier_type"), "_at"
     ).filter(F.col("modifier_name").isNotNull() & F.col("item_type").isNotNull())
     return latest_by(rows, ["modifier_name", "item_type"], ["_at"]).drop("_at")
@@ -182,7 +185,7 @@ def load_modifier_types(sheet: DataFrame, target: DataFrame | None = None) -> Da
 
 def load_parent_types(sheet: DataFrame, target: DataFrame | None = None) -> DataFrame:
     """Parent item and item type (columns 9 and 10); known pairs are left alone."""
-    rows = sheet.select(_cell(9).alias("parent_item"), _cell(10).alias("item_type"))
+    rows = _wide(sheet, "modifier_types").select(_cell(9).alias("parent_item"), _cell(10).alias("item_type"))
     rows = rows.filter(F.col("parent_item").isNotNull() & F.col("item_type").isNotNull()).distinct()
     return rows if target is None else insert_ignore(target, rows, ["parent_item", "item_type"])
 
@@ -214,6 +217,7 @@ def build_item_lookup(raw_to_clean: DataFrame, clean_to_cat1: DataFrame, cat1_to
 
 def load_item_lookup(sheet: DataFrame) -> DataFrame:
     """A9 from the menu breakdown sheet (column pairs 0-1, 3-4 and 6-7)."""
+    sheet = _wide(sheet, "item_lookup")
     return build_item_lookup(_pairs(sheet, 0, 1), _pairs(sheet, 3, 4), _pairs(sheet, 6, 7))
 
 
@@ -231,7 +235,7 @@ def _with_period(sheet: DataFrame, pattern: str) -> DataFrame:
 def load_modifier_cost(sheet: DataFrame) -> DataFrame:
     """A10: modifier costs per period; the first row of a recipe in a file stands,
     error cells and other non-numbers become null."""
-    rows = _with_period(sheet, MODIFIER_COST_FILE).select(
+    rows = _with_period(_wide(sheet, "modifier_cost"), MODIFIER_COST_FILE).select(
         "period", _cell(0).alias("recipe_name"), _cell(1).alias("clean_name"), _cell(14).alias("portion_unit"),
         _cell(16).alias("cogs_account"), _cell(25).try_cast("decimal(12,4)").alias("total_cost"),
         _cell(26).try_cast("decimal(12,4)").alias("cost_per_portion"), "_at",
@@ -243,7 +247,7 @@ def load_item_cost(sheet: DataFrame) -> DataFrame:
     """Item costs per period and menu; leading ``$`` goes, the last row of a
     (period, menu, item) stands."""
     price = F.regexp_replace(_cell(6), r"^\$+", "")
-    rows = _with_period(sheet, ITEM_COST_FILE).select(
+    rows = _with_period(_wide(sheet, "item_cost"), ITEM_COST_FILE).select(
         "period", _cell(0).alias("menu"), _cell(2).alias("item_name"), _cell(3).alias("item_name_updated"),
         _cell(1).alias("menu_group"), _cell(4).alias("category_1"), _cell(5).alias("category_2"),
         blank_to_null(price).try_cast("decimal(10,4)").alias("avg_cost"), "_at",
@@ -281,6 +285,32 @@ def channel_dimension(spark: SparkSession) -> DataFrame:
     return rule_frame(spark, fv.CHANNELS, "channel_code string, display_name string")
 
 
+KEY_FOLDERS = 16
+
+
+def _key_rows(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """(key_hash, key_folder, ...) in front of the columns of ``rows``."""
+    key = F.xxhash64(*keys)
+    return rows.select(key.alias("key_hash"), F.pmod(key, F.lit(KEY_FOLDERS)).cast("int").alias("key_folder"), *rows.columns)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
+def indexed_partitions(spark: SparkSession, path: str, batch: DataFrame, keys: list[str], partition: str) -> DataFrame:
+    """(key_hash, partition) of the batch's keys by the table's key index.
+
+    The index holds eight bytes a row and its partition, in folders by the key's hash: a small batch reads only
+    the folders of its keys, and the table itself is not read. Equal hashes of different keys only name a partition too many.
+    """
+    sought = _key_rows(batch.select(*keys).distinct(), keys).select("key_hash", "key_folder")
+    folders = [row[0] for row in sought.select("key_folder").distinct().collect()]  # KEY_FOLDERS at most
+    known = spark.read.parquet(f"{path}.keys").filter(F.col("key_folder").isin(folders))
+    return known.join(sought.select("key_hash"), "key_hash", "left_semi").select("key_hash", partition)
+
+
 def merge_into(
     spark: SparkSession,
     path: str,
@@ -289,21 +319,32 @@ def merge_into(
     merge: Callable[[DataFrame, DataFrame], DataFrame],
     partition: str = "business_date",
     known: Column | None = None,
+    run: int | None = None,
 ) -> None:
     """Merge a batch into a written table, rewriting only the partitions it touches.
 
     Touched are the partitions of the batch and those where its keys already
-    sit, since a row may move. Finding the latter reads the key columns of the
-    table only; ``known`` narrows that search where older rows cannot change.
+    sit, since a row may claim another one. With ``run`` the latter come from the key index beside the
+    table (``indexed_partitions``), which this merge extends by the batch's new keys under ``run=<run>``, and a table that is missing is
+    made; without, the key columns of the table are read, and ``known`` narrows that search where older rows cannot change.
+
     The merged partitions are written aside first, so that none is read while
-    it is being replaced, and a run that failed can be repeated. Partition
+    it is being replaced, and a run that failed can be repeated: whatever of it is there already is merged
+    again to the same rows, and its part of the index is replaced. Partition
     values (days, locations) are few and are listed on the driver, which prunes
     the scan of the old rows to them. A partition that the merge leaves without
-    rows is removed.
+    rows is removed; a reader in between may see a row that moved twice.
     """
-    old = spark.read.parquet(path)
-    searched = old if known is None else old.filter(known)
-    held = searched.join(batch.select(*keys), list(keys), "left_semi").select(partition)
+    if run is not None and not path_exists(spark, path):
+        write_table(batch.limit(0), path, partition)
+    old = spark.read.schema(batch.schema).parquet(path) if run is not None else spark.read.parquet(path)
+    if run is None:
+        searched = old if known is None else old.filter(known)
+        held = searched.join(batch.select(*keys), list(keys), "left_semi").select(partition)
+    elif path_exists(spark, f"{path}.keys"):
+        held = indexed_partitions(spark, path, batch, keys, partition).select(partition)
+    else:
+        held = batch.select(partition).limit(0)
     touched = [row[0] for row in held.unionByName(batch.select(partition)).distinct().collect()]
     inside = F.col(partition).isin([value for value in touched if value is not None])
     if None in touched:
@@ -312,6 +353,19 @@ def merge_into(
     write_table(merged, path, partition)
     left = {row[0] for row in merged.select(partition).distinct().collect()}
     _remove_partitions(spark, path, partition, [value for value in touched if value not in left])
+    if run is not None:
+        _index_batch(spark, path, merged, batch, keys, partition, run)
+
+
+def _index_batch(spark: SparkSession, path: str, merged: DataFrame, batch: DataFrame, keys: list[str], partition: str, run: int) -> None:
+    """Add the batch's keys that no other run has put into the index, with the partitions that hold them now."""
+    places = _key_rows(merged.select(*keys, partition).join(batch.select(*keys).distinct(), list(keys), "left_semi").distinct(), keys)
+    places = places.select("key_hash", "key_folder", partition)
+    if path_exists(spark, f"{path}.keys"):
+        other = spark.read.schema(f"key_hash bigint, {partition} {dict(merged.dtypes)[partition]}, run bigint, key_folder int").parquet(f"{path}.keys")
+        other = other.filter(F.col("run") != run).select("key_hash", F.col(partition).alias("_place"))
+        places = places.join(other, (places["key_hash"] == other["key_hash"]) & places[partition].eqNullSafe(other["_place"]), "left_anti")
+    places.hint("rebalance", "key_folder").write.mode("overwrite").partitionBy("key_folder").parquet(f"{path}.keys/run={run}")
 
 
 def _remove_partitions(spark: SparkSession, path: str, partition: str, values: list) -> None:

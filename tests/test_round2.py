@@ -20,17 +20,33 @@ def test_an_extract_wider_than_any_limit_is_read(spark, tmp_path, rows):
     assert rows(got, "item_name", "revenue") == [("Naan", Decimal("3.50"))]
 
 
-@pytest.mark.parametrize("text, reason", [("Other,Item revenue\nNaan,3\n", "no column"), ('Item,Item revenue\n"Na\nan",3\n', "spans lines")])
-def test_a_broken_extract_fails_with_its_reason(spark, tmp_path, text, reason):
-    (tmp_path / "P042026IS.csv").write_text(text)
-    with pytest.raises(PySparkException, match=reason):
+def test_an_extract_without_its_item_column_fails(spark, tmp_path):
+    (tmp_path / "P042026IS.csv").write_text("Other,Item revenue\nNaan,3\n")
+    with pytest.raises(PySparkException, match="no column"):
         files.read_retention(spark, f"{tmp_path}/*.csv", files.INSTORE_FILE).collect()
 
 
-def test_a_narrow_sheet_fails(spark, tmp_path):
-    (tmp_path / "P042026ItemCost.csv").write_text("a,b,c\n1,2,3\n")
-    with pytest.raises(ValueError, match="3 columns, 7 are read"):
-        files.read_sheet(spark, str(tmp_path), needs=files.SHEET_COLUMNS["item_cost"])
+def test_records_over_several_lines(spark, tmp_path, rows):
+    extract = tmp_path / "P042026IS.csv"
+    extract.write_text('\ufeffItem,Item revenue\n"Na\n\nan ""x""",3\nRoti,4\n"a,b",5\n')
+    got = files.read_retention(spark, str(extract), files.INSTORE_FILE)
+    assert rows(got, "item_name", "revenue") == [('Na\n\nan "x"', 3), ("Roti", 4), ("a,b", 5)]
+    rules = tmp_path / "rules.csv"
+    rules.write_text('raw,clean\n"Soup\nof the day",Soup\nNaan,Bread\n"Soup\nof the day",Broth\n')
+    assert rows(files.read_rules(spark, str(rules), "raw", "clean")) == [("naan", "Bread"), ("soup\nof the day", "Broth")]
+    sheet = tmp_path / "P042026ItemCost.csv"
+    sheet.write_text('head\n"Lunch\r\nmenu",Bowls,"Rice\nBowl",Rice,,Entrees,$4.50\nLunch,Bowls,Dal,,,,"$1,5"\n')
+    got = files.load_item_cost(files.read_sheet(spark, str(sheet), 1))
+    assert rows(got, "menu", "item_name", "avg_cost") == [("Lunch", "Dal", None), ("Lunch\r\nmenu", "Rice\nBowl", Decimal("4.5"))]
+
+
+@pytest.mark.parametrize("name, load, needs", [
+    ("P042026ItemCost", files.load_item_cost, 7), ("P042026ModifierCost", files.load_modifier_cost, 27), ("lookup", files.load_modifier_types, 11),
+    ("lookup", files.load_parent_types, 11), ("menu", files.load_item_lookup, 8)])
+def test_a_narrow_sheet_fails_in_its_loader(spark, tmp_path, name, load, needs):
+    (tmp_path / f"{name}.csv").write_text('a,b,"c,c,c,c,c,c,c"\n1,2,3\n')
+    with pytest.raises(ValueError, match=f"3 columns, {needs} are read"):
+        load(files.read_sheet(spark, str(tmp_path)))
 
 
 def test_merge_removes_emptied_partitions(spark, frame, tmp_path, rows):

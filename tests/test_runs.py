@@ -110,3 +110,99 @@ def test_landing_a_batch_again_replaces_it(spark, tmp_path):
     for _ in range(2):
         ingest.land_batch(batch, 7, str(tmp_path))
     assert spark.read.parquet(str(tmp_path)).count() == 1
+
+
+def test_one_scan_of_the_feed_for_all_staging_tables(spark, config, rules, tmp_path, monkeypatch):
+    from menumix.operators import nested
+
+    feed(spark, [order("o1", 5, None, 3, voided=True), order("o2", 6, None, 4)]).write.parquet(str(tmp_path / "feed"))
+    raw = spark.read.parquet(str(tmp_path / "feed"))
+    plans, tagged = [], nested.tagged_rows
+    monkeypatch.setattr(nested, "tagged_rows", lambda orders: plans.append(tagged(orders)) or plans[-1])
+    lookups = {**nested.build_lookups(documents.latest_config(config)), "names": rules["names"], "blocklist": rules["blocklist"]}
+    parsed = nested.parse_orders(raw, lookups)
+    (plan,) = [p._jdf.queryExecution().executedPlan().toString() for p in plans]
+    assert plan.count("FileScan parquet") == 1 and "Exchange" not in plan
+    for name, rows in parsed.items():
+        read = rows._jdf.queryExecution().optimizedPlan().toString()
+        assert "payload" not in read and "variant" not in read, name
+    assert {name: rows.count() for name, rows in parsed.items()} == {"order_lines": 2, "modifiers": 4, "checks": 2, "payments": 2, "adjustments": 1}
+
+
+def test_tables_parsed_at_once_equal_those_parsed_apart(spark, config, rules):
+    from menumix.operators import nested
+
+    odd = {"guid": "o3", "businessDate": 20260309, "checks": [
+        {"guid": "c", "deleted": True, "payments": [{"guid": "p", "refund": {"refundAmount": 2}, "type": "CREDIT"}, {"refund": {}}], "selections": [
+            {"voided": True, "modifiers": [{"guid": "a", "modifiers": [{"guid": "b", "voided": True, "modifiers": [{"quantity": 0, "modifiers": [{"guid": "d", "modifiers": [{"guid": "e"}]}]}]}]}]},
+            {"guid": "s2", "item": {"name": "Plain"}, "quantity": None}]}, {"guid": "empty"}, "no check"]}
+    raw = feed(spark, [order("o1", 5, None, 3, voided=True), odd, {"guid": "", "businessDate": 20260301}, {"guid": "o5", "businessDate": 0, "checks": [{}]}])
+    lookups = {**nested.build_lookups(documents.latest_config(config)), "names": rules["names"], "blocklist": rules["blocklist"]}
+    apart = {
+        "order_lines": nested.explode_selections(raw, lookups), "modifiers": nested.walk_modifiers(raw, lookups), "checks": nested.explode_checks(raw),
+        "payments": nested.explode_payments(raw, lookups["alt_pay"]), "adjustments": nested.extract_adjustments(raw, lookups["names"])}
+    for name, rows in nested.parse_orders(raw, lookups).items():
+        assert rows.columns == apart[name].columns
+        assert sorted(map(str, rows.collect())) == sorted(map(str, apart[name].collect())), name
+        assert rows.count() > 1
+    empty = nested.parse_orders(raw.limit(0), lookups)
+    assert [rows.count() for rows in empty.values()] == [0] * 5
+
+
+def test_stored_merge_equals_the_merge_of_frames_and_leaves_other_days_alone(spark, config, rules, rows, tmp_path):
+    root, lookups = str(tmp_path / "star"), star.ready_lookups(config, rules)
+    first = feed(spark, [order("o1", 5, None, 3, voided=True), order("o2", 6, None, 4, alt="a1")])
+    edited = order("o1", 8, None, 7, dining="d2", name="Roti")  # claims another day; its facts stay on the first one
+    second = feed(spark, [edited, order("o3", 9, None, 5, voided=True)])
+    frames = run(second, config, rules, run(first, config, rules), repeatable=True, run_id=2)
+    star.merge_stored(spark, star.stage_ready(first, lookups), root, rules["tags"], 1)
+    day = tmp_path / "star" / "fact_order_lines" / "business_date=2026-03-06"
+    kept = sorted(p.name for p in day.iterdir())
+    staged = star.stage_ready(second, lookups)
+    for _ in range(2):  # a run that failed is repeated
+        star.merge_stored(spark, staged, root, rules["tags"], 2)
+        for name, table in star.stored_tables(spark, root).items():
+            assert rows(table.select(sorted(table.columns))) == rows(frames[name].select(sorted(table.columns))), name
+    assert kept == sorted(p.name for p in day.iterdir())
+    index = spark.read.parquet(f"{root}/fact_order_lines.keys")
+    assert index.count() == index.select("key_hash").distinct().count() == 3
+
+
+def test_index_names_the_partitions_of_a_batch_without_the_table(spark, frame, tmp_path):
+    from menumix.sources import files
+
+    path, merge = str(tmp_path / "t"), lambda old, new: upsert.upsert(old, new, ["k"], update=["v"])
+    for n in range(3):
+        batch = frame([(f"k{i}", n, f"p{(i + n) % 5}") for i in range(n * 20, n * 20 + 40)], "k string, v int, p string")
+        files.merge_into(spark, path, batch, ["k"], merge, "p", run=n)
+    found = files.indexed_partitions(spark, path, frame([("k25",), ("unseen",)], "k string"), ["k"], "p")
+    assert [r.p for r in found.collect()] == ["p0"]
+    assert "t/p=" not in found._jdf.queryExecution().executedPlan().toString()
+    got = {r.k: (r.v, r.p) for r in spark.read.parquet(path).collect()}
+    assert len(got) == 80 and got["k25"] == (1, "p0") and got["k0"] == (0, "p0") and got["k79"] == (2, "p1")
+
+
+ORDER = "order_guid string, modified_date int, payload string, arrival bigint"
+
+
+def test_batches_reach_the_merge_once_and_in_order(spark, tmp_path, rows):
+    log = [[("o1", 5, "a", 0), ("o2", 1, "b", 1), ("o2", 2, "b2", 2)], [("o1", 3, "stale", 3), ("o3", None, "c", 4)],
+           [("o1", None, "reset", 5), ("o3", 1, "after null", 6)], [("o1", 1, "low", 7), ("o2", 2, "tie", 8), ("o2", 1, "stale", 9)]]
+    root, seen = str(tmp_path / "landed"), []
+
+    def merge(orders, batch_id):
+        seen.append((batch_id, sorted(r.payload for r in orders.collect())))
+        if len(seen) == 2:
+            raise RuntimeError("lost")
+
+    def put(n):
+        ingest.merge_batch(spark.createDataFrame(log[n], ORDER), n, root, ORDER, merge, fold_every=3)
+
+    put(0)
+    with pytest.raises(RuntimeError, match="lost"):
+        put(1)
+    for n in (1, 1, 0, 2, 2, 3, 3):  # a failed batch is repeated, one that is through changes nothing
+        put(n)
+    assert seen == [(0, ["a", "b2"]), (1, ["c"]), (1, ["c"]), (2, ["after null", "reset"]), (3, ["low", "tie"])]
+    assert [p.name for p in (tmp_path / "landed.current").iterdir()] == ["upto=2"]
+    assert rows(ingest.current_orders(spark, root, ORDER), "order_guid", "payload") == [("o1", "low"), ("o2", "tie"), ("o3", "after null")]

@@ -102,3 +102,22 @@ def test_top_payment_order(frame, rows):
                  "order_guid string, payment_guid string, alt_payment_name string, amount int")
     lines = frame([("o1",), ("o2",), ("o3",), ("o4",), ("o5",)], "order_guid string")
     assert rows(joins.top_payment(lines, pays)) == [("o1", "A"), ("o2", "X"), ("o3", None), ("o4", "Z"), ("o5", None)]
+
+
+def test_late_changes_split_and_join_ranges(frame, rows):
+    from datetime import date
+    kind = "key string, name string, at date, arrival int"
+    early = [("i", "A", 1, 0), ("i", "B", 10, 1), ("i", "A", 20, 2), ("j", "C", 3, 3), ("k", "X", 5, 4)]
+    # splits A's first range, turns B into A so that three ranges become one, wins its day by arrival, comes before all ranges
+    late = [("i", "Z", 5, 9), ("i", "A", 10, 8), ("j", "B", 3, 7), ("j", "D", 1, 6), ("new", "N", 2, 5)]
+    early, late = ([(k, v, date(2026, 1, n), a) for k, v, n, a in part] for part in (early, late))
+    stored = upsert.dim_history(frame(early, kind), "key", ["name"], "at", "arrival")
+    got = rows(upsert.merge_history(stored, frame(late, kind), "key", ["name"], "at", "arrival"))
+    assert got == rows(upsert.dim_history(frame(early + late, kind), "key", ["name"], "at", "arrival"))
+    assert [(r[1], r[2].day) for r in got if r[0] == "i"] == [("A", 1), ("A", 10), ("Z", 5)]
+    assert [(r[1], r[2].day) for r in got if r[0] == "j"] == [("B", 3), ("D", 1)]
+
+
+def test_of_two_changes_on_a_day_the_later_one_stands(frame, rows):
+    df = frame([("i", "Z", 1, 1), ("i", "A", 1, 2)], "key string, name string, at int, arrival int").selectExpr("key", "name", "date_add(date'2026-01-01', at) as at", "arrival")
+    assert [r[1] for r in rows(upsert.dim_history(df, "key", ["name"], "at", "arrival"))] == ["A"]
