@@ -7,8 +7,6 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from menumix.llm.frames import with_results
-
 PREFIX = 32
 
 
@@ -58,11 +56,11 @@ def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", k
         merged = rows.where(is_hot).groupBy(F.sha2("_text", 256).alias("_sha")).agg(best("_id").alias("_all_keep"), F.count(F.lit(1)).alias("_all_size"))
         found = found.join(F.broadcast(merged), "_sha", "left")  # at most one row for each hot hash
         keep_id, size = F.when(F.col("_all_size").isNull(), keep_id).otherwise(F.col("_all_keep")), F.coalesce("_all_size", "_size")
-    out = found.select("_row.*", "_id", "_nth", F.col("_sha").alias("_digest"), keep_id.alias("_keeps"), size.alias("_sizes"))
-    return with_results(out, {
-        "keep_id": F.col("_keeps"), "group_size": F.col("_sizes"),
-        "kept": (F.col("_nth") == 1) & F.col("_id").eqNullSafe(F.col("_keeps")), "text_sha256": F.col("_digest"),
-    }).drop("_id", "_nth", "_digest", "_keeps", "_sizes")
+    results = {
+        "keep_id": keep_id, "group_size": size, "kept": (F.col("_nth") == 1) & F.col("_id").eqNullSafe(keep_id), "text_sha256": F.col("_sha"),
+    }
+    own = [F.col("_row").getField(c).alias(c) for c in df.columns if c.lower() not in results]  # their names meet none of the columns used here
+    return found.select(*own, *[c.alias(n) for n, c in results.items()])
 
 
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

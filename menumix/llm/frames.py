@@ -54,12 +54,6 @@ class Scratch:
         self.drop(*[df for df, _ in self.paths.values()])
 
 
-def with_results(df: DataFrame, results: dict[str, Column]) -> DataFrame:
-    """All columns of ``df`` and the results; a result replaces an input column of its name (in any case)."""
-    taken = {n.lower() for n in results}
-    return df.select(*[df[f"`{c}`"] for c in df.columns if c.lower() not in taken], *[c.alias(n) for n, c in results.items()])
-
-
 def crc32_mod(column: str, n: int) -> Column:
     """crc32 of an id as text, modulo n; a null id counts as empty text."""
     return F.pmod(F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")), F.lit(n))

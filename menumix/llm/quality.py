@@ -158,18 +158,19 @@ def train(x: np.ndarray, y: np.ndarray, vectors: np.ndarray, hidden: int = 24, e
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", most_rows: int = 8000) -> Network | None:
-    """Learn from at most ``most_rows`` labelled rows, chosen by the id's hash.
+    """Learn from at most ``most_rows`` labelled texts, chosen by the id's hash.
 
     The bound covers all of the fit: word vectors and network learn from the
-    same rows. It also bounds what the driver holds: four partial sums of the
+    same texts. It also bounds what the driver holds: four partial sums of the
     word vectors and one feature row a text. Labels other than 0 and 1 and
     texts without label are left out; an id with several labels takes the
-    largest, rows that share an id count once each. None without any labelled row.
+    largest, of rows that share an id the least text counts alone. None without any labelled text.
     """
     chosen = labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()).groupBy(F.col(id_col).cast("long").alias("_id")).agg(F.max(label_col).cast("int").alias("_y"))
     chosen = chosen.orderBy(F.xxhash64("_id"), "_id").limit(most_rows)
     rows = docs.select(F.col(id_col).cast("long").alias("_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("_text"))
-    rows = materialise(rows.join(F.broadcast(chosen), "_id").repartition(SAMPLE_TASKS, "_id").sortWithinPartitions("_id", "_text"), "quality_sample")  # most_rows pairs of integers
+    rows = rows.join(F.broadcast(chosen), "_id").groupBy("_id", "_y").agg(F.min("_text").alias("_text"))
+    rows = materialise(rows.repartition(SAMPLE_TASKS, "_id").sortWithinPartitions("_id", "_text"), "quality_sample")  # most_rows pairs of integers
 
     def learn(batches):
         index, sums = index_vectors(), np.zeros((SIZE, DIMS), np.float32)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
 import uuid
 
 import pyarrow as pa
@@ -90,13 +91,30 @@ class _Blocks:
 
 
 def _key(head: bytes) -> int | None:
-    for line in head.split(b"\r\n"):
+    for line in re.split(rb"\r?\n", head):
         name, _, value = line.partition(b":")
         if name.strip().lower() == KEY_HEADER.lower().encode() and value.strip().lstrip(b"-").isdigit():
             return int(value)
     return None
 
 
+def split_capture(content: bytes) -> tuple[bytes, bytes]:
+    """HTTP head with its blank line, and payload. Lines end in CR LF or, in many old files, in LF alone; a capture that
+    does not begin as an HTTP response is all payload."""
+    if not content.startswith(b"HTTP/"):
+        return b"", content
+    blank = re.search(rb"\r?\n\r?\n", content)
+    return (content[:blank.end()], content[blank.end():]) if blank else (content, b"")
+
+
+def warc_date(stamp: str) -> str:
+    """An ARC date of 14 digits, or of fewer whole parts down to the day, as a WARC date."""
+    if not re.fullmatch(r"\d{8}(\d\d){0,3}", stamp):
+        raise ValueError(f"not an ARC date: {stamp}")
+    d = stamp.ljust(14, "0")
+    return f"{d[:4]}-{d[4:6]}-{d[6:8]}T{d[8:10]}:{d[10:12]}:{d[12:14]}Z"
+
+
 def read_arc(spark: SparkSession, path: str) -> DataFrame:
     """Records of ARC files with what a WARC record needs: identifier, type and digest.
 
@@ -139,15 +157,13 @@ def read_arc(spark: SparkSession, path: str) -> DataFrame:
                         raise ValueError(f"unknown ARC version: {lines[0]}")
                     fields = lines[1].split(" ")
                     kind, head, payload = "warcinfo", b"", content
-                elif held["URL"].lower().startswith(("http:", "https:")) or content.startswith(b"HTTP/"):
-                    head, mark, payload = content.partition(b"\r\n\r\n")
-                    kind, head = "response", head + mark
                 else:
-                    kind, head, payload = "resource", b"", content
+                    head, payload = split_capture(content)
+                    kind = "response" if head else "resource"
                 place += 1
                 digest, d = base32_sha1(payload), held["Archive-date"]
                 identity = f"{held['URL']} {d} {hashlib.sha1(content).hexdigest()} {file} {place}"
-                out.append((_key(head), held["URL"], f"{d[:4]}-{d[4:6]}-{d[6:8]}T{d[8:10]}:{d[10:12]}:{d[12:14]}Z", held["Content-type"], kind,
+                out.append((_key(head), held["URL"], warc_date(d), held["Content-type"], kind,
                             f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, identity)}>", head, payload, len(payload), digest))
             yield _batch(out, ARC_KINDS)
         if blocks.want is not None:
@@ -215,7 +231,7 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
                     kind, digest = headers["warc-type"], headers.get("warc-payload-digest", "").removeprefix("sha1:")
                     head, payload = b"", content
                     if kind in ("response", "revisit"):
-                        head, _, payload = content.partition(b"\r\n\r\n")
+                        head, payload = split_capture(content)
                     if kind != "revisit" and digest != base32_sha1(payload):
                         raise ValueError(f"digest of {headers['warc-record-id']} differs")
                     out.append((_key(head), kind, headers["warc-record-id"], headers.get("warc-refers-to"), headers.get("warc-target-uri"), headers.get("warc-date"),

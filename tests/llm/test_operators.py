@@ -4,15 +4,18 @@ import base64
 import hashlib
 import math
 import random
+import re
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 from menumix.llm import bpe, exact_dedup, language_model, line_dedup, links, mixing, near_dedup, nearest, quality, substring_dedup, warc
+from menumix.llm.words import words_of
 
 SCHEMA = "doc_id long, text string, source string, id long, node long, n int, kept boolean, k string, size int, component long, _text string, _row string"
 
@@ -203,7 +206,73 @@ def test_archive_fields_and_failures(spark, tmp_path):
     assert warc.archive_pages(pages.where("page_id < 0")).count() == 0
 
 
+def test_old_archive_forms(spark, tmp_path):
+    """Heads that end in LF alone, captures without a head, short dates."""
+    captures = [("http://a/", "200101020304", b"HTTP/1.0 200 OK\nX-Record-Key: 1\n\npage one"), ("http://b/", "20010102", b"HTTP/1.0 200 OK\n\npage two"),
+                ("http://c/", "20010102030405", b"<html>no head\r\n\r\nat all</html>"), ("http://d/", "20010102030405", b"HTTP/1.0 204 No Content\r\n"),
+                ("http://e/", "20010102030405", b"HTTP/1.0 200 OK\r\n\r\npage one")]
+    block = f"1 0 old\n{warc.ARC_FIELDS[1]}\n"
+    records = [f"filedesc://old.arc 0.0.0.0 20010101000000 text/plain {len(block)}\n{block}".encode()]
+    records += [f"{url} 0.0.0.0 {date} text/html {len(c)}\n".encode() + c for url, date, c in captures]
+    spark.createDataFrame([(r.decode(),) for r in records], "value string").coalesce(1).write.options(lineSep="\n", **warc.GZIP).text(str(tmp_path / "arc"))
+    got = {r.url: r for r in warc.read_arc(spark, str(tmp_path / "arc")).collect()}
+    assert [(bytes(got[u].payload), got[u].kind, got[u].date) for u, _, _ in captures] == [
+        (b"page one", "response", "2001-01-02T03:04:00Z"), (b"page two", "response", "2001-01-02T00:00:00Z"), (captures[2][2], "resource", "2001-01-02T03:04:05Z"),
+        (b"", "response", "2001-01-02T03:04:05Z"), (b"page one", "response", "2001-01-02T03:04:05Z")]
+    assert got["http://a/"].key == 1
+    warc.convert(spark, str(tmp_path / "arc"), str(tmp_path / "warc"))
+    kinds = {r.url: r.kind for r in warc.read_warc(spark, str(tmp_path / "warc")).collect()}
+    assert {kinds["http://b/"], kinds["http://c/"]} == {"response", "resource"} and sorted([kinds["http://a/"], kinds["http://e/"]]) == ["response", "revisit"]
+    with pytest.raises(ValueError, match="not an ARC date"):
+        warc.warc_date("2001010203040")
+
+
 # --- 4 ---------------------------------------------------------------------------
+def plain_pooled(text, vectors):
+    """Features of one text, word by word."""
+    plain, shapes, kinds = [], [], np.zeros(4)
+    for w in re.findall(rb"[^\x20\x09-\x0D]+", (text or "").encode()):
+        counts = [sum(quality.CLASS[b] == c for b in w) for c in range(4)]
+        bucket = int(words_of(pa.array([w.decode()]), lower=True).hashes()[0]) >> (64 - quality.BUCKET_BITS)
+        upper, lower, digit, sign = counts
+        again = bool(plain) and plain[-1][0] == w.translate(bytes(quality_lower))
+        shapes.append(min(upper, 2) + 3 * (lower > 0) + 6 * (digit > 0) + 12 * min(sign, 3) + 48 * min(len(w) // 4, 5) + 288 * again + (1 << quality.BUCKET_BITS))
+        plain.append((w.translate(bytes(quality_lower)), bucket))
+        kinds += counts
+    if not plain:
+        return np.zeros(2 * quality.DIMS + 9)
+    means = [np.mean([vectors[b] for _, b in plain], axis=0), np.mean([vectors[s] for s in shapes], axis=0)]
+    n, letters = len(plain), kinds.sum()
+    return np.concatenate([*means, [np.linalg.norm(means[0]), np.linalg.norm(means[1]), np.log1p(n), len({b for _, b in plain}) / n, letters / n / 8], kinds / letters])
+
+
+quality_lower = [b + 32 if 65 <= b <= 90 else b for b in range(256)]
+
+
+def test_quality_scores_equal_a_plain_version(spark, texts):
+    docs = spark.createDataFrame([(d, t) for d, t, _ in texts], "doc_id long, text string")
+    labels = spark.createDataFrame([(d, d % 2) for d, _, _ in texts], "doc_id long, quality int")
+    net = quality.fit(docs, labels)
+    got = by_id(quality.score(docs, net))
+    for d, text, _ in texts[::7] + texts[-10:]:
+        if text and len(text) > 50000:
+            continue
+        x = np.clip((plain_pooled(text, net.vectors) - net.mean) / net.scale, -8, 8)
+        a, b, c, e = net.layers
+        z = (np.tanh(x @ a + b) @ c + e)[0] / net.temperature
+        assert got[d].score == pytest.approx(1 / (1 + math.exp(-z)), abs=1e-3)
+
+
+def test_quality_bound_counts_texts(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, f"text {i}") for i in range(400)] + [(i, f"other {i}") for i in range(2, 30)], "doc_id long, text string").repartition(3)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1, 30)], "doc_id long, quality int")
+    seen = []
+    monkeypatch.setattr(quality, "train", lambda x, y, vectors: seen.append(len(y)))
+    quality.fit(docs, labels, most_rows=10)
+    quality.fit(docs, labels)
+    assert seen == [10, 29]
+
+
 def test_quality(spark):
     draw = random.Random(4)
     rows, labels = [], []
