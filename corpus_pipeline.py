@@ -10,13 +10,15 @@ from menumix.session import scratch_path
 
 
 def reject_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier scores 0.7 or more."""
+    """Documents that the classifier scores 0.7 or more, whatever their ids; all documents where no text has a label."""
     return quality.keep(docs, quality.learn_from_tables(spark, docs, sf_dir))
 
 
 def drop_exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the document with the largest id."""
-    return exact_dedup.exact_dedup(docs, keep="largest").where("kept").select(*docs.columns)
+    """Of equal texts the document with the largest id; null text counts as empty, a null id goes before any other,
+    and of rows that share both one stays."""
+    rows = docs.select("doc_id", "text", F.struct(*[docs[c] for c in docs.columns]).alias("row"))
+    return exact_dedup.exact_dedup(rows, keep="largest").where("kept").select("row.*")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,11 +34,12 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Rows that share an id are taken equally often."""
     copies = mixing.mix_sources(docs).groupBy(F.col("id").alias("_id")).agg(F.max("copies").alias("_copies")).where("_copies > 0")
     taken = docs.join(copies, docs["doc_id"].eqNullSafe(copies["_id"]))
-    return taken.select(*[docs[c] for c in docs.columns], F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))).alias("_nth")).drop("_nth")
+    row, times = F.struct(*[docs[c] for c in docs.columns]), F.sequence(F.lit(1), copies["_copies"].cast("int"))
+    return taken.select(row.alias("row"), F.explode(times).alias("nth")).select("row.*")
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every row, and digests of the ids and of the bytes that they decode to."""
+    """Token ids of every row, and digests of the ids and of the bytes that they decode to; null text has no ids."""
     return bpe.encode_and_decode(spark, docs, with_ids=True)
 
 
@@ -47,7 +50,7 @@ STAGES = [
     ("mixture", mix_sources),
     ("bpe", encode),
 ]
-#: SQL expresses neither the classifier nor the rounding; tests compare each stage with a plain version.
+#: SQL expresses neither the classifier nor the rounding; tests/llm/test_pipeline.py compares stages with plain versions.
 ORACLE_SQL = None
 
 
