@@ -10,6 +10,14 @@ from menumix.session import scratch_path
 PART_BYTES = 2 << 20
 
 
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Let Arrow batches hold at most ``rows`` rows from now on: a batch of texts is held several times over on its way to a worker
+    and in it, and is cut by rows whatever their size."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= rows:
+        spark.conf.set(name, str(rows))
+
+
 def _place(spark: SparkSession, path: str):
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     return place, place.getFileSystem(spark._jsc.hadoopConfiguration())

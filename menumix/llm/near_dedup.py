@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from menumix.llm import links
 from menumix.llm.arrays import PACKED, Mapped, by_shard, group_sum, pack, packed_rows, save, shard_bits, shards, shared_dir, unpack
-from menumix.llm.frames import settle
+from menumix.llm.frames import settle, small_batches
 from menumix.llm.words import mix, shingle_hashes, slices, words_of
 from menumix.session import materialise
 
@@ -20,7 +20,8 @@ KEEP = 64  # retained values that enter the lists
 MARKS = 128  # retained values that pairs are estimated by, four bytes each
 MISS = 1e-8
 MOST_TOTAL = 20_000  # larger sets take the least shared values of this size, which are no more than their own
-CHUNK = 2_000_000
+CHUNK = 1_000_000  # values that a task counts at once
+SHARD = 500_000  # values or so that are merged at once
 
 
 def least_shared(k: int, threshold: float, miss: float = MISS) -> int:
@@ -126,7 +127,7 @@ def full_sets(docs: DataFrame, wanted: DataFrame, rule: Rule) -> DataFrame:
 
     The wanted ids are sorted, memory-mapped shards, so the texts are scanned where they are and only sets of wanted ones leave a task."""
     spark = docs.sparkSession
-    bits, folder = shard_bits(wanted.count()), shared_dir(spark, "near_wanted")
+    bits, folder = shard_bits(wanted.count(), SHARD), shared_dir(spark, "near_wanted")
 
     def send(batches):
         for batch in batches:
@@ -168,7 +169,7 @@ def prefixes(nodes: DataFrame, rule: Rule) -> DataFrame:
     Tasks send their values' counts as packed shards; the merged counts of values in two sets or more
     are memory-mapped, and each node's values are ranked where its sketch is: no row per value is shuffled."""
     spark = nodes.sparkSession
-    bits, folder = shard_bits(rule.k * nodes.count()), shared_dir(spark, "near_counts")
+    bits, folder = shard_bits(rule.k * nodes.count(), SHARD), shared_dir(spark, "near_counts")
 
     def send(batches):
         def flush(held):
@@ -306,6 +307,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     of their own. An empty table gives an empty result.
     """
     rule = Rule(n_words, share)
+    small_batches(df.sparkSession)
     docs = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     rows = materialise(sketches(docs, rule), "near_sketches")
     nodes = rows.where("n > 0 and id is not null").groupBy("node").agg(F.min("id").alias("first"), F.any_value("n").alias("n"), F.any_value("sketch").alias("sketch"), F.any_value("marks").alias("marks"))

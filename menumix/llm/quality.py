@@ -10,7 +10,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from menumix.llm.frames import crc32_mod
+from menumix.llm.frames import crc32_mod, small_batches
 from menumix.llm.words import Words, mix, slices, words_of
 from menumix.session import materialise
 
@@ -20,6 +20,7 @@ DIMS = 32
 MARKS = 4  # non-zero entries of a random index vector
 REACH = 2  # neighbours on each side
 SAMPLE_TASKS = 4
+PIECE = 1 << 19  # bytes of text worked on at once: every word takes a few hundred bytes of vectors meanwhile
 CLASS = np.full(256, 3, np.uint8)  # 0 upper, 1 lower and all letters beyond ASCII, 2 digit, 3 sign
 CLASS[ord("A"):ord("Z") + 1] = 0
 CLASS[ord("a"):ord("z") + 1] = 1
@@ -166,6 +167,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     texts without label are left out; an id with several labels takes the
     largest, of rows that share an id the least text counts alone. None without any labelled text.
     """
+    small_batches(docs.sparkSession)
     chosen = labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()).groupBy(F.col(id_col).cast("long").alias("_id")).agg(F.max(label_col).cast("int").alias("_y"))
     chosen = chosen.orderBy(F.xxhash64("_id"), "_id").limit(most_rows)
     rows = docs.select(F.col(id_col).cast("long").alias("_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("_text"))
@@ -175,7 +177,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     def learn(batches):
         index, sums = index_vectors(), np.zeros((SIZE, DIMS), np.float32)
         for batch in batches:
-            for a, b in slices(batch.column(0)):
+            for a, b in slices(batch.column(0), PIECE):
                 context_sums(batch.column(0).slice(a, b - a), index, sums)
         yield pa.RecordBatch.from_pydict({"sums": [zstandard.ZstdCompressor(level=1).compress(sums.tobytes())]})
 
@@ -187,7 +189,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
     def features(batches):
         for batch in batches:
-            for a, b in slices(batch.column(2)):
+            for a, b in slices(batch.column(2), PIECE):
                 found = pooled(batch.column(2).slice(a, b - a), sent.value)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), pa.array([r.tobytes() for r in found], pa.binary())], names=["id", "y", "x"])
 
@@ -213,7 +215,7 @@ def score(docs: DataFrame, net: Network | None, id_col: str = "doc_id", text_col
     def run(batches):
         net = Network(*sent.value)
         for batch in batches:
-            for a, b in slices(batch.column(1)):
+            for a, b in slices(batch.column(1), PIECE):
                 found = net.scores(pooled(batch.column(1).slice(a, b - a), net.vectors))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(found, pa.float64())], names=["id", "score"])
 
@@ -231,7 +233,7 @@ def keep(docs: DataFrame, net: Network | None, text_col: str = "text", least: fl
         net = Network(*sent.value)
         for batch in batches:
             texts = batch.column(place)
-            for a, b in slices(texts):
+            for a, b in slices(texts, PIECE):
                 part = batch.slice(a, b - a)
                 yield part.filter(pa.array(net.scores(pooled(part.column(place), net.vectors)) >= least))
 
