@@ -69,7 +69,7 @@ def train(rows: list[np.ndarray], y: np.ndarray, epochs: int = 6, alpha: float =
     A coordinate's rate is alpha / (beta + root of its summed squared gradients); its
     weight is zero while the summed gradients stay within ``l1``. Rows of label 1 are the
     rarer ones and count ``positive`` times."""
-    z, n = np.zeros(1 << BITS), np.zeros(1 << BITS)
+    z, n = np.zeros(1 << BITS, np.float32), np.zeros(1 << BITS, np.float32)
     bias_z = bias_n = 0.0
     draw = np.random.default_rng(seed)
 
@@ -116,11 +116,10 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
                 packed = [found[cuts[i]:cuts[i + 1]].tobytes() for i in range(b - a)]
                 yield pa.RecordBatch.from_arrays([*[batch.column(i).slice(a, b - a) for i in range(3)], pa.array(packed, pa.binary())], names=["id", "hash", "y", "x"])
 
-    got = texts.mapInArrow(features, "id long, hash long, y int, x binary").collect()
-    if not got:
-        return None
-    got.sort(key=lambda r: (r[1], r[0]))
-    return train([np.frombuffer(bytes(r[3]), np.int32) for r in got], np.array([r[2] for r in got]))
+    # Written, then read part by part: the driver holds the lists once, as arrays.
+    found = materialise(texts.mapInArrow(features, "id long, hash long, y int, x binary"), "toxicity_features")
+    got = sorted(((r[1], r[0], r[2], np.frombuffer(bytes(r[3]), np.int32)) for r in found.toLocalIterator()), key=lambda r: r[:2])
+    return train([r[3] for r in got], np.array([r[2] for r in got])) if got else None
 
 
 def score(docs: DataFrame, weights: Weights | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
