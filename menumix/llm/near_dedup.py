@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from menumix.llm import links
 from menumix.llm.arrays import PACKED, Mapped, by_shard, group_sum, pack, packed_rows, save, shard_bits, shards, shared_dir, unpack
-from menumix.llm.frames import settle, small_batches
+from menumix.llm.frames import settle, small_batches, trimmed
 from menumix.llm.words import mix, shingle_hashes, slices, words_of
 from menumix.session import materialise
 
@@ -119,7 +119,7 @@ def sketches(docs: DataFrame, rule: Rule) -> DataFrame:
                 [batch.column(0), pa.array(sizes, pa.int64()), pa.array(np.array(marks, np.uint64).view(np.int64)), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)), pa.array(halves, pa.binary()), batch.column(2)],
                 names=["id", "n", "node", "sketch", "marks", "text_hash"])
 
-    return docs.select("id", "text", text_hash("text").alias("text_hash")).mapInArrow(run, "id long, n long, node long, sketch array<long>, marks binary, text_hash long")
+    return docs.select("id", "text", text_hash("text").alias("text_hash")).mapInArrow(trimmed(run), "id long, n long, node long, sketch array<long>, marks binary, text_hash long")
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame, rule: Rule) -> DataFrame:
@@ -144,7 +144,7 @@ def full_sets(docs: DataFrame, wanted: DataFrame, rule: Rule) -> DataFrame:
                 save(folder, name, shard, values[order])
             yield pa.RecordBatch.from_pydict({"shards": [1]})
 
-    by_shard(wanted.select("first", "node").mapInArrow(send, PACKED)).mapInArrow(merge, "shards long").agg(F.sum("shards")).first()
+    by_shard(wanted.select("first", "node").mapInArrow(trimmed(send), PACKED)).mapInArrow(trimmed(merge), "shards long").agg(F.sum("shards")).first()
 
     def run(batches):
         held = Mapped(folder, "key", ["first", "node"], bits)
@@ -159,7 +159,7 @@ def full_sets(docs: DataFrame, wanted: DataFrame, rule: Rule) -> DataFrame:
                     packed.append(pack([s]))
             yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(packed, pa.binary())], names=["node", "packed"])
 
-    rows = docs.select("id", "text").mapInArrow(run, "node long, packed binary")
+    rows = docs.select("id", "text").mapInArrow(trimmed(run), "node long, packed binary")
     return rows.groupBy("node").agg(F.any_value("packed").alias("packed"))
 
 
@@ -194,7 +194,7 @@ def prefixes(nodes: DataFrame, rule: Rule) -> DataFrame:
             save(folder, "value", shard, value[df > 1])
             yield pa.RecordBatch.from_pydict({"shards": [1]})
 
-    by_shard(nodes.select("sketch").mapInArrow(send, PACKED)).mapInArrow(merge, "shards long").agg(F.sum("shards")).first()
+    by_shard(nodes.select("sketch").mapInArrow(trimmed(send), PACKED)).mapInArrow(trimmed(merge), "shards long").agg(F.sum("shards")).first()
 
     def run(batches):
         held = Mapped(folder, "value", ["df"], bits)
@@ -210,7 +210,7 @@ def prefixes(nodes: DataFrame, rule: Rule) -> DataFrame:
             keep = nth >= rule.least(n)[doc]
             yield pa.RecordBatch.from_arrays([pa.array(value[keep].view(np.int64)), pa.array(node[doc[keep]]), pa.array(n[doc[keep]])], names=["k", "node", "n"])
 
-    return nodes.select("node", "n", "sketch").mapInArrow(run, "k long, node long, n long")
+    return nodes.select("node", "n", "sketch").mapInArrow(trimmed(run), "k long, node long, n long")
 
 
 class Search(links.Search):
@@ -241,7 +241,7 @@ class Search(links.Search):
                 keep = pa.array(keep)
                 yield pa.RecordBatch.from_arrays([a.filter(keep), b.filter(keep), pa.array(score).filter(keep)], names=["a", "b", "score"])
 
-        return both.select("a", "b", "na", "nb", "ma", "mb").mapInArrow(run, "a long, b long, score long")
+        return both.select("a", "b", "na", "nb", "ma", "mb").mapInArrow(trimmed(run), "a long, b long, score long")
 
     def find_sets(self, wanted: DataFrame) -> DataFrame:
         wanted = self.scratch.settle(wanted.join(self.nodes.select("node", "first"), "node").select("first", "node"), "near_firsts")
@@ -260,7 +260,7 @@ class Search(links.Search):
                 hits = [(x, y) for x, y, s, t in zip(a, b, pa_, pb) if rule.similar(unpack(s)[0], unpack(t)[0])]
                 yield pa.RecordBatch.from_arrays([pa.array([h[0] for h in hits], pa.int64()), pa.array([h[1] for h in hits], pa.int64())], names=["a", "b"])
 
-        return self.with_sets(pairs).mapInArrow(run, "a long, b long")
+        return self.with_sets(pairs).mapInArrow(trimmed(run), "a long, b long")
 
     def outside(self, pairs: DataFrame) -> DataFrame:
         """(k, node, n, leader, need): the values of a set outside its leader, and how many of them a similar partner shares."""
@@ -283,7 +283,7 @@ class Search(links.Search):
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), *[pa.array(columns[:, i]) for i in range(4)]],
                                                  names=["k", "node", "n", "leader", "need"])
 
-        return self.with_sets(pairs).mapInArrow(run, "k long, node long, n long, leader long, need long")
+        return self.with_sets(pairs).mapInArrow(trimmed(run), "k long, node long, n long, leader long, need long")
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_words: int = 5, share: int = 80, with_text_hash: bool = False) -> DataFrame:

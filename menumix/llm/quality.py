@@ -10,7 +10,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from menumix.llm.frames import crc32_mod, small_batches
+from menumix.llm.frames import crc32_mod, small_batches, trimmed
 from menumix.llm.words import Words, mix, slices, words_of
 from menumix.session import materialise
 
@@ -182,7 +182,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         yield pa.RecordBatch.from_pydict({"sums": [zstandard.ZstdCompressor(level=1).compress(sums.tobytes())]})
 
     sums = np.zeros((SIZE, DIMS), np.float32)
-    for (part,) in rows.select("_text").coalesce(SAMPLE_TASKS).mapInArrow(learn, "sums binary").toLocalIterator():
+    for (part,) in rows.select("_text").coalesce(SAMPLE_TASKS).mapInArrow(trimmed(learn), "sums binary").toLocalIterator():
         sums += np.frombuffer(zstandard.ZstdDecompressor().decompress(bytes(part)), np.float32).reshape(SIZE, DIMS)
     vectors = word_vectors(sums)
     sent = docs.sparkSession.sparkContext.broadcast(vectors)  # (2^15 + 2^10) x 32 floats: 4.3 MB, whatever the input
@@ -193,7 +193,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
                 found = pooled(batch.column(2).slice(a, b - a), sent.value)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), pa.array([r.tobytes() for r in found], pa.binary())], names=["id", "y", "x"])
 
-    got = sorted(rows.select("_id", "_y", "_text").mapInArrow(features, "id long, y int, x binary").collect(), key=lambda r: (r[0], bytes(r[2])))
+    got = sorted(rows.select("_id", "_y", "_text").mapInArrow(trimmed(features), "id long, y int, x binary").collect(), key=lambda r: (r[0], bytes(r[2])))
     if not got:
         return None
     order = np.argsort(mix(np.arange(len(got), dtype=np.uint64)), kind="stable")
@@ -219,7 +219,7 @@ def score(docs: DataFrame, net: Network | None, id_col: str = "doc_id", text_col
                 found = net.scores(pooled(batch.column(1).slice(a, b - a), net.vectors))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(found, pa.float64())], names=["id", "score"])
 
-    return rows.mapInArrow(run, "id long, score double")
+    return rows.mapInArrow(trimmed(run), "id long, score double")
 
 
 def keep(docs: DataFrame, net: Network | None, text_col: str = "text", least: float = 0.7) -> DataFrame:
@@ -237,7 +237,7 @@ def keep(docs: DataFrame, net: Network | None, text_col: str = "text", least: fl
                 part = batch.slice(a, b - a)
                 yield part.filter(pa.array(net.scores(pooled(part.column(place), net.vectors)) >= least))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(trimmed(run), docs.schema)
 
 
 def held_out(column: str) -> Column:
