@@ -50,3 +50,18 @@ def test_only_bare_lines_are_spread(spark, tables):
     plan = driver_tables.order_documents(spark, tables)._jdf.queryExecution().optimizedPlan().toString()
     below = plan[plan.index("RepartitionByExpression"):].split("Join")[0]
     assert "p_name" not in below and "o_orderpriority" not in below and plan.index("Join") < plan.index("RepartitionByExpression")
+
+
+def test_landed_documents_have_no_inferred_columns(spark, tables):
+    """Whole documents are read back, so none is taken apart when it is written."""
+    driver_tables._LANDED.clear()
+    path = driver_tables.landed_orders(spark, tables).inputFiles()[0]
+    reader = spark.sparkContext._jvm.org.apache.parquet.hadoop.ParquetFileReader
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    assert "typed_value" not in reader.readFooter(spark._jsc.hadoopConfiguration(), place).getFileMetaData().getSchema().toString()
+
+
+def test_adjustments_come_from_one_pass(spark, tables):
+    got = registry.QUERIES["b5_extract_adjustments"](spark, tables)
+    assert got._jdf.queryExecution().executedPlan().toString().count("FileScan parquet") == 1
+    assert {r.kind for r in got.collect()} == {"VOID", "REFUND"}
