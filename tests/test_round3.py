@@ -65,3 +65,29 @@ def test_adjustments_come_from_one_pass(spark, tables):
     got = registry.QUERIES["b5_extract_adjustments"](spark, tables)
     assert got._jdf.queryExecution().executedPlan().toString().count("FileScan parquet") == 1
     assert {r.kind for r in got.collect()} == {"VOID", "REFUND"}
+
+
+def test_menus_are_spread_however_few_files_there_are(spark, tables):
+    plan = driver_tables.menu_documents(spark, tables)._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression" in plan and "parse_json" not in plan[plan.index("RepartitionByExpression"):]
+
+
+def test_large_shuffles_start_with_more_partitions_than_the_session_names(spark, tables):
+    """A task's share of a merge stays small when a session names few partitions; small ones are joined again."""
+    rows = driver_tables.table(spark, tables, "lineitem").groupBy("l_orderkey").count()
+    assert "480" in rows._jdf.queryExecution().executedPlan().toString()
+    assert rows.rdd.getNumPartitions() < 10
+
+
+def test_the_feed_parts_are_written_by_several_tasks(spark, tables, monkeypatch):
+    from menumix.plans import run_queries
+    from menumix.session import scratch_path
+
+    seen = {}
+    monkeypatch.setattr(run_queries, "scratch_path", lambda spark, name: seen.setdefault(name, scratch_path(spark, name)))
+    monkeypatch.setattr(run_queries.star, "merge_stored", lambda *args, **options: None)  # only the feed is looked at
+    monkeypatch.setattr(run_queries.star, "stage_ready", lambda orders, lookups: orders)
+    monkeypatch.setattr(run_queries.star, "stored_tables", lambda spark, root: {"fact_order_lines": spark.range(1).selectExpr(*[f"id AS {c}" for c in run_queries.FACT_COLUMNS])})
+    run_queries.stream_to_star(spark, tables)
+    assert len(spark.read.parquet(seen["arriving"]).inputFiles()) > 2
+    assert [int(p.name.split("=")[1]) for p in sorted(Path(seen["landed"] + ".ledger").glob("batch=*"))] == [0, 1]
