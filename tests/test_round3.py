@@ -4,7 +4,6 @@ from datetime import datetime
 from pathlib import Path
 
 import pytest
-from pyspark.sql import functions as F
 
 from menumix.plans import driver_tables, registry
 
@@ -91,3 +90,15 @@ def test_the_feed_parts_are_written_by_several_tasks(spark, tables, monkeypatch)
     run_queries.stream_to_star(spark, tables)
     assert len(spark.read.parquet(seen["arriving"]).inputFiles()) > 2
     assert [int(p.name.split("=")[1]) for p in sorted(Path(seen["landed"] + ".ledger").glob("batch=*"))] == [0, 1]
+
+
+def test_parsed_rows_are_written_with_zstd(spark, tables, monkeypatch, tmp_path):
+    from menumix.operators import nested
+
+    monkeypatch.setattr(nested, "scratch_path", lambda spark, name: str(tmp_path / name))
+    lookups = {**nested.build_lookups(driver_tables.config_documents(spark, tables)), "names": spark.range(0).selectExpr("'' AS key", "'' AS value"),
+               "blocklist": spark.range(0).selectExpr("'' AS key", "'' AS value")}
+    parsed = nested.parse_orders(driver_tables.landed_orders(spark, tables), lookups)
+    assert parsed["order_lines"].count() > 0
+    files = [p.name for p in (tmp_path / "parsed").glob("tag=*/part-*")]
+    assert files and all(".zstd." in name for name in files)
