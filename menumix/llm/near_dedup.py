@@ -18,6 +18,9 @@ from menumix.session import materialise
 
 KEEP = 64  # retained values that enter the lists
 MARKS = 128  # retained values that pairs are estimated by, four bytes each
+BITS = 256  # of a set's fingerprint, by which most members of a list are told apart where they meet
+TRAITS = tuple(f"bits{i}" for i in range(BITS // 64))
+STEP, STEPS = 16, 256  # sizes by which the bounds for fingerprints are listed
 MISS = 1e-8
 MOST_TOTAL = 20_000  # larger sets take the least shared values of this size, which are no more than their own
 CHUNK = 1_000_000  # values that a task counts at once
@@ -55,6 +58,31 @@ def least_in_union(total: int, k: int, share: int, miss: float = MISS) -> int:
     return max(c, 1)
 
 
+def most_apart(total: int, share: int, miss: float = MISS) -> int:
+    """Differing bits in the fingerprints of two similar sets with ``total`` values together, but for a chance of ``miss``.
+
+    A bit differs by half a chance where the least value of its bin lies in one of the sets only; that is so for
+    ``100 - share`` per cent, at the threshold, of the bins that any value falls into."""
+    q = (100 - share) / 200 * (1 - (1 - 1 / BITS) ** (total * 100 / (100 + share)))
+    chance, tail = [(1 - q) ** BITS], 0.0
+    for i in range(BITS):
+        chance.append(chance[-1] * (BITS - i) / (i + 1) * q / (1 - q))
+    for c in range(BITS, -1, -1):
+        tail += chance[c]
+        if tail > miss:
+            return c
+    return 0
+
+
+@lru_cache(maxsize=None)
+def _bounds(share: int) -> str:
+    """The bounds by the sum of two sizes, in steps, as an SQL array."""
+    return "array(" + ", ".join(str(most_apart((i + 1) * STEP if i < STEPS - 1 else 2**40, share)) for i in range(STEPS)) + ")"
+
+
+_LONGS = ", ".join(f"{t} long" for t in TRAITS)
+
+
 def _parts(batches, rows: int = 500):
     """Small pieces of the batches: a pair may carry two long sets."""
     for batch in batches:
@@ -78,8 +106,13 @@ class Rule:
         whole = -(-self.share * n // 100)
         return np.where(n * 100 <= self.k * self.share, whole, np.minimum(self.need, whole))
 
-    def sizes(self, a: str, b: str) -> str:
-        return f"100 * least({a}, {b}) >= {self.share} * greatest({a}, {b})"
+    def near(self, a: str, b: str) -> str:
+        """SQL: may sets be similar by their sizes and fingerprints, in columns that end in ``a`` and ``b``. Every value in one of the sets only
+        changes a bit at most."""
+        n, m = f"n{a}", f"n{b}"
+        apart = " + ".join(f"bit_count({t}{a} ^ {t}{b})" for t in TRAITS)
+        most = f"least({_bounds(self.share)}[cast(least(({n} + {m}) div {STEP}, {STEPS - 1}) as int)], {100 - self.share} * ({n} + {m}) div {100 + self.share})"
+        return f"100 * least({n}, {m}) >= {self.share} * greatest({n}, {m}) and {apart} <= {most}"
 
 
 def _sets(texts: pa.Array, n_words: int):
@@ -95,31 +128,41 @@ def _mark(values: np.ndarray) -> int:
     return int(np.bitwise_xor.reduce(mix(values + np.uint64(0x51ED270B))) ^ mix(np.array([values.sum(), len(values)], np.uint64)).sum())
 
 
+def _fingerprint(values: np.ndarray) -> np.ndarray:
+    """Of the least value of each of ``BITS`` bins one bit, as four numbers; 0 for an empty bin."""
+    bits = np.zeros(BITS, bool)
+    back = values[::-1]  # the least value of a bin is written last, and stays
+    bits[(back % np.uint64(BITS)).astype(np.intp)] = (back // np.uint64(BITS)) % np.uint64(2) == 1
+    return np.packbits(bits).view(np.int64)
+
+
 def text_hash(column: str) -> Column:
     """Tells apart the texts of rows that share an id; null text counts as empty."""
     return F.xxhash64(F.coalesce(F.col(column).cast("string"), F.lit("")))
 
 
 def sketches(docs: DataFrame, rule: Rule) -> DataFrame:
-    """(id, n, node, sketch, marks, text_hash): set size, set fingerprint, the k smallest shingle hashes, the
-    upper halves of the ``MARKS`` smallest, and the hash of the text of every row.
+    """(id, n, node, sketch, marks, text_hash, bits0 ...): set size, hash of the set, the k smallest shingle hashes, the
+    upper halves of the ``MARKS`` smallest, the hash of the text of every row, and the set's fingerprint.
 
     Halves keep the order of the values; where two values share a half, a pair is estimated too high, and verified."""
     def run(batches):
         for batch in batches:
-            sizes, marks, kept, halves = [], [], [], []
+            sizes, marks, kept, halves, bits = [], [], [], [], [np.zeros((0, len(TRAITS)), np.int64)]
             for s in _sets(batch.column(1), rule.n_words):
                 sizes.append(len(s))
                 marks.append(_mark(s) if len(s) else 0)
                 kept.append(s[:rule.k])
                 halves.append((s[:MARKS] >> np.uint64(32)).astype("<u4").tobytes())
+                bits.append(_fingerprint(s)[None])
+            bits = np.concatenate(bits)
             offsets = np.concatenate([[0], np.cumsum([len(k) for k in kept])]).astype(np.int32)
             flat = np.concatenate(kept).view(np.int64) if kept else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(np.array(marks, np.uint64).view(np.int64)), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)), pa.array(halves, pa.binary()), batch.column(2)],
-                names=["id", "n", "node", "sketch", "marks", "text_hash"])
+                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(np.array(marks, np.uint64).view(np.int64)), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)), pa.array(halves, pa.binary()), batch.column(2), *[pa.array(np.ascontiguousarray(b)) for b in bits.T]],
+                names=["id", "n", "node", "sketch", "marks", "text_hash", *TRAITS])
 
-    return docs.select("id", "text", text_hash("text").alias("text_hash")).mapInArrow(trimmed(run), "id long, n long, node long, sketch array<long>, marks binary, text_hash long")
+    return docs.select("id", "text", text_hash("text").alias("text_hash")).mapInArrow(trimmed(run), "id long, n long, node long, sketch array<long>, marks binary, text_hash long, " + _LONGS)
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame, rule: Rule) -> DataFrame:
@@ -164,7 +207,7 @@ def full_sets(docs: DataFrame, wanted: DataFrame, rule: Rule) -> DataFrame:
 
 
 def prefixes(nodes: DataFrame, rule: Rule) -> DataFrame:
-    """(k, node, n): the retained values that enter the inverted lists.
+    """(k, node, n, bits0 ...): the retained values that enter the inverted lists.
 
     Tasks send their values' counts as packed shards; the merged counts of values in two sets or more
     are memory-mapped, and each node's values are ranked where its sketch is: no row per value is shuffled."""
@@ -208,18 +251,21 @@ def prefixes(nodes: DataFrame, rule: Rule) -> DataFrame:
             value, doc = value[order], doc[order]
             nth = np.arange(len(doc)) - np.searchsorted(-doc, -doc) + 1
             keep = nth >= rule.least(n)[doc]
-            yield pa.RecordBatch.from_arrays([pa.array(value[keep].view(np.int64)), pa.array(node[doc[keep]]), pa.array(n[doc[keep]])], names=["k", "node", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(value[keep].view(np.int64)), pa.array(node[doc[keep]]), pa.array(n[doc[keep]]),
+                                              *[batch.column(i).take(pa.array(doc[keep])) for i in range(3, 3 + len(TRAITS))]], names=["k", "node", "n", *TRAITS])
 
-    return nodes.select("node", "n", "sketch").mapInArrow(trimmed(run), "k long, node long, n long")
+    return nodes.select("node", "n", "sketch", *TRAITS).mapInArrow(trimmed(run), "k long, node long, n long, " + _LONGS)
 
 
 class Search(links.Search):
     """Components of the different shingle sets (nodes) of a corpus."""
 
+    traits = TRAITS
+
     def __init__(self, docs: DataFrame, nodes: DataFrame, rule: Rule):
         super().__init__(docs.sparkSession)
         self.docs, self.nodes, self.rule = docs, nodes, rule
-        self.sizes = rule.sizes
+        self.near = rule.near
 
     def estimated(self, pairs: DataFrame) -> DataFrame:
         """(a, b, score): pairs whose union sketch holds enough shared values, and their share in thousandths."""
@@ -243,6 +289,9 @@ class Search(links.Search):
 
         return both.select("a", "b", "na", "nb", "ma", "mb").mapInArrow(trimmed(run), "a long, b long, score long")
 
+    def described(self, index: DataFrame) -> DataFrame:
+        return index.join(self.nodes.select("node", *TRAITS), "node").select("k", "node", "n", *TRAITS)
+
     def find_sets(self, wanted: DataFrame) -> DataFrame:
         wanted = self.scratch.settle(wanted.join(self.nodes.select("node", "first"), "node").select("first", "node"), "near_firsts")
         return full_sets(self.docs, wanted, self.rule)
@@ -298,7 +347,8 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     smallest hashes. Similar nodes share at least ``least_shared`` of them (but
     for a chance of 1e-8), hence one value outside each one's most frequent
     ``least_shared - 1``: only those enter the inverted lists. ``links.Search``
-    works through the lists without emitting all pairs of long ones; pairs pass
+    works through the lists without emitting all pairs of long ones; members of a list make a pair if their
+    fingerprints of 256 bits allow it (similar sets fail that with a chance of 1e-8); pairs pass
     a union-sketch estimate and are confirmed on the full sets.
 
     Texts without words have size 0 and are linked with nothing. Null text counts as
@@ -310,7 +360,8 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     small_batches(df.sparkSession)
     docs = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     rows = materialise(sketches(docs, rule), "near_sketches")
-    nodes = rows.where("n > 0 and id is not null").groupBy("node").agg(F.min("id").alias("first"), F.any_value("n").alias("n"), F.any_value("sketch").alias("sketch"), F.any_value("marks").alias("marks"))
+    nodes = rows.where("n > 0 and id is not null").groupBy("node").agg(F.min("id").alias("first"), F.any_value("n").alias("n"), F.any_value("sketch").alias("sketch"), F.any_value("marks").alias("marks"),
+                                                                              *[F.any_value(t).alias(t) for t in TRAITS])
     nodes = materialise(nodes, "near_nodes")
     search = Search(docs, nodes, rule)
     labels = search.run(prefixes(nodes, rule)).join(nodes.select("node", "first"), "node")
