@@ -1,4 +1,4 @@
-"""Operator 1: near duplicates by bottom-k sketches of one hash function."""
+"""Operator 1: near duplicates by inverted lists of the rarest values of their sets."""
 
 from __future__ import annotations
 
@@ -16,12 +16,12 @@ from menumix.llm.frames import settle, small_batches, trimmed
 from menumix.llm.words import mix, shingle_hashes, slices, words_of
 from menumix.session import materialise
 
-KEEP = 64  # retained values that enter the lists
-MARKS = 128  # retained values that pairs are estimated by, four bytes each
+MARKS = 128  # least values that pairs are estimated by, four bytes each
 MISS = 1e-8
 MOST_TOTAL = 20_000  # larger sets take the least shared values of this size, which are no more than their own
 CHUNK = 1_000_000  # values that a task counts at once
-SHARD = 500_000  # values or so that are merged at once
+SHARD = 2_000_000  # values or so that are merged at once
+LEFT_OUT = np.uint64(24)  # low bits of a value that counts leave out: values that agree in the others count as one
 
 
 def least_shared(k: int, threshold: float, miss: float = MISS) -> int:
@@ -65,21 +65,20 @@ def _parts(batches, rows: int = 500):
 class Rule:
     """Similarity threshold ``share`` per cent and what follows from it."""
 
-    def __init__(self, n_words: int, share: int, k: int = KEEP):
-        self.n_words, self.share, self.k = n_words, share, k
-        self.need = least_shared(k, share / 100)
+    def __init__(self, n_words: int, share: int):
+        self.n_words, self.share = n_words, share
 
     def similar(self, a: np.ndarray, b: np.ndarray) -> bool:
         both = len(np.intersect1d(a, b, assume_unique=True))
         return 100 * both >= self.share * (len(a) + len(b) - both)
 
-    def least(self, n: np.ndarray) -> np.ndarray:
-        """Retained values that a set of size ``n`` shares with any similar set, exactly if both are retained whole."""
-        whole = -(-self.share * n // 100)
-        return np.where(n * 100 <= self.k * self.share, whole, np.minimum(self.need, whole))
+    def least(self, n):
+        """Values that a set of size ``n`` shares with any similar set."""
+        return -(-self.share * n // 100)
 
-    def sizes(self, a: str, b: str) -> str:
-        return f"100 * least({a}, {b}) >= {self.share} * greatest({a}, {b})"
+    def near(self, a: str, b: str) -> str:
+        return (f"100 * least(n{a}, n{b}) >= {self.share} * greatest(n{a}, n{b}) and "
+                f"{100 + self.share} * least(most{a}, most{b}) >= {self.share} * (n{a} + n{b})")
 
 
 def _sets(texts: pa.Array, n_words: int):
@@ -100,126 +99,172 @@ def text_hash(column: str) -> Column:
     return F.xxhash64(F.coalesce(F.col(column).cast("string"), F.lit("")))
 
 
-def sketches(docs: DataFrame, rule: Rule) -> DataFrame:
-    """(id, n, node, sketch, marks, text_hash): set size, set fingerprint, the k smallest shingle hashes, the
-    upper halves of the ``MARKS`` smallest, and the hash of the text of every row.
-
-    Halves keep the order of the values; where two values share a half, a pair is estimated too high, and verified."""
+def fingerprints(docs: DataFrame, rule: Rule) -> DataFrame:
+    """(id, n, node, text_hash): set size, set fingerprint and the hash of the text of every row."""
     def run(batches):
         for batch in batches:
-            sizes, marks, kept, halves = [], [], [], []
+            sizes, marks = [], []
             for s in _sets(batch.column(1), rule.n_words):
                 sizes.append(len(s))
                 marks.append(_mark(s) if len(s) else 0)
-                kept.append(s[:rule.k])
-                halves.append((s[:MARKS] >> np.uint64(32)).astype("<u4").tobytes())
-            offsets = np.concatenate([[0], np.cumsum([len(k) for k in kept])]).astype(np.int32)
-            flat = np.concatenate(kept).view(np.int64) if kept else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(np.array(marks, np.uint64).view(np.int64)), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)), pa.array(halves, pa.binary()), batch.column(2)],
-                names=["id", "n", "node", "sketch", "marks", "text_hash"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(np.array(marks, np.uint64).view(np.int64)), batch.column(2)],
+                                             names=["id", "n", "node", "text_hash"])
 
-    return docs.select("id", "text", text_hash("text").alias("text_hash")).mapInArrow(trimmed(run), "id long, n long, node long, sketch array<long>, marks binary, text_hash long")
+    return docs.select("id", "text", text_hash("text").alias("text_hash")).mapInArrow(trimmed(run), "id long, n long, node long, text_hash long")
 
 
-def full_sets(docs: DataFrame, wanted: DataFrame, rule: Rule) -> DataFrame:
-    """(node, packed) of the wanted nodes (first, node), from the text of their smallest id.
+class Firsts:
+    """The smallest id of every node, sorted and memory-mapped, so that one text of each node is taken where it is scanned."""
 
-    The wanted ids are sorted, memory-mapped shards, so the texts are scanned where they are and only sets of wanted ones leave a task."""
-    spark = docs.sparkSession
-    bits, folder = shard_bits(wanted.count(), SHARD), shared_dir(spark, "near_wanted")
+    def __init__(self, nodes: DataFrame, rule: Rule):
+        self.rule, self.bits, self.folder = rule, shard_bits(nodes.count(), SHARD), shared_dir(nodes.sparkSession, "near_firsts")
+        bits, folder = self.bits, self.folder
 
-    def send(batches):
+        def send(batches):
+            for batch in batches:
+                node, first = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(2))
+                key = mix(node.view(np.uint64))
+                order = np.argsort(key)
+                yield packed_rows([key[order], first[order]], bits)
+
+        def merge(batches):
+            for shard, runs in shards(batches):
+                key, first = map(np.concatenate, zip(*runs))
+                order = np.argsort(key)
+                save(folder, "first", shard, first[order])
+                save(folder, "key", shard, key[order])
+                yield pa.RecordBatch.from_pydict({"shards": [1]})
+
+        by_shard(nodes.select("node", "first").mapInArrow(trimmed(send), PACKED)).mapInArrow(trimmed(merge), "shards long").agg(F.sum("shards")).first()
+
+    def sets(self, batches):
+        """Lists of (node, set) of the rows (id, text) that stand for their nodes, about ``CHUNK`` values at once. Rows that agree in both come each."""
+        held = Mapped(self.folder, "key", ["first"], self.bits)
+
+        def chosen(rows):
+            found, first = held.lookup(mix(np.array([node for _, node, _ in rows], np.uint64)))
+            return [(node, s) for (i, node, s), hit, at in zip(rows, found.tolist(), first.tolist()) if hit and at == i]
+
+        rows, total = [], 0
         for batch in batches:
-            first, node = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(2))
-            key = mix(first.view(np.uint64))
-            order = np.argsort(key)
-            yield packed_rows([key[order], first[order], node[order]], bits)
+            batch = batch.filter(batch.column(0).is_valid())
+            for i, s in zip(batch.column(0).to_pylist(), _sets(batch.column(1), self.rule.n_words)):
+                if len(s):
+                    rows.append((i, _mark(s) % 2**64, s))
+                    total += len(s)
+                if total >= CHUNK:
+                    yield chosen(rows)
+                    rows, total = [], 0
+        if rows:
+            yield chosen(rows)
 
-    def merge(batches):
-        for shard, runs in shards(batches):
-            key, first, node = map(np.concatenate, zip(*runs))
-            order = np.argsort(key, kind="stable")
-            for name, values in (("first", first), ("node", node), ("key", key)):
-                save(folder, name, shard, values[order])
-            yield pa.RecordBatch.from_pydict({"shards": [1]})
 
-    by_shard(wanted.select("first", "node").mapInArrow(trimmed(send), PACKED)).mapInArrow(trimmed(merge), "shards long").agg(F.sum("shards")).first()
+def _signed(nodes: list[int]) -> pa.Array:
+    return pa.array(np.array(nodes, np.uint64).view(np.int64))
 
-    def run(batches):
-        held = Mapped(folder, "key", ["first", "node"], bits)
-        for batch in batches:
-            batch = batch.filter(batch.column(0).is_valid())
-            ids = batch.column(0).to_numpy(zero_copy_only=False)
-            found, _, node = held.lookup(mix(ids.view(np.uint64)))
-            texts, nodes, packed = batch.column(1).filter(pa.array(found)), [], []
-            for mark, s in zip(node[found].tolist(), _sets(texts, rule.n_words)):
-                if len(s) and _mark(s) == mark % 2**64:  # rows that share an id may hold another text
-                    nodes.append(mark)
-                    packed.append(pack([s]))
-            yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(packed, pa.binary())], names=["node", "packed"])
 
-    rows = docs.select("id", "text").mapInArrow(trimmed(run), "node long, packed binary")
-    return rows.groupBy("node").agg(F.any_value("packed").alias("packed"))
+class Shared:
+    """The values that lie in two sets or more, and in how many, memory-mapped.
 
+    Tasks send their values' counts as packed shards: no row per value is shuffled. ``sets`` makes lists of (node, set) of a batch iterator."""
 
-def prefixes(nodes: DataFrame, rule: Rule) -> DataFrame:
-    """(k, node, n): the retained values that enter the inverted lists.
+    def __init__(self, frame: DataFrame, sets, total: int):
+        self.bits, self.folder = shard_bits(total, SHARD), shared_dir(frame.sparkSession, "near_counts")
+        bits, folder = self.bits, self.folder
 
-    Tasks send their values' counts as packed shards; the merged counts of values in two sets or more
-    are memory-mapped, and each node's values are ranked where its sketch is: no row per value is shuffled."""
-    spark = nodes.sparkSession
-    bits, folder = shard_bits(rule.k * nodes.count(), SHARD), shared_dir(spark, "near_counts")
+        def send(batches):
+            for rows in sets(batches):
+                if rows:
+                    values = np.concatenate([s for _, s in rows]) >> LEFT_OUT << LEFT_OUT
+                    yield packed_rows(group_sum(values, [np.ones(len(values), np.int32)]), bits)
 
-    def send(batches):
-        def flush(held):
-            values = np.concatenate(held)
-            return packed_rows(group_sum(values, [np.ones(len(values), np.int64)]), bits)
+        def merge(batches):
+            for shard, runs in shards(batches):
+                value, df = map(np.concatenate, zip(*runs))
+                value, df = group_sum(value, [df])
+                save(folder, "df", shard, df[df > 1])
+                save(folder, "value", shard, value[df > 1])
+                yield pa.RecordBatch.from_pydict({"shards": [1]})
+
+        by_shard(frame.mapInArrow(trimmed(send), PACKED)).mapInArrow(trimmed(merge), "shards long").agg(F.sum("shards")).first()
+
+    def counts(self):
+        """A function that gives of lists of (node, set) all values, their rows, and in how many sets they are (at least 1)."""
+        held = Mapped(self.folder, "value", ["df"], self.bits)
+
+        def of(rows):
+            values, row = np.concatenate([s for _, s in rows]), np.repeat(np.arange(len(rows)), [len(s) for _, s in rows])
+            found, df = held.lookup(values >> LEFT_OUT << LEFT_OUT)
+            return values, row, np.where(found, df, 1)
+
+        return of
 
-        held, total = [], 0
-        for batch in batches:
-            held.append(batch.column(0).flatten().to_numpy(zero_copy_only=False).view(np.uint64))
-            total += len(held[-1])
-            if total >= CHUNK:
-                yield flush(held)
-                held, total = [], 0
-        if total:
-            yield flush(held)
-
-    def merge(batches):
-        for shard, runs in shards(batches):
-            value, df = map(np.concatenate, zip(*runs))
-            value, df = group_sum(value, [df])
-            save(folder, "df", shard, df[df > 1])
-            save(folder, "value", shard, value[df > 1])
-            yield pa.RecordBatch.from_pydict({"shards": [1]})
-
-    by_shard(nodes.select("sketch").mapInArrow(trimmed(send), PACKED)).mapInArrow(trimmed(merge), "shards long").agg(F.sum("shards")).first()
+
+def linkable(docs: DataFrame, nodes: DataFrame, rule: Rule) -> DataFrame:
+    """(node, n, marks, packed): the sets of the nodes that share enough of their values with any others to be similar to one;
+    ``marks`` holds the upper halves of the ``MARKS`` least values.
+
+    Halves keep the order of the values; where two values share a half, a pair is estimated too high, and verified."""
+    firsts = Firsts(nodes, rule)
+    shared = Shared(docs.select("id", "text"), firsts.sets, nodes.agg(F.sum("n")).first()[0] or 0)
 
     def run(batches):
-        held = Mapped(folder, "value", ["df"], bits)
-        for batch in batches:
-            node, n = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(2))
-            value = batch.column(2).flatten().to_numpy(zero_copy_only=False).view(np.uint64)
-            doc = np.repeat(np.arange(len(node)), pa.compute.list_value_length(batch.column(2)).to_numpy(zero_copy_only=False))
-            found, df = held.lookup(value)
-            value, doc, df = value[found], doc[found], df[found]
-            order = np.lexsort((value, df, doc))[::-1]  # of a document the most frequent value first
-            value, doc = value[order], doc[order]
-            nth = np.arange(len(doc)) - np.searchsorted(-doc, -doc) + 1
-            keep = nth >= rule.least(n)[doc]
-            yield pa.RecordBatch.from_arrays([pa.array(value[keep].view(np.int64)), pa.array(node[doc[keep]]), pa.array(n[doc[keep]])], names=["k", "node", "n"])
+        counts = shared.counts()
+        for rows in firsts.sets(batches):
+            if not rows:
+                continue
+            _, row, df = counts(rows)
+            held = np.bincount(row[df > 1], minlength=len(rows))
+            rows = [(node, s) for (node, s), h in zip(rows, held.tolist()) if h >= rule.least(len(s))]
+            yield pa.RecordBatch.from_arrays(
+                [_signed([node for node, _ in rows]), pa.array([len(s) for _, s in rows], pa.int64()),
+                 pa.array([(s[:MARKS] >> np.uint64(32)).astype("<u4").tobytes() for _, s in rows], pa.binary()), pa.array([pack([s]) for _, s in rows], pa.binary())],
+                names=["node", "n", "marks", "packed"])
+
+    found = docs.select("id", "text").mapInArrow(trimmed(run), "node long, n long, marks binary, packed binary")
+    return found.groupBy("node").agg(*[F.any_value(c).alias(c) for c in ("n", "marks", "packed")])
 
-    return nodes.select("node", "n", "sketch").mapInArrow(trimmed(run), "k long, node long, n long")
+
+def _unpacked(batches):
+    """Lists of (node, set) of rows (node, packed)."""
+    for batch in _parts(batches):
+        yield [(node, unpack(s)[0]) for node, s in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())]
+
+
+def prefixes(sets: DataFrame, rule: Rule) -> DataFrame:
+    """(k, node, n, most): the values of each set that enter the inverted lists.
+
+    All values are ordered by the number of sets that hold them, then by value, the rarest first. Of a set of n values any similar one
+    holds ``least(n)``, so the first one that both hold is among the first n - least(n) + 1 of each. Where that is the first one,
+    no more are in both than follow it, itself included: ``most``. Values and sets that can have no partner are left out."""
+    sets = sets.select("node", "packed", "n")
+    shared = Shared(sets, _unpacked, sets.agg(F.sum("n")).first()[0] or 0)
+
+    def run(batches):
+        counts = shared.counts()
+        for rows in _unpacked(batches):
+            if not rows:
+                continue
+            value, row, df = counts(rows)
+            node, n = np.array([x for x, _ in rows], np.int64), np.array([len(s) for _, s in rows])
+            able = np.bincount(row[df > 1], minlength=len(rows)) >= rule.least(n)
+            order = np.lexsort((value, df, row))
+            value, row, df = value[order], row[order], df[order]
+            nth = np.arange(len(row)) - np.searchsorted(row, row)
+            keep = (df > 1) & able[row] & (nth <= (n - rule.least(n))[row])
+            value, row, nth = value[keep], row[keep], nth[keep]
+            yield pa.RecordBatch.from_arrays([pa.array(value.view(np.int64)), pa.array(node[row]), pa.array(n[row]), pa.array(n[row] - nth)], names=["k", "node", "n", "most"])
+
+    return sets.mapInArrow(trimmed(run), "k long, node long, n long, most long")
 
 
 class Search(links.Search):
     """Components of the different shingle sets (nodes) of a corpus."""
 
-    def __init__(self, docs: DataFrame, nodes: DataFrame, rule: Rule):
-        super().__init__(docs.sparkSession)
-        self.docs, self.nodes, self.rule = docs, nodes, rule
-        self.sizes = rule.sizes
+    def __init__(self, nodes: DataFrame, rule: Rule):
+        super().__init__(nodes.sparkSession)
+        self.nodes, self.rule = nodes, rule
+        self.sets, self.near = nodes.select("node", "packed"), rule.near
 
     def estimated(self, pairs: DataFrame) -> DataFrame:
         """(a, b, score): pairs whose union sketch holds enough shared values, and their share in thousandths."""
@@ -243,9 +288,8 @@ class Search(links.Search):
 
         return both.select("a", "b", "na", "nb", "ma", "mb").mapInArrow(trimmed(run), "a long, b long, score long")
 
-    def find_sets(self, wanted: DataFrame) -> DataFrame:
-        wanted = self.scratch.settle(wanted.join(self.nodes.select("node", "first"), "node").select("first", "node"), "near_firsts")
-        return full_sets(self.docs, wanted, self.rule)
+    def read_sets(self, wanted: DataFrame) -> None:
+        """All sets that may be wanted are there."""
 
     def with_sets(self, pairs: DataFrame) -> DataFrame:
         """Pairs (a, b) with both full sets."""
@@ -294,12 +338,10 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     Documents whose sets have at least ``share`` per cent of their union in
     common are linked, and a component takes its smallest id.
 
-    Equal sets are one node, so copies never multiply. A node retains the 64
-    smallest hashes. Similar nodes share at least ``least_shared`` of them (but
-    for a chance of 1e-8), hence one value outside each one's most frequent
-    ``least_shared - 1``: only those enter the inverted lists. ``links.Search``
-    works through the lists without emitting all pairs of long ones; pairs pass
-    a union-sketch estimate and are confirmed on the full sets.
+    Equal sets are one node, so copies never multiply. A node whose values lie too rarely in other nodes is similar to none;
+    the sets of the others are written once. Their rarest values enter the inverted lists (``prefixes``), which miss no link.
+    ``links.Search`` works through the lists without emitting all pairs of long ones; pairs pass
+    a union-sketch estimate (which misses a pair at the threshold with a chance of 1e-8) and are confirmed on the full sets.
 
     Texts without words have size 0 and are linked with nothing. Null text counts as
     empty. A row without id has no component id and is kept, and makes no links. Rows
@@ -309,11 +351,12 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     rule = Rule(n_words, share)
     small_batches(df.sparkSession)
     docs = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    rows = materialise(sketches(docs, rule), "near_sketches")
-    nodes = rows.where("n > 0 and id is not null").groupBy("node").agg(F.min("id").alias("first"), F.any_value("n").alias("n"), F.any_value("sketch").alias("sketch"), F.any_value("marks").alias("marks"))
+    rows = materialise(fingerprints(docs, rule), "near_fingerprints")
+    nodes = rows.where("n > 0 and id is not null").groupBy("node").agg(F.min("id").alias("first"), F.any_value("n").alias("n"))
     nodes = materialise(nodes, "near_nodes")
-    search = Search(docs, nodes, rule)
-    labels = search.run(prefixes(nodes, rule)).join(nodes.select("node", "first"), "node")
+    sets = settle(linkable(docs, nodes, rule), "near_sets")
+    search = Search(sets, rule)
+    labels = search.run(prefixes(sets, rule)).join(nodes.select("node", "first"), "node")
     firsts = labels.groupBy("component").agg(F.min("first").alias("component_id"))
     named = settle(nodes.select("node", "first").join(labels.select("node", "component"), "node", "left").join(firsts, "component", "left").select(
         F.col("node"), F.coalesce("component_id", "first").alias("component_id")), "near_components")
