@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import os
 from functools import lru_cache
 
 import numpy as np
@@ -11,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from menumix.llm import links
-from menumix.llm.arrays import PACKED, Mapped, by_shard, group_sum, pack, packed_rows, save, shard_bits, shards, shared_dir, unpack
+from menumix.llm.arrays import PACKED, Mapped, by_shard, group_sum, pack, packed_rows, save, shard_bits, shards, shared_dir
 from menumix.llm.frames import settle, small_batches, trimmed
 from menumix.llm.words import mix, shingle_hashes, slices, words_of
 from menumix.session import materialise
@@ -20,6 +21,7 @@ MARKS = 128  # least values that pairs are estimated by, four bytes each
 MISS = 1e-8
 MOST_TOTAL = 20_000  # larger sets take the least shared values of this size, which are no more than their own
 CHUNK = 1_000_000  # values that a task counts at once
+PAIRS = 10_000  # pairs that a task compares
 SHARD = 2_000_000  # values or so that are merged at once
 LEFT_OUT = np.uint64(24)  # low bits of a value that counts leave out: values that agree in the others count as one
 
@@ -159,10 +161,6 @@ class Firsts:
             yield chosen(rows)
 
 
-def _signed(nodes: list[int]) -> pa.Array:
-    return pa.array(np.array(nodes, np.uint64).view(np.int64))
-
-
 class Shared:
     """The values that lie in two sets or more, and in how many, memory-mapped.
 
@@ -200,13 +198,66 @@ class Shared:
         return of
 
 
-def linkable(docs: DataFrame, nodes: DataFrame, rule: Rule) -> DataFrame:
-    """(node, n, marks, packed): the sets of the nodes that share enough of their values with any others to be similar to one;
-    ``marks`` holds the upper halves of the ``MARKS`` least values.
+class Sets:
+    """Sets of nodes, written by shard and memory-mapped: pairs are compared where they are, and no set is shuffled with them."""
+
+    def __init__(self, spark: SparkSession, total: int):
+        self.bits, self.folder = shard_bits(total, SHARD), shared_dir(spark, "near_sets")
+
+    def write(self, packed: DataFrame) -> DataFrame:
+        """(node, n) of the sets in packed rows, each payload a node and its set. A node may come more than once."""
+        folder = self.folder
+
+        def merge(batches):
+            for shard, runs in shards(batches):
+                held = {run[0][0]: run[0][1:] for run in runs}
+                node = np.array(list(held), np.uint64)
+                key, size = mix(node), np.array([len(s) for s in held.values()])
+                order = np.argsort(key)
+                save(folder, "start", shard, (np.cumsum(size) - size)[order])
+                save(folder, "size", shard, size[order])
+                save(folder, "value", shard, np.concatenate(list(held.values())))
+                save(folder, "key", shard, key[order])
+                yield pa.RecordBatch.from_arrays([pa.array(node.view(np.int64)), pa.array(size)], names=["node", "n"])
+
+        return by_shard(packed).mapInArrow(trimmed(merge), "node long, n long")
+
+    def reader(self):
+        """A function that gives the sets of an array of nodes."""
+        held, values = Mapped(self.folder, "key", ["start", "size"], self.bits), {}
+
+        def of(nodes: np.ndarray) -> list[np.ndarray]:
+            keys = mix(nodes.view(np.uint64))
+            _, start, size = held.lookup(keys)
+            out = []
+            for shard, at, n in zip((keys >> np.uint64(64 - self.bits)).tolist(), start.tolist(), size.tolist()):
+                if shard not in values:
+                    values[shard] = np.load(os.path.join(self.folder, f"value.{shard:05d}.npy"), mmap_mode="r").view(np.ndarray)
+                out.append(values[shard][at:at + n])
+            return out
+
+        return of
+
+    def rows(self, batches):
+        """Lists of (node, set) of rows (node)."""
+        of = self.reader()
+        for batch in _parts(batches):
+            nodes = batch.column(0).to_numpy(zero_copy_only=False)
+            yield list(zip(nodes.tolist(), of(nodes)))
+
+    def pairs(self, batches):
+        """(a, b, sets of a, sets of b) of rows (a, b)."""
+        of = self.reader()
+        for batch in _parts(batches):
+            a, b = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(2))
+            yield a, b, of(a), of(b)
 
-    Halves keep the order of the values; where two values share a half, a pair is estimated too high, and verified."""
+
+def linkable(docs: DataFrame, nodes: DataFrame, rule: Rule, sets: Sets) -> DataFrame:
+    """(node, n) of the nodes that share enough of their values with any others to be similar to one; their sets are written to ``sets``."""
     firsts = Firsts(nodes, rule)
     shared = Shared(docs.select("id", "text"), firsts.sets, nodes.agg(F.sum("n")).first()[0] or 0)
+    bits = sets.bits
 
     def run(batches):
         counts = shared.counts()
@@ -216,33 +267,24 @@ def linkable(docs: DataFrame, nodes: DataFrame, rule: Rule) -> DataFrame:
             _, row, df = counts(rows)
             held = np.bincount(row[df > 1], minlength=len(rows))
             rows = [(node, s) for (node, s), h in zip(rows, held.tolist()) if h >= rule.least(len(s))]
-            yield pa.RecordBatch.from_arrays(
-                [_signed([node for node, _ in rows]), pa.array([len(s) for _, s in rows], pa.int64()),
-                 pa.array([(s[:MARKS] >> np.uint64(32)).astype("<u4").tobytes() for _, s in rows], pa.binary()), pa.array([pack([s]) for _, s in rows], pa.binary())],
-                names=["node", "n", "marks", "packed"])
-
-    found = docs.select("id", "text").mapInArrow(trimmed(run), "node long, n long, marks binary, packed binary")
-    return found.groupBy("node").agg(*[F.any_value(c).alias(c) for c in ("n", "marks", "packed")])
+            shard = mix(np.array([node for node, _ in rows], np.uint64)) >> np.uint64(64 - bits)
+            payloads = [pack([np.concatenate([np.array([node], np.uint64), s])]) for node, s in rows]
+            yield pa.RecordBatch.from_arrays([pa.array(shard.astype(np.int32)), pa.array(payloads, pa.binary())], names=["shard", "payload"])
 
+    return sets.write(docs.select("id", "text").mapInArrow(trimmed(run), PACKED))
 
-def _unpacked(batches):
-    """Lists of (node, set) of rows (node, packed)."""
-    for batch in _parts(batches):
-        yield [(node, unpack(s)[0]) for node, s in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())]
 
-
-def prefixes(sets: DataFrame, rule: Rule) -> DataFrame:
+def prefixes(nodes: DataFrame, sets: Sets, rule: Rule) -> DataFrame:
     """(k, node, n, most): the values of each set that enter the inverted lists.
 
     All values are ordered by the number of sets that hold them, then by value, the rarest first. Of a set of n values any similar one
     holds ``least(n)``, so the first one that both hold is among the first n - least(n) + 1 of each. Where that is the first one,
     no more are in both than follow it, itself included: ``most``. Values and sets that can have no partner are left out."""
-    sets = sets.select("node", "packed", "n")
-    shared = Shared(sets, _unpacked, sets.agg(F.sum("n")).first()[0] or 0)
+    shared = Shared(nodes.select("node"), sets.rows, nodes.agg(F.sum("n")).first()[0] or 0)
 
     def run(batches):
         counts = shared.counts()
-        for rows in _unpacked(batches):
+        for rows in sets.rows(batches):
             if not rows:
                 continue
             value, row, df = counts(rows)
@@ -255,79 +297,73 @@ def prefixes(sets: DataFrame, rule: Rule) -> DataFrame:
             value, row, nth = value[keep], row[keep], nth[keep]
             yield pa.RecordBatch.from_arrays([pa.array(value.view(np.int64)), pa.array(node[row]), pa.array(n[row]), pa.array(n[row] - nth)], names=["k", "node", "n", "most"])
 
-    return sets.mapInArrow(trimmed(run), "k long, node long, n long, most long")
+    return nodes.select("node").mapInArrow(trimmed(run), "k long, node long, n long, most long")
 
 
 class Search(links.Search):
     """Components of the different shingle sets (nodes) of a corpus."""
 
-    def __init__(self, nodes: DataFrame, rule: Rule):
-        super().__init__(nodes.sparkSession)
-        self.nodes, self.rule = nodes, rule
-        self.sets, self.near = nodes.select("node", "packed"), rule.near
+    def __init__(self, spark: SparkSession, written: Sets, rule: Rule):
+        super().__init__(spark)
+        self.sets, self.rule, self.near = written, rule, rule.near
+
+    def read_sets(self, wanted: DataFrame) -> None:
+        """All sets that may be wanted are written."""
+
+    def spread(self, pairs: DataFrame) -> DataFrame:
+        """The pairs (a, b) in tasks of about ``PAIRS``: a written pair is small, and its comparison is not."""
+        return pairs.select("a", "b").repartition(max(1, -(-pairs.count() // PAIRS)), "a", "b")
 
     def estimated(self, pairs: DataFrame) -> DataFrame:
-        """(a, b, score): pairs whose union sketch holds enough shared values, and their share in thousandths."""
-        side = self.nodes.select("node", "n", "marks")
-        both = pairs.join(side.toDF("a", "na", "ma").hint("merge"), "a").join(side.toDF("b", "nb", "mb").hint("merge"), "b")
-        share = self.rule.share
+        """(a, b, score): pairs whose union sketch, by the upper halves of the ``MARKS`` least values, holds enough shared ones, and their share in thousandths.
+
+        Halves keep the order of the values; where two values share a half, a pair is estimated too high, and verified."""
+        written, share = self.sets, self.rule.share
 
         def run(batches):
-            for batch in batches:
-                a, b, na, nb, ma, mb = batch.columns
-                total = np.minimum(pa.compute.add(na, nb).to_numpy(zero_copy_only=False), MOST_TOTAL).tolist()
+            for a, b, x, y in written.pairs(batches):
                 keep, score = np.zeros(len(a), bool), np.zeros(len(a), np.int64)
-                for i, (x, y) in enumerate(zip(ma.to_pylist(), mb.to_pylist())):
-                    both = np.sort(np.frombuffer(x + y, "<u4"))
+                for i, (s, t) in enumerate(zip(x, y)):
+                    both = np.sort(np.concatenate([s[:MARKS], t[:MARKS]]) >> np.uint64(32))
                     twin = np.concatenate([both[1:] == both[:-1], [False]])
                     first = np.concatenate([[True], both[1:] != both[:-1]])
                     held = twin[first][:MARKS]
-                    keep[i], score[i] = held.sum() >= least_in_union(total[i], MARKS, share), 1000 * held.sum() // len(held)
-                keep = pa.array(keep)
-                yield pa.RecordBatch.from_arrays([a.filter(keep), b.filter(keep), pa.array(score).filter(keep)], names=["a", "b", "score"])
-
-        return both.select("a", "b", "na", "nb", "ma", "mb").mapInArrow(trimmed(run), "a long, b long, score long")
-
-    def read_sets(self, wanted: DataFrame) -> None:
-        """All sets that may be wanted are there."""
+                    keep[i], score[i] = held.sum() >= least_in_union(min(len(s) + len(t), MOST_TOTAL), MARKS, share), 1000 * held.sum() // len(held)
+                yield pa.RecordBatch.from_arrays([pa.array(a[keep]), pa.array(b[keep]), pa.array(score[keep])], names=["a", "b", "score"])
 
-    def with_sets(self, pairs: DataFrame) -> DataFrame:
-        """Pairs (a, b) with both full sets."""
-        return pairs.join(self.sets.toDF("a", "pa").hint("merge"), "a").join(self.sets.toDF("b", "pb").hint("merge"), "b").select("a", "b", "pa", "pb")
+        pairs = self.scratch.settle(pairs, "apart")
+        return self.spread(pairs).mapInArrow(trimmed(run), "a long, b long, score long")
 
     def similar(self, pairs: DataFrame) -> DataFrame:
-        rule = self.rule
+        written, rule = self.sets, self.rule
 
         def run(batches):
-            for batch in _parts(batches):
-                a, b, pa_, pb = (batch.column(i).to_pylist() for i in range(4))
-                hits = [(x, y) for x, y, s, t in zip(a, b, pa_, pb) if rule.similar(unpack(s)[0], unpack(t)[0])]
-                yield pa.RecordBatch.from_arrays([pa.array([h[0] for h in hits], pa.int64()), pa.array([h[1] for h in hits], pa.int64())], names=["a", "b"])
+            for a, b, x, y in written.pairs(batches):
+                keep = np.array([rule.similar(s, t) for s, t in zip(x, y)], bool)
+                yield pa.RecordBatch.from_arrays([pa.array(a[keep]), pa.array(b[keep])], names=["a", "b"])
 
-        return self.with_sets(pairs).mapInArrow(trimmed(run), "a long, b long")
+        return self.spread(pairs).mapInArrow(trimmed(run), "a long, b long")
 
     def outside(self, pairs: DataFrame) -> DataFrame:
-        """(k, node, n, leader, need): the values of a set outside its leader, and how many of them a similar partner shares."""
-        rule = self.rule
+        """(k, node, n, leader, need, inside): the values of a set outside its leader, how many of them a similar partner shares, and how many values are inside."""
+        written, rule = self.sets, self.rule
 
         def run(batches):
-            for batch in _parts(batches):
-                a, b, pa_, pb = (batch.column(i).to_pylist() for i in range(4))
+            for a, b, sets, leaders in written.pairs(batches):
                 keys, rows, counts = [np.zeros(0, np.uint64)], [], []
-                for node, leader, s, t in zip(a, b, pa_, pb):
-                    x, y = unpack(s)[0], unpack(t)[0]
+                for node, leader, x, y in zip(a.tolist(), b.tolist(), sets, leaders):
                     rest = np.setdiff1d(x, y, assume_unique=True)
                     need = max(1, math.ceil(rule.share * (len(x) + len(y)) / (100 + rule.share) - (len(x) - len(rest)) - 1e-9))
                     if len(rest) < need:
                         continue
                     keys.append(mix(rest ^ mix(np.array([leader % 2**64], np.uint64))))
-                    rows.append((node, len(x), leader, need))
+                    rows.append((node, len(x), leader, need, len(x) - len(rest)))
                     counts.append(len(rest))
-                columns = np.repeat(np.array(rows, np.int64).reshape(-1, 4), counts, axis=0)
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), *[pa.array(columns[:, i]) for i in range(4)]],
-                                                 names=["k", "node", "n", "leader", "need"])
+                columns = np.repeat(np.array(rows, np.int64).reshape(-1, 5), counts, axis=0)
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), *[pa.array(columns[:, i]) for i in range(5)]],
+                                                 names=["k", "node", "n", "leader", "need", "inside"])
 
-        return self.with_sets(pairs).mapInArrow(trimmed(run), "k long, node long, n long, leader long, need long")
+        return self.spread(pairs).mapInArrow(trimmed(run), "k long, node long, n long, leader long, need long, inside long")
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_words: int = 5, share: int = 80, with_text_hash: bool = False) -> DataFrame:
@@ -354,9 +390,10 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     rows = materialise(fingerprints(docs, rule), "near_fingerprints")
     nodes = rows.where("n > 0 and id is not null").groupBy("node").agg(F.min("id").alias("first"), F.any_value("n").alias("n"))
     nodes = materialise(nodes, "near_nodes")
-    sets = settle(linkable(docs, nodes, rule), "near_sets")
-    search = Search(sets, rule)
-    labels = search.run(prefixes(sets, rule)).join(nodes.select("node", "first"), "node")
+    written = Sets(df.sparkSession, nodes.agg(F.sum("n")).first()[0] or 0)
+    able = settle(linkable(docs, nodes, rule, written), "near_linkable")
+    search = Search(df.sparkSession, written, rule)
+    labels = search.run(prefixes(able, written, rule).withColumn("parent", F.lit(0))).join(nodes.select("node", "first"), "node")
     firsts = labels.groupBy("component").agg(F.min("first").alias("component_id"))
     named = settle(nodes.select("node", "first").join(labels.select("node", "component"), "node", "left").join(firsts, "component", "left").select(
         F.col("node"), F.coalesce("component_id", "first").alias("component_id")), "near_components")
