@@ -274,13 +274,12 @@ def linkable(docs: DataFrame, nodes: DataFrame, rule: Rule, sets: Sets) -> DataF
     return sets.write(docs.select("id", "text").mapInArrow(trimmed(run), PACKED))
 
 
-def prefixes(nodes: DataFrame, sets: Sets, rule: Rule) -> DataFrame:
+def prefixes(nodes: DataFrame, sets: Sets, shared: Shared, rule: Rule) -> DataFrame:
     """(k, node, n, most): the values of each set that enter the inverted lists.
 
     All values are ordered by the number of sets that hold them, then by value, the rarest first. Of a set of n values any similar one
     holds ``least(n)``, so the first one that both hold is among the first n - least(n) + 1 of each. Where that is the first one,
     no more are in both than follow it, itself included: ``most``. Values and sets that can have no partner are left out."""
-    shared = Shared(nodes.select("node"), sets.rows, nodes.agg(F.sum("n")).first()[0] or 0)
 
     def run(batches):
         counts = shared.counts()
@@ -303,9 +302,9 @@ def prefixes(nodes: DataFrame, sets: Sets, rule: Rule) -> DataFrame:
 class Search(links.Search):
     """Components of the different shingle sets (nodes) of a corpus."""
 
-    def __init__(self, spark: SparkSession, written: Sets, rule: Rule):
+    def __init__(self, spark: SparkSession, written: Sets, shared: Shared, rule: Rule):
         super().__init__(spark)
-        self.sets, self.rule, self.near = written, rule, rule.near
+        self.shared, self.sets, self.rule, self.near = shared, written, rule, rule.near
 
     def read_sets(self, wanted: DataFrame) -> None:
         """All sets that may be wanted are written."""
@@ -345,19 +344,24 @@ class Search(links.Search):
         return self.spread(pairs).mapInArrow(trimmed(run), "a long, b long")
 
     def outside(self, pairs: DataFrame) -> DataFrame:
-        """(k, node, n, leader, need, inside): the values of a set outside its leader, how many of them a similar partner shares, and how many values are inside."""
-        written, rule = self.sets, self.rule
+        """(k, node, n, leader, need, inside): the values of a set outside its leader, how many of them a similar partner shares, and how many values are inside.
+        Values that no other set holds are left out."""
+        written, shared, rule = self.sets, self.shared, self.rule
 
         def run(batches):
+            held_in = shared.counts()
             for a, b, sets, leaders in written.pairs(batches):
                 keys, rows, counts = [np.zeros(0, np.uint64)], [], []
-                for node, leader, x, y in zip(a.tolist(), b.tolist(), sets, leaders):
+                df = np.split(held_in(list(zip(a, sets)))[2], np.cumsum([len(x) for x in sets])[:-1]) if len(a) else []
+                for node, leader, x, y, held in zip(a.tolist(), b.tolist(), sets, leaders, df):
                     rest = np.setdiff1d(x, y, assume_unique=True)
-                    need = max(1, math.ceil(rule.share * (len(x) + len(y)) / (100 + rule.share) - (len(x) - len(rest)) - 1e-9))
+                    inside = len(x) - len(rest)
+                    rest = np.setdiff1d(x[held > 1], y, assume_unique=True)
+                    need = max(1, math.ceil(rule.share * (len(x) + len(y)) / (100 + rule.share) - inside - 1e-9))
                     if len(rest) < need:
                         continue
                     keys.append(mix(rest ^ mix(np.array([leader % 2**64], np.uint64))))
-                    rows.append((node, len(x), leader, need, len(x) - len(rest)))
+                    rows.append((node, len(x), leader, need, inside))
                     counts.append(len(rest))
                 columns = np.repeat(np.array(rows, np.int64).reshape(-1, 5), counts, axis=0)
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), *[pa.array(columns[:, i]) for i in range(5)]],
@@ -392,8 +396,9 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     nodes = materialise(nodes, "near_nodes")
     written = Sets(df.sparkSession, nodes.agg(F.sum("n")).first()[0] or 0)
     able = settle(linkable(docs, nodes, rule, written), "near_linkable")
-    search = Search(df.sparkSession, written, rule)
-    labels = search.run(prefixes(able, written, rule).withColumn("parent", F.lit(0))).join(nodes.select("node", "first"), "node")
+    shared = Shared(able.select("node"), written.rows, able.agg(F.sum("n")).first()[0] or 0)
+    search = Search(df.sparkSession, written, shared, rule)
+    labels = search.run(prefixes(able, written, shared, rule).withColumn("parent", F.lit(0))).join(nodes.select("node", "first"), "node")
     firsts = labels.groupBy("component").agg(F.min("first").alias("component_id"))
     named = settle(nodes.select("node", "first").join(labels.select("node", "component"), "node", "left").join(firsts, "component", "left").select(
         F.col("node"), F.coalesce("component_id", "first").alias("component_id")), "near_components")
